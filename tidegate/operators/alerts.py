@@ -6,6 +6,8 @@ streaming frames too; the rest have a stateful twin under ``streaming``.
 
 from __future__ import annotations
 
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -157,14 +159,18 @@ def incidents(firings: DataFrame, close_s: int = LOG_INCIDENT_CLOSE_S) -> DataFr
     )
 
 
-def picks(instants: np.ndarray, allowed: int, gap: int) -> np.ndarray:
-    """Keep the first instant at or after ``allowed``, then each first one ``gap`` later."""
-    kept = []
-    at = int(np.searchsorted(instants, allowed))
-    while at < len(instants):
-        kept.append(at)
-        at = int(np.searchsorted(instants, instants[at] + gap))
-    return instants[kept]
+def keep_first(gap: int):
+    """The rule both forms share, as a closure that travels to the executors whole."""
+
+    def picks(instants: np.ndarray, allowed: int) -> np.ndarray:
+        kept = []
+        at = int(np.searchsorted(instants, allowed))
+        while at < len(instants):
+            kept.append(at)
+            at = int(np.searchsorted(instants, instants[at] + gap))
+        return instants[kept]
+
+    return picks
 
 
 def rate_limited(firings: DataFrame, gap_s: int = NOTIFY_GAP_S, chunk_s: int = 86_400) -> DataFrame:
@@ -178,13 +184,14 @@ def rate_limited(firings: DataFrame, gap_s: int = NOTIFY_GAP_S, chunk_s: int = 8
     moment it is really allowed. No task sees more than one rule's day.
     """
     gap, span = gap_s * MICROS, chunk_s * MICROS
+    picks = keep_first(gap)
     if span < gap:
         raise ValueError("a chunk must be at least as long as the gap")
 
     t = F.unix_micros("ts")
     instants = firings.select("rule", F.floor(t / F.lit(span)).alias("chunk"), t.alias("t")).distinct()
 
-    def outcomes(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def outcomes(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         times = np.sort(rows["t"].to_numpy())
         following = np.searchsorted(times, times + gap)
         early = int(np.searchsorted(times, key[1] * span + gap)) + 1
@@ -197,7 +204,7 @@ def rate_limited(firings: DataFrame, gap_s: int = NOTIFY_GAP_S, chunk_s: int = 8
             {"rule": key[0], "chunk": key[1], "allowed_until": times[: len(at)][keep], "last_kept": last[keep]}
         )
 
-    def chain(key, rows: pd.DataFrame) -> pd.DataFrame:
+    def chain(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
         starts, allowed = [], -(2**62)
         for chunk, steps in rows.sort_values(["chunk", "allowed_until"]).groupby("chunk"):
             starts.append((key[0], int(chunk), allowed))
@@ -206,8 +213,8 @@ def rate_limited(firings: DataFrame, gap_s: int = NOTIFY_GAP_S, chunk_s: int = 8
                 allowed = int(steps["last_kept"].iloc[at]) + gap
         return pd.DataFrame(starts, columns=["rule", "chunk", "allowed"])
 
-    def walk(key, rows: pd.DataFrame) -> pd.DataFrame:
-        kept = picks(np.sort(rows["t"].to_numpy()), int(rows["allowed"].iloc[0]), gap)
+    def walk(key: tuple[Any, ...], rows: pd.DataFrame) -> pd.DataFrame:
+        kept = picks(np.sort(rows["t"].to_numpy()), int(rows["allowed"].iloc[0]))
         return pd.DataFrame({"rule": key[0], "t": kept})
 
     steps = instants.groupBy("rule", "chunk").applyInPandas(

@@ -115,19 +115,16 @@ def trip_key_rows(spark, sf_dir):
     return star.trips(spark, sf_dir).select("trip_id", "total_amount")
 
 
-@query(
-    "trip_key_sql_function",
-    f"""WITH {TRIPS} SELECT md5(concat_ws('|', strftime(pickup_datetime, '%Y-%m-%d %H:%M:%S'),
-    strftime(dropoff_datetime, '%Y-%m-%d %H:%M:%S'), coalesce(vendor_id, ''), printf('%.2f', trip_distance),
-    printf('%.2f', total_amount))) AS trip_id, fare_amount FROM trips""",
-)
+@query("trip_key_sql_function", f"WITH {TRIPS} SELECT trip_id, fare_amount FROM trips")
 def trip_key_sql(spark, sf_dir):
     """K1 as a SQL function."""
     register_sql_functions(spark)
-    star.source_trips(spark, sf_dir).createOrReplaceTempView("source_trips")
+    star.table(spark, sf_dir, "lineitem").createOrReplaceTempView("key_lines")
+    star.table(spark, sf_dir, "orders").createOrReplaceTempView("key_orders")
     return spark.sql(
-        """SELECT make_trip_id(pickup_datetime, dropoff_datetime, vendor_id, trip_distance, total_amount) AS trip_id,
-           fare_amount FROM source_trips"""
+        """SELECT make_trip_id(CAST(o_orderdate AS TIMESTAMP), CAST(l_shipdate AS TIMESTAMP), l_returnflag,
+             l_quantity, l_extendedprice) AS trip_id, l_extendedprice / 1000 AS fare_amount
+           FROM key_lines JOIN key_orders ON l_orderkey = o_orderkey"""
     )
 
 

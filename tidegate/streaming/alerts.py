@@ -16,8 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidegate.config import LOG_INCIDENT_CLOSE_S, NOTIFY_GAP_S
-from tidegate.operators.alerts import MICROS, gauge_alerts, increase_windows, picks
-from tidegate.sources.shared import fresh_dir
+from tidegate.operators.alerts import MICROS, gauge_alerts, increase_windows, keep_first
 
 WATERMARK = "10 minutes"
 EVENTS = T.StructType(
@@ -90,11 +89,12 @@ def increase_window_stream(increases: DataFrame, delay: str = WATERMARK) -> Data
 def rate_limited_stream(firings: DataFrame, gap_s: int = NOTIFY_GAP_S) -> DataFrame:
     """Notifications, remembering when each rule may send again."""
     gap = gap_s * MICROS
+    picks = keep_first(gap)
 
     def limit(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         allowed = state.get[0] if state.exists else -(2**62)
         instants = np.unique(np.concatenate([b["t"].to_numpy() for b in batches]))
-        kept = picks(instants, allowed, gap)
+        kept = picks(instants, allowed)
         if len(kept):
             state.update((int(kept[-1]) + gap,))
         yield pd.DataFrame({"rule": key[0], "t": kept})
@@ -117,14 +117,13 @@ def incident_stream(firings: DataFrame, close_s: int = LOG_INCIDENT_CLOSE_S, del
     )
 
 
-def run_available(stream: DataFrame, name: str) -> DataFrame:
-    """Process what has arrived and read back what was emitted.
+def run_available(stream: DataFrame, out: str) -> DataFrame:
+    """Process what has arrived and read back what was emitted to ``out``.
 
     Output and progress live in the shared folder, so a restarted query goes on
-    where it stopped; the file sink's log makes each batch appear once.
+    where it stopped; the file sink's log makes each batch appear once, also to
+    a second stream reading the folder.
     """
-    spark = stream.sparkSession
-    out = fresh_dir(spark, name)
     query = (
         stream.writeStream.format("parquet")
         .outputMode("append")
@@ -134,4 +133,4 @@ def run_available(stream: DataFrame, name: str) -> DataFrame:
         .start()
     )
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out)
+    return stream.sparkSession.read.schema(stream.schema).parquet(out)
