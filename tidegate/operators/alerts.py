@@ -131,7 +131,7 @@ def errors_only(logs: DataFrame) -> DataFrame:
 
 
 def incidents(firings: DataFrame, close_s: int = LOG_INCIDENT_CLOSE_S) -> DataFrame:
-    """Firings of a rule closer than ``close_s`` form one incident.
+    """Firings of a rule at most ``close_s`` apart form one incident.
 
     Firings in the same ``close_s``-long cell always belong together, so they
     fold map-side to one row per rule and cell. Only those rows, at most one per
@@ -143,7 +143,7 @@ def incidents(firings: DataFrame, close_s: int = LOG_INCIDENT_CLOSE_S) -> DataFr
         F.min(t).alias("first"), F.max(t).alias("last"), F.count(F.lit(1)).alias("firings")
     )
     in_order = Window.partitionBy("rule").orderBy("cell")
-    opens = F.coalesce((F.col("first") - F.lag("last").over(in_order) >= close).cast("int"), F.lit(1))
+    opens = F.coalesce((F.col("first") - F.lag("last").over(in_order) > close).cast("int"), F.lit(1))
     numbered = cells.withColumn("opens", opens).withColumn(
         "incident", F.sum("opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0))
     )

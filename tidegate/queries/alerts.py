@@ -135,7 +135,7 @@ def rate_limited_rows(spark, sf_dir):
 
 
 INCIDENTS = f"""f AS (SELECT event_type AS rule, ts FROM events WHERE value > {ALERT_ABOVE}),
-g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY rule ORDER BY ts) < INTERVAL '1800 seconds' THEN 0 ELSE 1 END AS opens FROM f),
+g AS (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY rule ORDER BY ts) <= INTERVAL '1800 seconds' THEN 0 ELSE 1 END AS opens FROM f),
 n AS (SELECT *, sum(opens) OVER (PARTITION BY rule ORDER BY ts ROWS UNBOUNDED PRECEDING) AS i FROM g),
 incidents AS (SELECT rule, min(ts) AS o, max(ts) + INTERVAL '1800 seconds' AS c, count(*) AS firings FROM n GROUP BY rule, i)"""
 INCIDENT_ROWS = f"SELECT rule, strftime(o, {STAMP}) AS opened_at, strftime(c, {STAMP}) AS closed_at, firings FROM incidents"
