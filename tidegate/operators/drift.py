@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.config import PSI_BINS, PSI_DECIMALS, PSI_EMPTY_BIN_SHARE
@@ -31,28 +31,29 @@ def psi_report(
 ) -> DataFrame:
     """A2, A4, A5: PSI of one column, target partition against baseline window.
 
-    Both sides are counted in one pass over the two pruned date ranges: twenty
-    conditional counts and two totals, partially aggregated, one row shuffled
-    per task. Rows with a NULL or NaN value are left out and counted.
+    Both sides are counted in one pass over the two pruned date ranges, folded
+    map-side to one row per bin and side. Rows with a NULL or NaN value are left
+    out and counted.
     """
     edges = decile_edges(partitions(view, *baseline).select(column), [column], accuracy)[column]
     date, value = F.col("scoring_date"), F.col(column)
     in_baseline = date.between(F.lit(baseline[0]), F.lit(baseline[1]))
     in_target = date == F.lit(target)
-    rows = view.where(in_baseline | in_target).select(
-        in_baseline.alias("b"),
-        in_target.alias("t"),
-        usable(value).alias("ok"),
-        bin_of(value, edges).alias("bin"),
+    counts = (
+        view.where(in_baseline | in_target)
+        .groupBy(
+            in_baseline.alias("b"), in_target.alias("t"), usable(value).alias("ok"), bin_of(value, edges).alias("bin")
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    ok = F.col("ok")
-    counts = rows.agg(
-        *[count_if(F.col("b") & ok & (F.col("bin") == k)).alias(f"b{k}") for k in range(PSI_BINS)],
-        *[count_if(F.col("t") & ok & (F.col("bin") == k)).alias(f"t{k}") for k in range(PSI_BINS)],
-        count_if(F.col("b") & ok).alias("baseline_rows"),
-        count_if(F.col("t") & ok).alias("target_rows"),
-        count_if(F.col("b") & ~ok).alias("baseline_unusable"),
-        count_if(F.col("t") & ~ok).alias("target_unusable"),
+    ok, bin_ = F.col("ok"), F.col("bin")
+    by_bin = counts.agg(
+        *[_rows_where(F.col("b") & ok & (bin_ == k)).alias(f"b{k}") for k in range(PSI_BINS)],
+        *[_rows_where(F.col("t") & ok & (bin_ == k)).alias(f"t{k}") for k in range(PSI_BINS)],
+        _rows_where(F.col("b") & ok).alias("baseline_rows"),
+        _rows_where(F.col("t") & ok).alias("target_rows"),
+        _rows_where(F.col("b") & ~ok).alias("baseline_unusable"),
+        _rows_where(F.col("t") & ~ok).alias("target_unusable"),
     )
     value = psi(
         [F.col(f"t{k}") for k in range(PSI_BINS)],
@@ -60,7 +61,7 @@ def psi_report(
         [F.col(f"b{k}") for k in range(PSI_BINS)],
         F.col("baseline_rows"),
     )
-    return counts.select(
+    return by_bin.select(
         F.lit(column).alias("feature"),
         F.lit(target).alias("scoring_date"),
         "baseline_rows",
@@ -72,6 +73,11 @@ def psi_report(
     )
 
 
+def _rows_where(condition: Column) -> Column:
+    """Rows behind the pre-counted groups that meet a condition."""
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0).cast("long"))
+
+
 def bin_report(
     view: DataFrame, column: str, baseline: tuple[dt.date, dt.date], target: dt.date
 ) -> DataFrame:
@@ -106,9 +112,8 @@ def psi_matrix(
     """PSI of every column at every logical date, in one pass over the view.
 
     Each row turns into one (feature, bin) pair per column, which map-side
-    aggregation folds into counts per (feature, date). The only shuffle of size
-    carries one row per task, feature and date, and the window behind it sees
-    one row per calendar date and feature.
+    aggregation folds into counts per (feature, date, bin) before anything is
+    shuffled. The window behind them sees one row per calendar date and feature.
     """
     edges = decile_edges(partitions(view, *baseline).select(*columns), columns, accuracy)
     pairs = F.array(
@@ -126,9 +131,10 @@ def psi_matrix(
 
 
 def _psi_by_date(binned: DataFrame, key: str, baseline: tuple[dt.date, dt.date]) -> DataFrame:
-    per_date = binned.groupBy(key, "scoring_date").agg(
-        *[count_if(F.col("bin") == k).alias(f"t{k}") for k in range(PSI_BINS)],
-        count_if(F.col("ok")).alias("target_rows"),
+    counts = binned.groupBy(key, "scoring_date", "bin", "ok").agg(F.count(F.lit(1)).alias("n"))
+    per_date = counts.groupBy(key, "scoring_date").agg(
+        *[_rows_where(F.col("bin") == k).alias(f"t{k}") for k in range(PSI_BINS)],
+        _rows_where(F.col("ok")).alias("target_rows"),
     )
     in_baseline = F.col("scoring_date").between(F.lit(baseline[0]), F.lit(baseline[1]))
     over_key = Window.partitionBy(key)

@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
+from operator import add, or_
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,22 +46,32 @@ def exact_quantiles(
 
     A mergeable sketch brackets each quantile, a counting pass checks the
     bracket, and a sketch of the bracket alone narrows it again, until its rows
-    are few enough for the sketch to be exact. Every pass is one global
-    aggregate with map-side partials; nothing but counts and bracket values
-    reaches the driver. Each round shrinks the bracket by the sketch's accuracy,
-    so three passes do up to some ten million rows and five do the rest. NULL and NaN are ignored; a column without values gives None.
+    are few enough for the sketch to be exact. Every pass is an aggregate with
+    map-side partials; nothing but counts and bracket values reaches the driver.
+    Each round shrinks the bracket by the sketch's accuracy, so three passes do
+    up to some ten million rows and five do the rest. The passes share one
+    spillable copy of the value columns; a lost executor's part of it is read
+    again. NULL and NaN are ignored; a column without values gives None.
     """
-    values = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c)) for c in probs}
+    usable = [F.when(~F.isnan(F.col(c).cast("double")), F.col(c)).alias(c) for c in probs]
+    values = df.select(*usable).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _search_all(values, probs, accuracy)
+    finally:
+        values.unpersist()
+
+
+def _search_all(values: DataFrame, probs: dict[str, list[float]], accuracy: int) -> dict[str, list[float] | None]:
     slack = 2.0 / accuracy
     first = []
     for c, ps in probs.items():
         first += [
-            F.count(values[c]).alias(f"n_{c}"),
-            F.min(values[c]).alias(f"min_{c}"),
-            F.max(values[c]).alias(f"max_{c}"),
-            _sketch(values[c], [f for p in ps for f in (p - slack, p + slack)], accuracy).alias(f"q_{c}"),
+            F.count(c).alias(f"n_{c}"),
+            F.min(c).alias(f"min_{c}"),
+            F.max(c).alias(f"max_{c}"),
+            _sketch(F.col(c), [f for p in ps for f in (p - slack, p + slack)], accuracy).alias(f"q_{c}"),
         ]
-    row = df.agg(*first).collect()[0]
+    row = values.agg(*first).collect()[0]
     searches: dict[str, list[_Search]] = {}
     for c, ps in probs.items():
         count = row[f"n_{c}"]
@@ -74,32 +87,43 @@ def exact_quantiles(
     limits = {c: (row[f"min_{c}"], row[f"max_{c}"]) for c in probs}
     every = [s for each in searches.values() for s in each]
     while open_ := [s for s in every if s.found is None]:
-        _place(df, values, limits, open_)
-        _narrow(df, values, [s for s in open_ if s.found is None], accuracy)
+        _place(values, limits, open_)
+        _narrow(values, [s for s in open_ if s.found is None], accuracy)
     return {c: [s.found for s in each] or None for c, each in searches.items()}
 
 
-def _place(df: DataFrame, values: dict[str, Column], limits: dict, searches: list[_Search]) -> None:
-    """Count rows below, at, between and above each bracket's ends.
+def _place(values: DataFrame, limits: dict, searches: list[_Search]) -> None:
+    """Find which end or inside of its bracket each rank falls on.
 
-    A rank falling on an end is answered at once, so a value holding a large
-    part of the rows never stays inside a bracket. A bracket the sketch placed
-    wrongly is opened to the whole column and narrowed more carefully.
+    Rows are counted by where they stand among all bracket ends of their column:
+    position 2k is strictly between two ends, 2k+1 is on an end. A rank on an
+    end is answered at once, so a value holding a large part of the rows never
+    stays inside a bracket. A bracket the sketch placed wrongly is opened to the
+    whole column and narrowed more carefully.
     """
-    counts = []
-    for i, s in enumerate(searches):
-        v = values[s.column]
-        counts += [
-            F.count(F.when(v < s.low, 1)).alias(f"below{i}"),
-            F.count(F.when(v == s.low, 1)).alias(f"low{i}"),
-            F.count(F.when((v > s.low) & (v < s.high), 1)).alias(f"between{i}"),
-            F.count(F.when(v <= s.high, 1)).alias(f"upto{i}"),
-        ]
-    row = df.agg(*counts).collect()[0]
-    for i, s in enumerate(searches):
-        s.below = row[f"below{i}"] + row[f"low{i}"]
-        s.between = row[f"between{i}"]
-        if not row[f"below{i}"] < s.rank <= row[f"upto{i}"]:
+    ends = {}
+    for s in searches:
+        ends.setdefault(s.column, set()).update((s.low, s.high))
+    ends = {c: sorted(found) for c, found in ends.items()}
+    positions = [
+        F.struct(
+            F.lit(c).alias("column"),
+            reduce(add, [(F.col(c) >= e).cast("int") + (F.col(c) > e).cast("int") for e in found]).alias("position"),
+        )
+        for c, found in ends.items()
+    ]
+    counted = values.select(F.inline(F.array(*positions))).groupBy("column", "position").count()
+    rows: dict[str, dict[int, int]] = {c: {} for c in ends}
+    for r in counted.where(F.col("position").isNotNull()).collect():
+        rows[r["column"]][r["position"]] = r["count"]
+    for s in searches:
+        found, held = ends[s.column], rows[s.column]
+        low, high = 2 * found.index(s.low) + 1, 2 * found.index(s.high) + 1
+        under = sum(n for at, n in held.items() if at < low)
+        s.below = under + held.get(low, 0)
+        s.between = sum(n for at, n in held.items() if low < at < high)
+        upto = sum(n for at, n in held.items() if at <= high)
+        if not under < s.rank <= upto:
             s.low, s.high = limits[s.column]
             s.slack, s.between = s.slack * 2, 0
         elif s.rank <= s.below:
@@ -108,17 +132,18 @@ def _place(df: DataFrame, values: dict[str, Column], limits: dict, searches: lis
             s.found = s.high
 
 
-def _narrow(df: DataFrame, values: dict[str, Column], searches: list[_Search], accuracy: int) -> None:
+def _narrow(values: DataFrame, searches: list[_Search], accuracy: int) -> None:
     """Sketch the rows strictly between each bracket's ends."""
     asked = [s for s in searches if s.between]
     if not asked:
         return
+    inside = [(F.col(s.column) > s.low) & (F.col(s.column) < s.high) for s in asked]
     sketches = []
     for i, s in enumerate(asked):
-        v, at = values[s.column], (s.rank - s.below) / s.between
-        inside = F.when((v > s.low) & (v < s.high), v)
-        sketches.append(_sketch(inside, [at, at - s.slack, at + s.slack], accuracy).alias(f"q{i}"))
-    row = df.agg(*sketches).collect()[0]
+        at = (s.rank - s.below) / s.between
+        wanted = [at, at - s.slack, at + s.slack]
+        sketches.append(_sketch(F.when(inside[i], F.col(s.column)), wanted, accuracy).alias(f"q{i}"))
+    row = values.where(reduce(or_, inside)).agg(*sketches).collect()[0]
     for i, s in enumerate(asked):
         middle, s.low, s.high = row[f"q{i}"]
         # Asked for a whole rank, the sketch is exact while its error stays below half a row.
