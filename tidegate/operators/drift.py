@@ -32,44 +32,42 @@ def psi_report(
     """A2, A4, A5: PSI of one column, target partition against baseline window.
 
     Both sides are counted in one pass over the two pruned date ranges, folded
-    map-side to one row per bin and side. Rows with a NULL or NaN value are left
+    map-side to one row per bin. Rows with a NULL or NaN value are left
     out and counted.
     """
     edges = decile_edges(partitions(view, *baseline).select(column), [column], accuracy)[column]
     date, value = F.col("scoring_date"), F.col(column)
     in_baseline = date.between(F.lit(baseline[0]), F.lit(baseline[1]))
     in_target = date == F.lit(target)
+    ok = usable(value)
     counts = (
         view.where(in_baseline | in_target)
-        .groupBy(
-            in_baseline.alias("b"), in_target.alias("t"), usable(value).alias("ok"), bin_of(value, edges).alias("bin")
-        )
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    ok, bin_ = F.col("ok"), F.col("bin")
-    by_bin = counts.agg(
-        *[_rows_where(F.col("b") & ok & (bin_ == k)).alias(f"b{k}") for k in range(PSI_BINS)],
-        *[_rows_where(F.col("t") & ok & (bin_ == k)).alias(f"t{k}") for k in range(PSI_BINS)],
-        _rows_where(F.col("b") & ok).alias("baseline_rows"),
-        _rows_where(F.col("t") & ok).alias("target_rows"),
-        _rows_where(F.col("b") & ~ok).alias("baseline_unusable"),
-        _rows_where(F.col("t") & ~ok).alias("target_unusable"),
-    )
-    value = psi(
-        [F.col(f"t{k}") for k in range(PSI_BINS)],
-        F.col("target_rows"),
-        [F.col(f"b{k}") for k in range(PSI_BINS)],
-        F.col("baseline_rows"),
+        .groupBy(ok.alias("ok"), F.when(ok, bin_of(value, edges)).alias("bin"))
+        .agg(count_if(in_baseline).alias("b"), count_if(in_target).alias("t"))
     )
-    return by_bin.select(
-        F.lit(column).alias("feature"),
-        F.lit(target).alias("scoring_date"),
-        "baseline_rows",
-        "target_rows",
-        "baseline_unusable",
-        "target_unusable",
-        value.alias("total_psi"),
-        drift_band(value).alias("band"),
+    # At most a dozen rows from here on. A bin without rows on either side adds nothing.
+    everything = Window.partitionBy(F.lit(0))
+    sums = {
+        name: F.coalesce(F.sum(F.when(F.col("ok") == kept, F.col(side))).over(everything), F.lit(0).cast("long"))
+        for name, side, kept in (
+            ("baseline_rows", "b", True),
+            ("target_rows", "t", True),
+            ("baseline_unusable", "b", False),
+            ("target_unusable", "t", False),
+        )
+    }
+    term = psi_term(share(F.col("t"), F.col("target_rows")), share(F.col("b"), F.col("baseline_rows")))
+    total = F.round(F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), term)), F.lit(0.0)), PSI_DECIMALS)
+    return (
+        counts.withColumns(sums)
+        .agg(*[F.coalesce(F.max(name), F.lit(0).cast("long")).alias(name) for name in sums], total.alias("total_psi"))
+        .select(
+            F.lit(column).alias("feature"),
+            F.lit(target).alias("scoring_date"),
+            *sums,
+            "total_psi",
+            drift_band(F.col("total_psi")).alias("band"),
+        )
     )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schemas
-from tidegate.functions.rows import high_tip_label, label_valid, quality_predicate, trip_key
+from tidegate.functions.rows import high_tip_label, label_valid, on_day, quality_predicate, trip_key, within_days
 
 
 class LeakageError(Exception):
@@ -84,14 +84,17 @@ def feature_rows(source: DataFrame, scoring_date: Column, null_label: bool = Fal
 
 
 def without_populated_dates(rows: DataFrame, table: DataFrame) -> DataFrame:
-    """Keep only dates the table holds no row for; many dates in one job."""
-    return rows.join(table.select("scoring_date").distinct(), "scoring_date", "left_anti")
+    """Keep only dates the table holds no row for; many dates in one job.
+
+    The broadcast side is one row per calendar date, a few thousand at most
+    however large the table, so the incoming rows are never shuffled by date.
+    """
+    held = table.select("scoring_date").distinct()
+    return rows.join(F.broadcast(held), "scoring_date", "left_anti")
 
 
 def source_window(source: DataFrame, first: dt.date, last: dt.date, *extra: dt.date) -> DataFrame:
     """A window of pickup days and any extra days."""
-    from tidegate.functions.rows import on_day, within_days
-
     wanted = within_days("pickup_datetime", first, last)
     for day in extra:
         wanted = wanted | on_day("pickup_datetime", day)
