@@ -10,9 +10,11 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoderModel, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.sources.shared import fresh_dir
+
 PROBABILITY_CLIP = 1e-15
 # A CASE chain longer than this is slower than the fitted stages.
 MAX_CASE_BRANCHES = 100
@@ -53,6 +55,19 @@ class FittedScorer:
         return scored.select(*df.columns, "p1")
 
 
+def detached(model: PipelineModel) -> PipelineModel:
+    """The model as saved and loaded, if it was fitted in this session.
+
+    A freshly fitted model keeps its training summary, which refers to the
+    session and cannot travel to the tasks once the session observed a write.
+    """
+    if not any(isinstance(s, LogisticRegressionModel) and s.hasSummary for s in model.stages):
+        return model
+    path = fresh_dir(SparkSession.active(), "model")
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
 def scorer_of(model: PipelineModel) -> LinearScorer | FittedScorer:
     """Inline a fitted logistic model when its category count is small (M2)."""
     logistic = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
@@ -65,7 +80,7 @@ def scorer_of(model: PipelineModel) -> LinearScorer | FittedScorer:
         for column, values in zip(s.getInputCols(), s.labelsArray, strict=True)
     }
     if sum(map(len, labels.values())) > MAX_CASE_BRANCHES:
-        return FittedScorer(model)
+        return FittedScorer(detached(model))
     category_of = {}
     for encoder in encoders:
         for indexed, encoded in zip(encoder.getInputCols(), encoder.getOutputCols(), strict=True):

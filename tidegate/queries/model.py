@@ -221,18 +221,22 @@ def _feature_table(spark, sf_dir, **settings):
     f"""WITH {SCORED}, t AS (SELECT count(*) AS n, count(DISTINCT trip_id) AS u, sum((p1 > 0.5)::INTEGER) AS high
       FROM scored WHERE {IN_TARGET})
     SELECT '{TARGET}' AS scoring_date, n AS row_count, u AS unique_trips, CAST(high AS BIGINT) AS predicted_high,
-      0::BIGINT AS removed_first, n AS removed_second, n AS rows_scored FROM t""",
+      TRUE AS scored_by_second_run, 0::BIGINT AS removed_first, n AS removed_second, n AS rows_scored FROM t""",
 )
 def score_published(spark, sf_dir):
     """A partition scored twice holds each trip once."""
     cfg = _feature_table(spark, sf_dir)
     first = score_partition(spark, cfg, FROZEN)
+    between = dt.datetime.now(dt.timezone.utc)
     second = score_partition(spark, cfg, FROZEN)
     table = spark.table(cfg.predictions_table)
     high = table.groupBy("scoring_date").agg(F.sum("predicted_is_high_tip").alias("predicted_high"))
-    audit = key_audit(table).join(high, "scoring_date").join(backfill_audit(table).drop("row_count"), "scoring_date")
+    audited = backfill_audit(table).select(
+        "scoring_date", (F.col("first_scored_at") >= F.lit(between)).alias("scored_by_second_run")
+    )
+    audit = key_audit(table).join(high, "scoring_date").join(audited, "scoring_date")
     return plain(
-        audit.drop("first_scored_at").select(
+        audit.select(
             "*",
             F.lit(first["rows_removed"]).cast("long").alias("removed_first"),
             F.lit(second["rows_removed"]).cast("long").alias("removed_second"),
