@@ -36,8 +36,8 @@ def volume_report(view: DataFrame, min_row_count: int) -> DataFrame:
 def require_volume(row_count: int, cfg: JobConfig, day: dt.date) -> None:
     if row_count < cfg.min_row_count:
         raise InsufficientData(
-            f"Pre-flight failed: partition {day} has {row_count:,} rows, below the minimum "
-            f"of {cfg.min_row_count:,}. The upstream load is missing or incomplete."
+            f"{day} holds {row_count:,} rows where at least {cfg.min_row_count:,} are needed; "
+            "its load is missing or incomplete"
         )
 
 
@@ -46,7 +46,7 @@ def require_stable(psi: float | None, cfg: JobConfig) -> float:
     value = 0.0 if psi is None else float(psi)
     if value >= cfg.psi_threshold:
         raise DriftDetected(
-            f"CRITICAL: Feature drift detected: PSI is {value:.4f} (Threshold: {cfg.psi_threshold})",
+            f"{cfg.canary_feature} drifted: PSI is {value:.4f} (Threshold: {cfg.psi_threshold})",
             value,
         )
     return value
