@@ -11,11 +11,12 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder named by the cluster; a temporary one only for local sessions."""
+    """Folder named by the cluster. Only a session whose tasks all run in the driver may go without."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder all executors share")
     local = tempfile.mkdtemp(prefix="tidegate-")
     spark.conf.set(CHECKPOINT_CONF, local)
