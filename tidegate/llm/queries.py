@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate.llm.substring_dedup import substring_dedup
+from tidegate.llm.suffix_dedup import suffix_dedup
 from tidegate.llm.tables import documents, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,3 +39,26 @@ kept AS (SELECT doc_id, count(*) FILTER (WHERE cut) AS n_removed, count(*) FILTE
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
        sha256(coalesce(body, '')) AS kept_sha256, CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans
 FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id"""
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(documents(spark, sf_dir))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+SQL["op2_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+firsts AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
+later AS (SELECT doc_id, i FROM win JOIN firsts USING (k) WHERE m < doc_id),
+edged AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens FROM later),
+numbered AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM edged),
+runs AS (SELECT doc_id, min(i) AS b, max(i) + 50 AS e FROM numbered GROUP BY doc_id, run),
+before AS (SELECT *, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS from_byte FROM runs),
+cut AS (SELECT doc_id, sum(e - b) AS n_removed, count(*) AS n_spans, max(e) AS tail,
+        string_agg(substr(h, 2 * from_byte + 1, 2 * (b - from_byte)), '' ORDER BY b) AS body FROM before JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id"""
