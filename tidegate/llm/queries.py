@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidegate.llm.bpe import decode_documents, encode_documents
 from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
 from tidegate.llm.tables import documents, table
@@ -62,3 +63,18 @@ SELECT d.doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed
        CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
        sha256(unhex(coalesce(body, '') || substr(h, 2 * coalesce(tail, 0) + 1))) AS kept_sha256
 FROM d LEFT JOIN cut ON d.doc_id = cut.doc_id"""
+
+
+#: A vocabulary file that all executors' hosts need not hold: the driver reads it.
+VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
+
+
+@query
+def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = decode_documents(encode_documents(documents(spark, sf_dir), VOCABULARY), VOCABULARY)
+    return out.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
