@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.llm.bpe import decode_documents, encode_documents
 from tidegate.llm.decontaminate import decontaminate
 from tidegate.llm.language_id import held_out, identify, train_profiles, trained_on
+from tidegate.llm.near_dups import near_duplicates
 from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
 from tidegate.llm.tables import documents, table
@@ -123,3 +124,9 @@ items AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY i
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places ON d.doc_id = places.doc_id LEFT JOIN items ON d.doc_id = items.doc_id"""
+
+
+@query
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = near_duplicates(documents(spark, sf_dir))
+    return out.select("doc_id", "group_id", "content_id", "n_links", (F.col("doc_id") == F.col("group_id")).alias("kept"))
