@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm.bpe import decode_documents, encode_documents
+from tidegate.llm.bpe import round_trip
 from tidegate.llm.decontaminate import decontaminate
 from tidegate.llm.language_id import held_out, identify, train_profiles, trained_on
+from tidegate.llm.license_scan import license_scan
 from tidegate.llm.near_dups import near_duplicates
 from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
@@ -79,7 +80,7 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 
 @query
 def op9_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = decode_documents(encode_documents(documents(spark, sf_dir), VOCABULARY), VOCABULARY)
+    out = round_trip(documents(spark, sf_dir), VOCABULARY)
     return out.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
@@ -130,3 +131,8 @@ FROM d LEFT JOIN places ON d.doc_id = places.doc_id LEFT JOIN items ON d.doc_id
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = near_duplicates(documents(spark, sf_dir))
     return out.select("doc_id", "group_id", "content_id", "n_links", (F.col("doc_id") == F.col("group_id")).alias("kept"))
+
+
+@query
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir)).withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
