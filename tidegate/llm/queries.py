@@ -11,6 +11,7 @@ from tidegate.llm.bpe import round_trip
 from tidegate.llm.decontaminate import decontaminate
 from tidegate.llm.language_id import held_out, identify, train_profiles, trained_on
 from tidegate.llm.license_scan import license_scan
+from tidegate.llm.line_quality import judge_lines, train_field
 from tidegate.llm.near_dups import near_duplicates
 from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
@@ -136,3 +137,9 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir)).withColumn("n_spans", F.size("spans").cast("long")).drop("spans")
+
+
+@query
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return judge_lines(docs, train_field(docs, table(spark, sf_dir, "labels"))).drop("line_labels")
