@@ -30,8 +30,8 @@ from tidegate.llm.textkit import Texts, gather, grouped, span_hash
 
 ENDLESS = np.int64(1) << 40
 #: Text of one step of a task, in bytes, and pieces remembered by a worker.
-STEP_BYTES = 4 << 20
-KNOWN_PIECES = 1 << 20
+STEP_BYTES = 2 << 20
+KNOWN_PIECES = 1 << 19
 
 
 def byte_letters() -> dict[str, int]:
@@ -66,6 +66,30 @@ class Vocabulary:
         self.key = hashlib.sha256(self.left.tobytes() + self.right.tobytes() + self.ids.tobytes()).hexdigest()
 
 
+    def labels(self) -> list[bytes]:
+        """The bytes of each token, by its number."""
+        out = [bytes([b]) for b in range(256)]
+        for a, b in zip(self.left.tolist(), self.right.tolist(), strict=True):
+            out.append(out[a] + out[b])
+        return out
+
+
+class Labels:
+    """The arcs' labels by file id."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        by_id = dict(zip(vocabulary.ids.tolist(), vocabulary.labels(), strict=True)) | {i: text for text, i in vocabulary.special.items()}
+        ordered = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
+        self.size = np.array([len(x) for x in ordered], np.int64)
+        self.start = np.append(0, np.cumsum(self.size))[:-1]
+        self.bytes = np.frombuffer(b"".join(ordered), np.uint8)
+
+    def decode(self, ids: np.ndarray, offset: np.ndarray) -> list[str]:
+        body, ends = gather(self.bytes, self.start, self.size, ids)
+        raw, ends = body.tobytes(), ends[offset].tolist()
+        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 class Automaton:
     def __init__(self, vocabulary: Vocabulary):
         self.left = np.concatenate((np.arange(256, dtype=np.int32), vocabulary.left))
@@ -79,18 +103,10 @@ class Automaton:
         self.alive[256:] = self.has_arc(self.left[made].astype(np.int64), self.right[made].astype(np.int64), made - 256)
         for k in range(256, n):  # a merge whose halves never meet, or never come to be, makes no arc
             self.alive[k] &= self.alive[self.left[k]] and self.alive[self.right[k]]
-        labels = [bytes([b]) for b in range(256)]
-        for a, b in zip(vocabulary.left.tolist(), vocabulary.right.tolist(), strict=True):
-            labels.append(labels[a] + labels[b])
+        labels = vocabulary.labels()
         self._tree(labels)
         self.ids = vocabulary.ids
         self.special = vocabulary.special
-        # labels by file id, for decoding
-        by_id = {int(i): labels[t] for t, i in enumerate(self.ids)} | {i: text for text, i in self.special.items()}
-        ordered = [by_id.get(i, b"") for i in range(max(by_id) + 1)]
-        self.label_len = np.array([len(x) for x in ordered], np.int64)
-        self.label_start = np.append(0, np.cumsum(self.label_len))[:-1]
-        self.label = np.frombuffer(b"".join(ordered), np.uint8)
         self.size = np.array([len(x) for x in labels], np.int64)
         self.forget()
 
@@ -294,21 +310,17 @@ class Automaton:
         first = offset[np.searchsorted(begin, texts.start)]
         return put[~inside], np.append(keep[first], keep[-1])
 
-    def decode(self, ids: np.ndarray, offset: np.ndarray) -> list[str]:
-        body, ends = gather(self.label, self.label_start, self.label_len, ids)
-        raw, ends = body.tobytes(), ends[offset].tolist()
-        return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
-
 
-_BUILT: dict[str, Automaton] = {}
+_BUILT: dict[tuple[type, str], Automaton | Labels] = {}
 
 
-def automaton(vocabulary: Vocabulary) -> Automaton:
-    """The automaton of a vocabulary, compiled once by each worker."""
-    if vocabulary.key not in _BUILT:
-        _BUILT.clear()
-        _BUILT[vocabulary.key] = Automaton(vocabulary)
-    return _BUILT[vocabulary.key]
+def built(kind: type, vocabulary: Vocabulary):
+    """The automaton or the labels of a vocabulary, made once by each worker."""
+    if (kind, vocabulary.key) not in _BUILT:
+        for old in [k for k in _BUILT if k[0] is kind]:
+            del _BUILT[old]
+        _BUILT[kind, vocabulary.key] = kind(vocabulary)
+    return _BUILT[kind, vocabulary.key]
 
 
 def steps(batch: pa.RecordBatch, column: str, limit: int = STEP_BYTES) -> Iterator[pa.RecordBatch]:
@@ -336,7 +348,7 @@ def encode_documents(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_i
     vocabulary = Vocabulary(vocabulary_path)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(vocabulary)
+        machine = built(Automaton, vocabulary)
         for batch in batches:
             for part in steps(batch, "text"):
                 ids, offset = machine.encode(Texts(part.column("text")))
@@ -351,14 +363,30 @@ def decode_documents(encoded: DataFrame, vocabulary_path: str) -> DataFrame:
     vocabulary = Vocabulary(vocabulary_path)
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        machine = automaton(vocabulary)
+        labels = built(Labels, vocabulary)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 lists = part.column("ids")
                 lists = pc.fill_null(lists, pa.scalar([], lists.type)) if lists.null_count else lists
                 offset = np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy(zero_copy_only=False))).astype(np.int64)
-                texts = machine.decode(lists.flatten().to_numpy(zero_copy_only=False), offset)
+                texts = labels.decode(lists.flatten().to_numpy(zero_copy_only=False), offset)
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     return encoded.select("doc_id", "ids").mapInArrow(decode, "doc_id bigint, ids array<int>, decoded string")
+
+
+def round_trip(docs: DataFrame, vocabulary_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, ids and decoded in one pass: what ``encode_documents`` gives, and what decoding those ids gives."""
+    vocabulary = Vocabulary(vocabulary_path)
+
+    def there_and_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        machine, labels = built(Automaton, vocabulary), built(Labels, vocabulary)
+        for batch in batches:
+            for part in steps(batch, "text"):
+                ids, offset = machine.encode(Texts(part.column("text")))
+                texts = labels.decode(ids, offset)
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), _id_lists(ids, offset), pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
+
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return rows.mapInArrow(there_and_back, "doc_id bigint, ids array<int>, decoded string")
