@@ -13,6 +13,7 @@ from tidegate.llm.language_id import held_out, identify, train_profiles, trained
 from tidegate.llm.license_scan import license_scan
 from tidegate.llm.line_quality import judge_lines, train_field
 from tidegate.llm.near_dups import near_duplicates
+from tidegate.llm.ordinal import graded, score_documents, train_ordinal
 from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
 from tidegate.llm.tables import documents, table
@@ -143,3 +144,9 @@ def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return judge_lines(docs, train_field(docs, table(spark, sf_dir, "labels"))).drop("line_labels")
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return score_documents(docs, train_ordinal(docs, graded(table(spark, sf_dir, "labels"))))
