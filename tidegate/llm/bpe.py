@@ -90,7 +90,102 @@ class Labels:
         return [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-class Automaton:
+class PieceMemory:
+    """Encodes texts piece by piece and remembers the ids of pieces; ``encode_pieces`` is a subclass's."""
+
+    special: dict[bytes, int]
+
+    def encode_pieces(self, buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Tokens of pieces that lie end to end in ``buf``: flat file ids and the number of each piece."""
+        raise NotImplementedError
+
+    def forget(self) -> None:
+        """Drop the remembered pieces."""
+        self.known = np.zeros(0, np.uint64)
+        self.known_at = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.int32)
+        self.pool_start = np.zeros(0, np.int64)
+        self.pool_len = np.zeros(0, np.int64)
+
+    def _remember(self, texts: Texts, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
+        """Encode pieces that are not remembered; ``hashes`` is sorted."""
+        body, offset = gather(texts.buf, begin, size, np.arange(len(begin)))
+        ids, counts = self.encode_pieces(body, offset[:-1], size)
+        where = np.searchsorted(self.known, hashes)
+        base = len(self.pool_len)
+        self.known = np.insert(self.known, where, hashes)
+        self.known_at = np.insert(self.known_at, where, base + np.arange(len(hashes)))
+        self.pool_start = np.append(self.pool_start, len(self.pool) + np.append(0, np.cumsum(counts))[:-1])
+        self.pool_len = np.append(self.pool_len, counts)
+        self.pool = np.append(self.pool, ids)
+
+    def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """File ids of all texts end to end, and where each text's ids begin (one more than texts)."""
+        cut, special = self._cut_specials(texts)
+        begin = piece_starts(cut)
+        stops = np.unique(cut.stop)
+        end = np.minimum(np.append(begin[1:], len(cut.buf)), stops[np.searchsorted(stops, begin, side="right")]) if len(begin) else begin
+        hashes = span_hash(cut.buf, begin, end)
+        order, new = grouped(hashes)
+        group = np.empty(len(order), np.int64)
+        group[order] = np.cumsum(new) - 1
+        one = order[new]
+        if len(self.known) > KNOWN_PIECES:
+            self.forget()
+        found = hashes[one]
+        rank = np.argsort(found, kind="stable") if (found[1:] < found[:-1]).any() else np.arange(len(found))
+        ranked = found[rank]
+        at = np.searchsorted(self.known, ranked)
+        missing = np.append(self.known, np.uint64(0))[at] != ranked
+        missing |= at == len(self.known)
+        lack = rank[missing]
+        if len(lack):
+            self._remember(cut, found[lack], begin[one[lack]], (end - begin)[one[lack]])
+        which = np.empty(len(found), np.int64)
+        which[rank] = self.known_at[np.searchsorted(self.known, ranked)]
+        which = which[group]
+        ids, offset = gather(self.pool, self.pool_start, self.pool_len, which)
+        first = offset[np.searchsorted(begin, texts.start)] if not special else None
+        if special:
+            return self._with_specials(texts, cut, special, begin, ids, offset)
+        return ids, np.append(first, len(ids))
+
+    def _cut_specials(self, texts: Texts) -> tuple[Texts, list[tuple[int, int, int]]]:
+        """Texts cut at special tokens, which are no text; and each one's place, end and id."""
+        raw = texts.buf.tobytes()
+        hits = []
+        for label, number in self.special.items():
+            at = raw.find(label)
+            while at >= 0:
+                owner = int(np.searchsorted(texts.start, at, side="right")) - 1
+                if at + len(label) <= texts.stop[owner]:
+                    hits.append((at, at + len(label), number))
+                    at = raw.find(label, at + len(label))
+                else:
+                    at = raw.find(label, at + 1)
+        if not hits:
+            return texts, []
+        hits.sort()
+        cut = Texts.__new__(Texts)
+        cut.buf = texts.buf
+        edges = np.unique(np.concatenate((texts.start, texts.stop, [x for h in hits for x in h[:2]])))
+        cut.start, cut.stop = edges[:-1], edges[1:]
+        return cut, hits
+
+    def _with_specials(self, texts, cut, special, begin, ids, offset) -> tuple[np.ndarray, np.ndarray]:
+        """Replace what a special token's own text gave by its id."""
+        inside = np.zeros(len(ids), bool)
+        put = ids.copy()
+        for low, high, number in special:
+            a, b = offset[np.searchsorted(begin, low)], offset[np.searchsorted(begin, high)]
+            inside[a + 1 : b] = True
+            put[a] = number
+        keep = np.append(0, np.cumsum(~inside))
+        first = offset[np.searchsorted(begin, texts.start)]
+        return put[~inside], np.append(keep[first], keep[-1])
+
+
+class Automaton(PieceMemory):
     def __init__(self, vocabulary: Vocabulary):
         self.left = np.concatenate((np.arange(256, dtype=np.int32), vocabulary.left))
         self.right = np.concatenate((np.arange(256, dtype=np.int32), vocabulary.right))
@@ -225,91 +320,6 @@ class Automaton:
         order = np.argsort(piece, kind="stable")
         return self.ids[token[order]], np.bincount(piece, minlength=len(size))
 
-    def forget(self) -> None:
-        """Drop the remembered pieces."""
-        self.known = np.zeros(0, np.uint64)
-        self.known_at = np.zeros(0, np.int64)
-        self.pool = np.zeros(0, np.int32)
-        self.pool_start = np.zeros(0, np.int64)
-        self.pool_len = np.zeros(0, np.int64)
-
-    def _remember(self, texts: Texts, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
-        """Encode pieces that are not remembered; ``hashes`` is sorted."""
-        body, offset = gather(texts.buf, begin, size, np.arange(len(begin)))
-        ids, counts = self.encode_pieces(body, offset[:-1], size)
-        where = np.searchsorted(self.known, hashes)
-        base = len(self.pool_len)
-        self.known = np.insert(self.known, where, hashes)
-        self.known_at = np.insert(self.known_at, where, base + np.arange(len(hashes)))
-        self.pool_start = np.append(self.pool_start, len(self.pool) + np.append(0, np.cumsum(counts))[:-1])
-        self.pool_len = np.append(self.pool_len, counts)
-        self.pool = np.append(self.pool, ids)
-
-    def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-        """File ids of all texts end to end, and where each text's ids begin (one more than texts)."""
-        cut, special = self._cut_specials(texts)
-        begin = piece_starts(cut)
-        stops = np.unique(cut.stop)
-        end = np.minimum(np.append(begin[1:], len(cut.buf)), stops[np.searchsorted(stops, begin, side="right")]) if len(begin) else begin
-        hashes = span_hash(cut.buf, begin, end)
-        order, new = grouped(hashes)
-        group = np.empty(len(order), np.int64)
-        group[order] = np.cumsum(new) - 1
-        one = order[new]
-        if len(self.known) > KNOWN_PIECES:
-            self.forget()
-        found = hashes[one]
-        rank = np.argsort(found, kind="stable") if (found[1:] < found[:-1]).any() else np.arange(len(found))
-        ranked = found[rank]
-        at = np.searchsorted(self.known, ranked)
-        missing = np.append(self.known, np.uint64(0))[at] != ranked
-        missing |= at == len(self.known)
-        lack = rank[missing]
-        if len(lack):
-            self._remember(cut, found[lack], begin[one[lack]], (end - begin)[one[lack]])
-        which = np.empty(len(found), np.int64)
-        which[rank] = self.known_at[np.searchsorted(self.known, ranked)]
-        which = which[group]
-        ids, offset = gather(self.pool, self.pool_start, self.pool_len, which)
-        first = offset[np.searchsorted(begin, texts.start)] if not special else None
-        if special:
-            return self._with_specials(texts, cut, special, begin, ids, offset)
-        return ids, np.append(first, len(ids))
-
-    def _cut_specials(self, texts: Texts) -> tuple[Texts, list[tuple[int, int, int]]]:
-        """Texts cut at special tokens, which are no text; and each one's place, end and id."""
-        raw = texts.buf.tobytes()
-        hits = []
-        for label, number in self.special.items():
-            at = raw.find(label)
-            while at >= 0:
-                owner = int(np.searchsorted(texts.start, at, side="right")) - 1
-                if at + len(label) <= texts.stop[owner]:
-                    hits.append((at, at + len(label), number))
-                    at = raw.find(label, at + len(label))
-                else:
-                    at = raw.find(label, at + 1)
-        if not hits:
-            return texts, []
-        hits.sort()
-        cut = Texts.__new__(Texts)
-        cut.buf = texts.buf
-        edges = np.unique(np.concatenate((texts.start, texts.stop, [x for h in hits for x in h[:2]])))
-        cut.start, cut.stop = edges[:-1], edges[1:]
-        return cut, hits
-
-    def _with_specials(self, texts, cut, special, begin, ids, offset) -> tuple[np.ndarray, np.ndarray]:
-        """Replace what a special token's own text gave by its id."""
-        inside = np.zeros(len(ids), bool)
-        put = ids.copy()
-        for low, high, number in special:
-            a, b = offset[np.searchsorted(begin, low)], offset[np.searchsorted(begin, high)]
-            inside[a + 1 : b] = True
-            put[a] = number
-        keep = np.append(0, np.cumsum(~inside))
-        first = offset[np.searchsorted(begin, texts.start)]
-        return put[~inside], np.append(keep[first], keep[-1])
-
 
 _BUILT: dict[tuple[type, str], Automaton | Labels] = {}
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import round_trip
 from tidegate.llm.decontaminate import decontaminate
+from tidegate.llm.grammar import read_tokens, shard_starts, write_tokens
 from tidegate.llm.language_id import held_out, identify, train_profiles, trained_on
 from tidegate.llm.license_scan import license_scan
 from tidegate.llm.line_quality import judge_lines, train_field
@@ -18,6 +19,7 @@ from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
 from tidegate.llm.tables import documents, table
 from tidegate.sources.package import send_package
+from tidegate.sources.shared import fresh_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -150,3 +152,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return score_documents(docs, train_ordinal(docs, graded(table(spark, sf_dir, "labels"))))
+
+
+@query
+def op5_grammar_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_dir(spark, "tokens")
+    write_tokens(documents(spark, sf_dir), VOCABULARY, path)
+    rows = read_tokens(spark, path).select("doc_id", "shard", "part", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+    return rows.join(shard_starts(spark, path), ["shard", "part"]).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
