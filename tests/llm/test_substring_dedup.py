@@ -65,3 +65,8 @@ def test_empty_table_and_bad_block(spark):
     assert substring_dedup(empty).collect() == []
     with pytest.raises(ValueError):
         substring_dedup(empty, window=20, block=11)
+
+
+def test_only_short_and_empty_texts(spark):
+    rows = substring_dedup(spark.createDataFrame([(1, None, "x", "y"), (2, "", "x", "y"), (3, "short", "x", "y")], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (2, 0), (3, 0)]

@@ -83,3 +83,8 @@ def test_parts_of_the_method():
     places = np.arange(360)
     data = buf.tobytes()
     assert suffix_order(buf, places, 31).tolist() == sorted(places, key=lambda p: data[p : p + 31])
+
+
+def test_only_short_and_empty_texts(spark):
+    rows = suffix_dedup(spark.createDataFrame([(1, None, "x", "y"), (2, "", "x", "y"), (3, "short", "x", "y")], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (2, 0), (3, 0)]

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.llm.bpe import steps
 from tidegate.llm.pretokens import LETTER, classes, code_points
@@ -130,8 +131,13 @@ def train_profiles(docs: DataFrame, dimensions: int = DIMENSIONS, text_col: str
     return {r.lang: np.array([x.value for x in r.bundle]) for r in sorted(found, key=lambda r: r.lang)}
 
 
-def identify(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred and score, the cosine with the language's prototype (0 if negative)."""
+def identify(
+    docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "doc_id", text_col: str = "text", passing: tuple[str, ...] = ()
+) -> DataFrame:
+    """doc_id, lang_pred and score, the cosine with the language's prototype (0 if negative).
+
+    ``passing`` columns and, with any, the text go along unchanged, so that a filter needs no join.
+    """
     langs = list(profiles)
     dimensions = len(profiles[langs[0]]) if langs else DIMENSIONS
     table = np.array([profiles[x] / max(np.linalg.norm(profiles[x]), 1e-300) for x in langs]).reshape(len(langs), dimensions)
@@ -151,10 +157,13 @@ def identify(docs: DataFrame, profiles: dict[str, np.ndarray], id_col: str = "do
                         best[low : low + len(top)] = np.where(norm > 0, top, len(langs))
                         score[low : low + len(top)] = np.clip(cosine[np.arange(len(top)), top], 0, 1)
                 names = np.array([*langs, UNKNOWN], object)[best]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(names, pa.string()), pa.array(score)], names=["doc_id", "lang_pred", "score"])
+                arrays = [part.column("doc_id"), pa.array(names, pa.string()), pa.array(score), *(part.column(c) for c in along)]
+                yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "lang_pred", "score", *along])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(predict, "doc_id bigint, lang_pred string, score double")
+    along = ["text", *passing] if passing else []
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *passing)
+    schema = T.StructType([rows.schema["doc_id"], T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(predict, T.StructType(schema.fields + [rows.schema[c] for c in along]))
 
 
 def held_out(id_col: str = "doc_id"):

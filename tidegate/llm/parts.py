@@ -32,17 +32,17 @@ def part_count(docs: DataFrame, text_col: str = "text", part_bytes: int = PART_B
     return max(1, math.ceil(size / part_bytes))
 
 
-def parted(docs: DataFrame, n_parts: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(part, doc_id, text), whatever other columns there are. Rows without an id are left out."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+def parted(docs: DataFrame, n_parts: int, id_col: str = "doc_id", text_col: str = "text", passing: tuple[str, ...] = ()) -> DataFrame:
+    """(part, doc_id, text) and the passing columns, whatever others there are. Rows without an id are left out."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *passing)
     rows = rows.where(F.col("doc_id").isNotNull())
-    return rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_parts)).cast("int").alias("part"), "doc_id", "text")
+    return rows.select(F.pmod(F.xxhash64("doc_id"), F.lit(n_parts)).cast("int").alias("part"), "doc_id", "text", *passing)
 
 
-def without_id(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def without_id(docs: DataFrame, id_col: str, text_col: str, passing: tuple[str, ...] = ()) -> DataFrame:
     """The rows that ``parted`` leaves out."""
     return docs.where(F.col(id_col).isNull()).select(
-        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
+        F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *passing
     )
 
 
@@ -85,6 +85,8 @@ def rows_by_key(keys: np.ndarray, n_keys: int, part: int, *columns: np.ndarray)
 
 def votes(hashes: np.ndarray, anchors: np.ndarray, n_keys: int, part: int) -> pa.Table:
     """Each distinct hash once, with whether it is an anchor here (bit 0) and occurs again here (bit 1)."""
+    if not len(hashes):
+        return rows_by_key(np.zeros(0, U64), n_keys, part, np.zeros(0, np.uint32), np.zeros(0, np.uint8))
     key, tag = placed(hashes, n_keys)
     packed = (key << U64(33)) | (tag << U64(1)) | anchors.astype(U64)
     packed.sort()

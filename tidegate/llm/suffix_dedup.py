@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.llm import parts
 from tidegate.llm.textkit import SPANS, U64, Texts, covered, from_planes, gather, grouped, member, mix, planes, runs, span_hash, spans_array
@@ -135,16 +136,18 @@ def has_previous_factor(buf: np.ndarray, places: np.ndarray, ids: np.ndarray, le
     return out
 
 
-def suffix_dedup(docs: DataFrame, length: int = 50, as_text: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def suffix_dedup(
+    docs: DataFrame, length: int = 50, as_text: bool = False, id_col: str = "doc_id", text_col: str = "text", passing: tuple[str, ...] = ()
+) -> DataFrame:
     """doc_id, n_bytes, n_removed, the kept bytes and the removed byte spans of every document.
 
     ``as_text`` fills kept_text instead of kept: the kept bytes as text, without characters
-    that a cut has left incomplete.
+    that a cut has left incomplete. ``passing`` columns go along unchanged.
     """
     if length < GRAM + 8:
         raise ValueError(f"length must be at least {GRAM + 8}")
     n = parts.part_count(docs, text_col)
-    parted = parts.parted(docs, n, id_col, text_col)
+    parted = parts.parted(docs, n, id_col, text_col, passing)
 
     def ask(table: pa.Table) -> pa.Table:
         part = parts.part_id(table)
@@ -251,18 +254,21 @@ def suffix_dedup(docs: DataFrame, length: int = 50, as_text: bool = False, id_co
                 "kept_text": whole,
                 "spans": spans_array(begin - texts.start[owner], end - texts.start[owner], owner, len(texts)),
             }
+            | {c: table.column(c) for c in passing}
         )
 
+    result = T.StructType(T.StructType.fromDDL(RESULT).fields + [parted.schema[c] for c in passing])
     live = parted.groupBy("part").applyInArrow(ask, parts.ENTRIES).groupBy("key").applyInArrow(parts.count_votes, parts.REPLIES)
     sent = parted.groupBy("part").cogroup(live.groupBy("part")).applyInArrow(send, parts.ENTRIES)
     matched = sent.groupBy("key").applyInArrow(match, parts.REPLIES)
-    found = parted.groupBy("part").cogroup(matched.groupBy("part")).applyInArrow(remove, RESULT)
-    loose = parts.without_id(docs, id_col, text_col).select(
+    found = parted.groupBy("part").cogroup(matched.groupBy("part")).applyInArrow(remove, result)
+    loose = parts.without_id(docs, id_col, text_col, passing).select(
         "doc_id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.lit(0).cast("long").alias("n_removed"),
         (F.lit(None) if as_text else F.coalesce("text", F.lit(""))).cast("binary").alias("kept"),
         (F.coalesce("text", F.lit("")) if as_text else F.lit(None)).cast("string").alias("kept_text"),
         F.array().cast(SPANS).alias("spans"),
+        *passing,
     )
     return found.unionByName(loose)
