@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_ROOTS: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -24,4 +25,12 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def fresh_dir(spark: SparkSession, purpose: str) -> str:
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new name in the application's own folder, which goes with everything in it when the application ends."""
+    root = f"{shared_dir(spark)}/tidegate-{spark.sparkContext.applicationId}"
+    if root not in _ROOTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(root)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _ROOTS.add(root)
+    return f"{root}/{purpose}-{uuid.uuid4().hex}"
