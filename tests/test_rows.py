@@ -73,6 +73,21 @@ def test_key_is_total_and_matches_sql_function(spark):
     assert ours == sql and len(set(ours)) == 3 and None not in ours
 
 
+def test_key_tells_close_trips_apart(spark):
+    at = dt.datetime(2022, 1, 1, 8, 30)
+    later = at + dt.timedelta(milliseconds=250)
+    rows = [(at, at, "1", 1.001, 14.0), (at, at, "1", 1.004, 14.0), (later, at, "1", 1.001, 14.0), (at, later, "1", 1.001, 14.0), (at, at, "1", 1.001, 14.004)]
+    rows += [(at, at, "1", 0.0, 14.0), (at, at, "1", -0.0, 14.0)]
+    df = spark.createDataFrame(rows, "p timestamp, d timestamp, v string, dist double, total double")
+    df.createOrReplaceTempView("close")
+    register_sql_functions(spark)
+    keys = [r[0] for r in df.select(trip_key(*[F.col(c) for c in ("p", "d", "v", "dist", "total")])).collect()]
+    assert len(set(keys)) == 6 and keys[5] == keys[6]
+    assert [r[0] for r in spark.sql("SELECT make_trip_id(p, d, v, dist, total) FROM close").collect()] == keys
+    source = [feature(trip_distance=1.001), feature(trip_distance=1.004), feature(pickup_datetime=later), feature(pickup_datetime=at)]
+    assert feature_rows(features(spark, source).drop("trip_id", "scoring_date", "is_high_tip"), F.lit(TARGET)).count() == 4
+
+
 def test_dedupe_keeps_the_least_row(spark):
     rows = [feature("a", fare_amount=9.0), feature("a", fare_amount=8.0), feature("b"), feature("b")]
     rows.append(feature("a", dt.date(2022, 2, 11)))

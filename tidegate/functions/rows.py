@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.config import CARD_PAYMENT, FARE_MAX, FARE_MIN, HIGH_TIP_ABOVE
 
-TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
+TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 EPOCH = dt.date(1970, 1, 1)
 
 
@@ -17,15 +17,14 @@ def _stamp(ts: Column) -> Column:
     return F.coalesce(F.date_format(ts, TS_FORMAT), F.lit(""))
 
 
-def _two_decimals(value: Column) -> Column:
-    """Text with two decimals; the formatter, several times slower, only serves
-    what no decimal can hold."""
-    quick = value.try_cast("decimal(20,2)").cast("string")
-    return F.when(value.isNotNull(), F.coalesce(quick, F.format_string("%.2f", value))).otherwise("")
+def _number(value: Column) -> Column:
+    """The shortest text that reads back as the same double; -0.0 as 0.0."""
+    return F.coalesce((value.cast("double") + F.lit(0.0)).cast("string"), F.lit(""))
 
 
 def trip_key(pickup, dropoff, vendor, distance, total) -> Column:
-    """K1: md5 over five natural attributes.
+    """K1: md5 over five natural attributes, each in full precision, so that trips
+    that differ at all have different keys.
 
     The logical date is left out on purpose, so one source day replayed on two
     dates repeats its keys: dedupe and join by (trip_id, scoring_date).
@@ -36,8 +35,8 @@ def trip_key(pickup, dropoff, vendor, distance, total) -> Column:
             _stamp(pickup),
             _stamp(dropoff),
             F.coalesce(vendor, F.lit("")),
-            _two_decimals(distance),
-            _two_decimals(total),
+            _number(distance),
+            _number(total),
         )
     )
 
@@ -50,13 +49,11 @@ def register_sql_functions(spark: SparkSession) -> None:
           pickup TIMESTAMP, dropoff TIMESTAMP, vendor STRING, dist DOUBLE, total DOUBLE)
         RETURNS STRING
         RETURN md5(concat_ws('|',
-          coalesce(date_format(pickup, 'yyyy-MM-dd HH:mm:ss'), ''),
-          coalesce(date_format(dropoff, 'yyyy-MM-dd HH:mm:ss'), ''),
+          coalesce(date_format(pickup, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), ''),
+          coalesce(date_format(dropoff, 'yyyy-MM-dd HH:mm:ss.SSSSSS'), ''),
           coalesce(vendor, ''),
-          CASE WHEN dist IS NULL THEN '' ELSE
-            coalesce(CAST(try_cast(dist AS DECIMAL(20, 2)) AS STRING), format_string('%.2f', dist)) END,
-          CASE WHEN total IS NULL THEN '' ELSE
-            coalesce(CAST(try_cast(total AS DECIMAL(20, 2)) AS STRING), format_string('%.2f', total)) END))
+          coalesce(CAST(dist + CAST(0 AS DOUBLE) AS STRING), ''),
+          coalesce(CAST(total + CAST(0 AS DOUBLE) AS STRING), '')))
         """
     )
 

@@ -50,10 +50,10 @@ def scored(spark: SparkSession, sf_dir: str, first: dt.date | None = None, last:
 
 STAMP = "'%Y-%m-%d %H:%M:%S.%f'"
 
-TRIPS = """
+TRIPS = f"""
 trips AS (
-  SELECT md5(concat_ws('|', strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'),
-                       coalesce(l_returnflag, ''), printf('%.2f', l_quantity), printf('%.2f', l_extendedprice))) AS trip_id,
+  SELECT md5(concat_ws('|', strftime(o_orderdate, {STAMP}), strftime(l_shipdate, {STAMP}),
+                       coalesce(l_returnflag, ''), CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR))) AS trip_id,
          CAST(date_trunc('month', o_orderdate) AS DATE) AS scoring_date,
          o_orderdate AS pickup_datetime, l_shipdate AS dropoff_datetime, l_returnflag AS vendor_id,
          CAST(l_linenumber AS BIGINT) AS passenger_count, l_quantity AS trip_distance,
