@@ -2,15 +2,14 @@ import datetime as dt
 
 import numpy as np
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from helpers import TARGET, day_rows, features
 from tidegate import schemas
-from tidegate.functions import scoring
-from tidegate.functions.scoring import FittedScorer, LinearScorer, detached, scorer_of
+from tidegate.functions.scoring import LinearScorer, scorer_of
 from tidegate.operators.evaluate import evaluate
 from tidegate.operators.features import LeakageError, check_no_leak, feature_view
 from tidegate.operators.predictions import predict
@@ -82,33 +81,47 @@ def trained(spark):
     return view, train(view)
 
 
-def test_inlined_scorer_equals_the_fitted_stages(spark, trained):
+def fitted(model, rows, folder):
+    """The probability by the fitted stages themselves, saved and loaded."""
+    model.write().overwrite().save(str(folder))
+    return PipelineModel.load(str(folder)).transform(rows).withColumn("p1", vector_to_array("probability")[1])
+
+
+def test_inlined_scorer_equals_the_fitted_stages(spark, trained, tmp_path):
     view, model = trained
     scorer = scorer_of(model)
     assert isinstance(scorer, LinearScorer)
     probe = view.unionByName(view.where("trip_id LIKE '%-7'").withColumn("vendor_id", F.lit("unseen")))
-    stages = FittedScorer(detached(model)).score(probe).select("trip_id", "vendor_id", F.col("p1").alias("fitted"))
+    stages = fitted(model, probe, tmp_path / "m").select("trip_id", "vendor_id", F.col("p1").alias("fitted"))
     both = scorer.score(probe).join(stages, ["trip_id", "vendor_id"])
     assert both.count() == probe.count()
     assert both.agg(F.max(F.abs(F.col("p1") - F.col("fitted")))).collect()[0][0] < 1e-9
 
 
-def test_many_categories_fall_back_to_the_fitted_stages(spark, trained, monkeypatch):
-    """Also after an observed write, which a fresh model's summary does not survive."""
-    view, model = trained
-    seen = Observation()
-    view.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
-    assert seen.get["n"] == view.count()
-    inlined = scorer_of(model).score(view).agg(F.sum("p1")).collect()[0][0]
-    monkeypatch.setattr(scoring, "MAX_CASE_BRANCHES", 1)
-    fallback = scorer_of(model)
-    assert isinstance(fallback, FittedScorer)
-    assert fallback.score(view).agg(F.sum("p1")).collect()[0][0] == pytest.approx(inlined)
+@pytest.mark.parametrize("categories", [5, 120])
+def test_any_number_of_categories_scores_alike(spark, categories, tmp_path):
+    rng = np.random.default_rng(categories)
+    fares = rng.uniform(3, 60, 600)
+    rows = [tuple(f"v{i % categories}" if k == 3 else x for k, x in enumerate(r)) for i, r in enumerate(day_rows(TARGET, fares))]
+    view = feature_view(features(spark, rows))
+    model = train(view)
+    scorer = scorer_of(model)
+    probe = view.unionByName(view.limit(5).withColumn("vendor_id", F.lit("unseen")).withColumn("trip_id", F.concat("trip_id", F.lit("u"))))
+    both = scorer.score(probe).join(fitted(model, probe, tmp_path / "m").select("trip_id", F.col("p1").alias("stages")), "trip_id")
+    assert both.count() == probe.count()
+    assert both.agg(F.max(F.abs(F.col("p1") - F.col("stages")))).collect()[0][0] < 1e-9
+    odd = spark.createDataFrame(
+        [("null", None, 2.0, 1, "v1"), ("nan", float("nan"), 2.0, 1, "v1"), ("new", 10.0, 2.0, 1, "?"), ("none", 10.0, 2.0, 1, None)],
+        "trip_id string, fare_amount double, trip_distance double, passenger_count bigint, vendor_id string",
+    ).withColumn("scoring_date", F.lit(TARGET))
+    found = {r["trip_id"]: r for r in predict(odd, scorer, "m").collect()}
+    assert len(found) == 4 and found["null"]["predicted_is_high_tip"] == found["nan"]["predicted_is_high_tip"] == 0
+    assert found["new"]["predicted_is_high_tip_probs"] == found["none"]["predicted_is_high_tip_probs"]
 
 
-def test_auc_equals_the_library_evaluator(trained):
+def test_auc_equals_the_library_evaluator(trained, tmp_path):
     view, model = trained
-    out = detached(model).transform(view).withColumn("p1", vector_to_array("probability")[1])
+    out = fitted(model, view, tmp_path / "m")
     want = BinaryClassificationEvaluator(labelCol=schemas.LABEL, numBins=0).evaluate(out)
     assert evaluate(out, [], schemas.LABEL).collect()[0]["roc_auc"] == pytest.approx(want, abs=1e-9)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
@@ -9,15 +10,12 @@ from operator import add
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.ml.feature import OneHotEncoderModel, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.sources.shared import fresh_dir
+from tidegate.functions.rows import above
 
 PROBABILITY_CLIP = 1e-15
-# A CASE chain longer than this is slower than the fitted stages.
-MAX_CASE_BRANCHES = 100
 
 
 @dataclass(frozen=True)
@@ -29,47 +27,30 @@ class LinearScorer:
     categorical: dict[str, dict[str, float]] = field(default_factory=dict)
 
     def probability(self) -> Column:
+        """NULL for a row with a NULL number, NaN for one with a NaN; an unseen category adds nothing."""
         terms = [F.lit(float(self.intercept))]
         terms += [F.col(c).cast("double") * F.lit(float(w)) for c, w in self.numeric.items()]
-        for column, weights in self.categorical.items():
-            branch = None
-            for value, weight in weights.items():
-                hit = F.col(column) == value
-                branch = F.when(hit, float(weight)) if branch is None else branch.when(hit, float(weight))
-            if branch is not None:
-                terms.append(branch.otherwise(0.0))
+        terms += [looked_up(F.col(c), weights) for c, weights in self.categorical.items() if weights]
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-reduce(add, terms)))
 
     def score(self, df: DataFrame) -> DataFrame:
         return df.withColumn("p1", self.probability())
 
 
-@dataclass(frozen=True)
-class FittedScorer:
-    """Scores with the fitted stages; used when the categories are too many to inline."""
-
-    model: PipelineModel
-
-    def score(self, df: DataFrame) -> DataFrame:
-        scored = self.model.transform(df).withColumn("p1", vector_to_array("probability")[1])
-        return scored.select(*df.columns, "p1")
-
-
-def detached(model: PipelineModel) -> PipelineModel:
-    """The model as saved and loaded, if it was fitted in this session.
-
-    A freshly fitted model keeps its training summary, which refers to the
-    session and cannot travel to the tasks once the session observed a write.
-    """
-    if not any(isinstance(s, LogisticRegressionModel) and s.hasSummary for s in model.stages):
-        return model
-    path = fresh_dir(SparkSession.active(), "model")
-    model.write().save(path)
-    return PipelineModel.load(path)
+def looked_up(value: Column, weights: dict[str, float]) -> Column:
+    """The weight of a value, 0 for any other: a table of small maps, found by the value's hash."""
+    buckets: dict[int, list[Column]] = {}
+    n = max(1, len(weights) // 4)
+    for key, weight in weights.items():
+        buckets.setdefault(zlib.crc32(key.encode()) % n, []).extend((F.lit(key), F.lit(float(weight))))
+    empty = F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<double>"))
+    table = F.array(*[F.create_map(*buckets[i]) if i in buckets else empty for i in range(n)])
+    slot = F.pmod(F.crc32(F.coalesce(value, F.lit(""))), F.lit(n)).cast("int") + 1
+    return F.coalesce(F.element_at(F.element_at(table, slot), value), F.lit(0.0))
 
 
-def scorer_of(model: PipelineModel) -> LinearScorer | FittedScorer:
-    """Inline a fitted logistic model when its category count is small (M2)."""
+def scorer_of(model: PipelineModel) -> LinearScorer:
+    """A fitted logistic model as column algebra, for any number of categories (M2)."""
     logistic = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
     indexers = [s for s in model.stages if isinstance(s, StringIndexerModel)]
     encoders = [s for s in model.stages if isinstance(s, OneHotEncoderModel)]
@@ -79,8 +60,6 @@ def scorer_of(model: PipelineModel) -> LinearScorer | FittedScorer:
         for s in indexers
         for column, values in zip(s.getInputCols(), s.labelsArray, strict=True)
     }
-    if sum(map(len, labels.values())) > MAX_CASE_BRANCHES:
-        return FittedScorer(detached(model))
     category_of = {}
     for encoder in encoders:
         for indexed, encoded in zip(encoder.getInputCols(), encoder.getOutputCols(), strict=True):
@@ -100,7 +79,7 @@ def scorer_of(model: PipelineModel) -> LinearScorer | FittedScorer:
 
 
 def predicted_class(p1: Column) -> Column:
-    return F.when(p1 > 0.5, F.lit(1)).otherwise(F.lit(0)).cast("long")
+    return F.when(above(p1, 0.5), F.lit(1)).otherwise(F.lit(0)).cast("long")
 
 
 def class_probs(p1: Column) -> Column:
