@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.scoring import clipped
-from tidegate.operators.quantiles import SKETCH_ACCURACY
+from tidegate.functions.rows import above
+from tidegate.operators.quantiles import near_quantiles
 
 METRICS = ("precision", "recall", "accuracy", "f1_score", "log_loss", "roc_auc")
 
@@ -27,13 +28,12 @@ def score_histogram(scored: DataFrame, by: list[str], label: str, score: str = "
 
 
 def score_edges(scored: DataFrame, score: str = "p1", buckets: int | None = None) -> list[float]:
-    """Inner bucket limits that spread the scores; at most ``buckets`` doubles."""
+    """Inner bucket limits that spread the scores, as many as there are shuffle partitions."""
     if buckets is None:
         buckets = int(scored.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = max(2, min(buckets, SKETCH_ACCURACY // 10))
-    wanted = [i / buckets for i in range(1, buckets)]
-    row = scored.agg(F.percentile_approx(score, wanted, SKETCH_ACCURACY).alias("q")).collect()[0]
-    return sorted(set(row["q"] or ()))
+    buckets = max(2, buckets)
+    found = near_quantiles(scored, {score: (F.col(score), [i / buckets for i in range(1, buckets)])})[score]
+    return sorted(set(found or ()))
 
 
 def evaluate(
@@ -60,7 +60,7 @@ def evaluate(
     pos, neg, p = F.col("pos"), F.col("neg"), clipped(F.col("score"))
     below = Window.partitionBy(*by, "bucket").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     ranked = bucketed.withColumn("neg_below", F.coalesce(F.sum("neg").over(below), F.lit(0)))
-    hit = F.col("score") > 0.5
+    hit = above(F.col("score"), 0.5)
     per_bucket = ranked.groupBy(*by, "bucket").agg(
         F.sum(pos * (F.col("neg_below") + neg / 2)).alias("wins"),
         F.sum("pos").alias("pos"),

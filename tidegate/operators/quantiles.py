@@ -12,7 +12,11 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SKETCH_ACCURACY = 10_000
+#: Points that a group of rows is summed up by, and the number of groups.
+SKETCH_ACCURACY = 512
+GROUPS = 64
+#: Rows of a bracket that one task may order.
+EXACT_ROWS = 20_000
 
 
 @dataclass
@@ -34,9 +38,33 @@ def _rank(prob: float, count: int) -> int:
     return max(1, math.ceil(Fraction(str(prob)) * count))
 
 
-def _sketch(value: Column, fractions: list[float], accuracy: int) -> Column:
-    clamped = [min(1.0, max(0.0, f)) for f in fractions]
-    return F.percentile_approx(value, clamped, accuracy)
+def near_quantiles(
+    df: DataFrame, wanted: dict[str, tuple[Column, list[float]]], accuracy: int = SKETCH_ACCURACY
+) -> dict[str, list[float] | None]:
+    """Quantiles of several columns, off by some 1 / accuracy of the rows, in two levels.
+
+    Tasks fall into ``GROUPS`` groups, whose sketches merge in as many reducers; each
+    group is left with ``accuracy`` evenly spaced values. The last task orders those
+    alone, each with its group's count as its weight, whatever the size of the table.
+    A column without values gives None.
+    """
+    points = [(i + 0.5) / accuracy for i in range(accuracy)]
+    grouped = df.withColumn("sketch_group", F.spark_partition_id() % GROUPS).groupBy("sketch_group")
+    names = {name: f"ask{i}" for i, name in enumerate(wanted)}
+    level = grouped.agg(
+        *[
+            F.struct(F.count(value).alias("n"), F.percentile_approx(value, points, 4 * accuracy).cast("array<double>").alias("q")).alias(names[name])
+            for name, (value, _) in wanted.items()
+        ]
+    )
+    each = level.select(F.inline(F.array(*[F.struct(F.lit(n).alias("ask"), F.col(f"{n}.n").alias("n"), F.col(f"{n}.q").alias("q")) for n in names.values()])))
+    flat = each.where("n > 0").select("ask", "n", F.explode("q").alias("value"))
+    answers = [
+        F.percentile(F.when(F.col("ask") == names[name], F.col("value")), [min(1.0, max(0.0, f)) for f in fractions], F.col("n")).alias(names[name])
+        for name, (_, fractions) in wanted.items()
+    ]
+    row = flat.agg(*answers).collect()[0]
+    return {name: None if row[names[name]] is None else list(row[names[name]]) for name in wanted}
 
 
 def exact_quantiles(
@@ -44,12 +72,11 @@ def exact_quantiles(
 ) -> dict[str, list[float] | None]:
     """A3: ``percentile_disc`` of several columns without sorting the data.
 
-    A mergeable sketch brackets each quantile, a counting pass checks the
-    bracket, and a sketch of the bracket alone narrows it again, until its rows
-    are few enough for the sketch to be exact. Every pass is an aggregate with
-    map-side partials; nothing but counts and bracket values reaches the driver.
-    Each round shrinks the bracket by the sketch's accuracy, so three passes do
-    up to some ten million rows and five do the rest. The passes share one
+    ``near_quantiles`` brackets each quantile, a counting pass checks the bracket,
+    and quantiles of the bracket alone narrow it again, until its rows are at most
+    ``EXACT_ROWS``, which one task orders. Nothing but counts and bracket values
+    reaches the driver. Each round shrinks a bracket some hundredfold, so three
+    passes do up to some hundred million rows and five do the rest. They share one
     spillable copy of the value columns; a lost executor's part of it is read
     again. NULL and NaN are ignored; a column without values gives None.
     """
@@ -63,21 +90,15 @@ def exact_quantiles(
 
 def _search_all(values: DataFrame, probs: dict[str, list[float]], accuracy: int) -> dict[str, list[float] | None]:
     slack = 2.0 / accuracy
-    first = []
-    for c, ps in probs.items():
-        first += [
-            F.count(c).alias(f"n_{c}"),
-            F.min(c).alias(f"min_{c}"),
-            F.max(c).alias(f"max_{c}"),
-            _sketch(F.col(c), [f for p in ps for f in (p - slack, p + slack)], accuracy).alias(f"q_{c}"),
-        ]
-    row = values.agg(*first).collect()[0]
+    row = values.agg(*[f(c).alias(f"{n}_{c}") for c in probs for n, f in (("n", F.count), ("min", F.min), ("max", F.max))]).collect()[0]
+    around = {c: (F.col(c), [f for p in ps for f in (p - slack, p + slack)]) for c, ps in probs.items()}
+    sketched = near_quantiles(values, around, accuracy)
     searches: dict[str, list[_Search]] = {}
     for c, ps in probs.items():
         count = row[f"n_{c}"]
         searches[c] = []
         for i, p in enumerate(ps if count else ()):
-            low, high = row[f"q_{c}"][2 * i : 2 * i + 2]
+            low, high = sketched[c][2 * i : 2 * i + 2]
             s = _Search(c, _rank(p, count), low, high, slack)
             if s.rank == 1:
                 s.found = row[f"min_{c}"]
@@ -89,7 +110,8 @@ def _search_all(values: DataFrame, probs: dict[str, list[float]], accuracy: int)
     while open_ := [s for s in every if s.found is None]:
         _place(values, limits, open_)
         _narrow(values, [s for s in open_ if s.found is None], accuracy)
-    return {c: [s.found for s in each] or None for c, each in searches.items()}
+    whole = {c for c, kind in values.dtypes if kind in ("tinyint", "smallint", "int", "bigint")}
+    return {c: [int(s.found) if c in whole else s.found for s in each] or None for c, each in searches.items()}
 
 
 def _place(values: DataFrame, limits: dict, searches: list[_Search]) -> None:
@@ -137,15 +159,20 @@ def _narrow(values: DataFrame, searches: list[_Search], accuracy: int) -> None:
     asked = [s for s in searches if s.between]
     if not asked:
         return
-    inside = [(F.col(s.column) > s.low) & (F.col(s.column) < s.high) for s in asked]
-    sketches = []
+    inside = [F.when((F.col(s.column) > s.low) & (F.col(s.column) < s.high), F.col(s.column)) for s in asked]
+    rows = values.where(reduce(or_, [value.isNotNull() for value in inside]))
+    few = [i for i, s in enumerate(asked) if s.between <= EXACT_ROWS]
+    if few:
+        ordered = [F.sort_array(F.collect_list(inside[i]))[asked[i].rank - asked[i].below - 1].alias(f"q{i}") for i in few]
+        row = rows.agg(*ordered).collect()[0]
+        for i in few:
+            asked[i].found = row[f"q{i}"]
+    many = {}
     for i, s in enumerate(asked):
-        at = (s.rank - s.below) / s.between
-        wanted = [at, at - s.slack, at + s.slack]
-        sketches.append(_sketch(F.when(inside[i], F.col(s.column)), wanted, accuracy).alias(f"q{i}"))
-    row = values.where(reduce(or_, inside)).agg(*sketches).collect()[0]
-    for i, s in enumerate(asked):
-        middle, s.low, s.high = row[f"q{i}"]
-        # Asked for a whole rank, the sketch is exact while its error stays below half a row.
-        if s.between <= 0.4 * accuracy:
-            s.found = middle
+        if i not in few:
+            at = (s.rank - s.below) / s.between
+            many[str(i)] = (inside[i], [at - s.slack, at + s.slack])
+    if many:
+        for i, (low, high) in near_quantiles(rows, many, accuracy).items():
+            asked[int(i)].low, asked[int(i)].high = low, high
+
