@@ -31,15 +31,13 @@ EVENTS = T.StructType(
 )
 
 
-def read_events(spark: SparkSession, folder: str, pattern: str = "events*.parquet") -> DataFrame:
-    """Event files arriving in a folder, one file per micro-batch."""
+def read_events(spark: SparkSession, folder: str, pattern: str = "events*.parquet", files_per_batch: int | None = None) -> DataFrame:
+    """Event files arriving in a folder; a micro-batch takes all there are unless told how many."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    stream = (
-        spark.readStream.schema(EVENTS)
-        .option("pathGlobFilter", pattern)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(folder)
-    )
+    reader = spark.readStream.schema(EVENTS).option("pathGlobFilter", pattern)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(folder)
     return stream.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
