@@ -12,7 +12,8 @@ from tidegate.functions.scoring import LinearScorer
 from tidegate.operators.alerts import run_status_feed
 from tidegate.operators.guards import DriftDetected
 from tidegate.plans.ingest import ingest_partition, seed
-from tidegate.plans.nightly import RunRecord, backfill, run_nightly
+from tidegate.plans.ledger import RunOutcome, ledger_rows, outcomes, rows_scored_so_far
+from tidegate.plans.nightly import backfill, run_nightly
 from tidegate.plans.scoring import score_dates, score_partition
 from tidegate.sources.shared import fresh_dir
 from tidegate.sources.tables import append_rows, attach_partitions, create_table, create_tables, partition_counts, replace_table
@@ -201,20 +202,62 @@ def test_append_counts_rows(spark, job):
 DAY = dt.date(2026, 10, 6)
 
 
-def test_success_message():
-    run = RunRecord(DAY, 0.25, 0, 252.0, rows_scored=69817, psi=0.0123, roc_auc=0.7906)
-    assert run.message == (
+def described(spark, *runs):
+    return ledger_rows(outcomes(spark, list(runs))).collect()
+
+
+def test_success_message(spark):
+    done, unlabelled = described(
+        spark, RunOutcome(DAY, 0.25, 0, rows_scored=69817, psi=0.0123, roc_auc=0.7906, duration_s=252.0), RunOutcome(DAY, 0.25, 0, rows_scored=10, psi=0.01, duration_s=9.0)
+    )
+    assert done["status_message"] == (
         "SUCCEEDED: scored 69,817 rows for 2026-10-06 in 4m 12s. "
         "Drift PSI 0.0123 (threshold 0.25). ROC-AUC 0.7906."
     )
-    assert "ROC-AUC not evaluated" in RunRecord(DAY, 0.25, 0, 9.0, rows_scored=10, psi=0.01).message
+    assert "ROC-AUC not evaluated" in unlabelled["status_message"] and "in 9s." in unlabelled["status_message"]
 
 
-def test_halt_and_failure_messages():
-    halted = RunRecord(DAY, 0.25, 2, 30.0, psi=0.45, error=DriftDetected("PSI is 0.4500 (Threshold: 0.25)", 0.45))
+def test_halt_and_failure_messages(spark):
+    halted, failed, unknown = described(
+        spark,
+        RunOutcome(DAY, 0.25, 2, psi=0.45, error=DriftDetected("PSI is 0.4500 (Threshold: 0.25)", 0.45), duration_s=30.0),
+        RunOutcome(DAY, 0.0001, 3, error=RuntimeError("503 backend unavailable"), duration_s=61.0),
+        RunOutcome(DAY, 0.25, 77),
+    )
     for part in ("before any predictions were written", "PSI is 0.4500", "Do not retry", "after 30s"):
-        assert part in halted.message
-    failed = RunRecord(DAY, 0.25, 3, 61.0, error=RuntimeError("503 backend unavailable"))
-    assert "RuntimeError: 503 backend unavailable" in failed.message
-    assert "re-running TARGET_DATE=2026-10-06 is safe" in failed.message
-    assert halted.fields()["exit_code"] == "2" and failed.fields()["status"] == "FAILED"
+        assert part in halted["status_message"]
+    assert "RuntimeError: 503 backend unavailable" in failed["status_message"] and "1m 01s" in failed["status_message"]
+    assert "re-running TARGET_DATE=2026-10-06 is safe" in failed["status_message"]
+    assert (halted["exit_code"], failed["status"], unknown["status"]) == ("2", "FAILED", "FAILED")
+
+
+def test_small_baseline_halts_a_backfill(spark, job):
+    cfg = job(day_rows(TARGET, FARES), min_baseline_rows=10)
+    (run,) = backfill(spark, cfg, SCORER, [TARGET])
+    assert run.status == "HALTED" and spark.table(cfg.predictions_table).count() == 0
+
+
+def test_backfill_evaluates_and_counts_on(spark, job):
+    cfg = job(baseline_rows() + day_rows(TARGET, FARES) + day_rows(NEXT, FARES))
+    runs = backfill(spark, cfg, SCORER, [TARGET, NEXT])
+    assert all(0 <= run.roc_auc <= 1 and "ROC-AUC 0." in run.message or run.roc_auc == 1 for run in runs)
+    backfill(spark, cfg, SCORER, [NEXT])
+    points = spark.table(cfg.metrics_table).where("name = 'rows_scored'").select("value").collect()
+    assert sorted(r.value for r in points) == [100.0, 200.0, 300.0]
+    assert rows_scored_so_far(spark.table(cfg.metrics_table), cfg.model_name) == 300.0
+
+
+def test_low_quality_and_missing_labels_leave_warnings(spark, job):
+    worse = LinearScorer(2.0, {"fare_amount": -0.1}, {"vendor_id": {}})
+    unlabelled = [r[:10] + (None,) + r[11:] for r in day_rows(NEXT, FARES)]
+    cfg = job(baseline_rows() + day_rows(TARGET, FARES) + unlabelled)
+    backfill(spark, cfg, worse, [TARGET, NEXT])
+    said = [r.message for r in spark.table(cfg.logs_table).where("severity = 'WARNING'").orderBy("message").collect()]
+    assert len(said) == 2 and "below 0.6" in said[0] and "not evaluated" in said[1]
+
+
+def test_any_error_leaves_a_ledger_row(spark, job):
+    cfg = job(baseline_rows() + day_rows(TARGET, FARES), canary_feature="no_such_column")
+    assert [run.status for run in backfill(spark, cfg, SCORER, [TARGET])] == ["FAILED"]
+    (row,) = ledger(spark, cfg)
+    assert row["exit_code"] == "3" and "no_such_column" in row["status_message"]

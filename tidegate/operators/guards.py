@@ -52,6 +52,14 @@ def require_stable(psi: float | None, cfg: JobConfig) -> float:
     return value
 
 
+def require_baseline(rows: int, cfg: JobConfig) -> None:
+    if rows < cfg.min_baseline_rows:
+        raise InsufficientData(
+            f"baseline {cfg.baseline_start}..{cfg.baseline_end} has {rows:,} usable rows, "
+            f"below the minimum of {cfg.min_baseline_rows:,}"
+        )
+
+
 def check_volume(view: DataFrame, cfg: JobConfig) -> int:
     """A1, G1: the pre-flight count, one pruned partition."""
     rows = partition(view, cfg.target).count()
@@ -60,13 +68,9 @@ def check_volume(view: DataFrame, cfg: JobConfig) -> int:
 
 
 def check_drift(view: DataFrame, cfg: JobConfig) -> float:
-    """Pre-flight first, then PSI of the canary."""
+    """Pre-flight first, then the baseline, then PSI of the canary."""
     check_volume(view, cfg)
     window = (cfg.baseline_start, cfg.baseline_end)
     row = psi_report(view, cfg.canary_feature, window, cfg.target).collect()[0]
-    if row["baseline_rows"] < cfg.min_baseline_rows:
-        raise InsufficientData(
-            f"baseline {window[0]}..{window[1]} has {row['baseline_rows']:,} usable rows, "
-            f"below the minimum of {cfg.min_baseline_rows:,}"
-        )
+    require_baseline(row["baseline_rows"], cfg)
     return require_stable(row["total_psi"], cfg)

@@ -1,175 +1,104 @@
-"""The nightly run, its record, and backfills over many dates."""
+"""The nightly run and backfills: guard, evaluate, score and record, for one date or many."""
 
 from __future__ import annotations
 
 import datetime as dt
-import json
 import time
-from dataclasses import dataclass, replace
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidegate import schemas
-from tidegate.config import EXIT_FAILED, EXIT_HALTED, EXIT_OK, RUN_SUMMARY_EVENT, JobConfig
+from tidegate.config import EXIT_FAILED, EXIT_HALTED, JobConfig
 from tidegate.operators.drift import psi_matrix
-from tidegate.operators.features import feature_view, register_feature_view
-from tidegate.operators.guards import DriftDetected, InsufficientData, check_drift, require_stable, require_volume
+from tidegate.operators.evaluate import evaluate
+from tidegate.operators.features import labelled, register_feature_view
+from tidegate.operators.guards import DriftDetected, InsufficientData, require_baseline, require_stable, require_volume
 from tidegate.plans.ingest import ingest_partition
-from tidegate.plans.scoring import evaluate_partition, score_dates, score_partition
-from tidegate.sources.tables import append_rows, partition_counts
-
-# Statuses by exit code, and the wording operators read.
-STATUS_OF = {EXIT_OK: "SUCCEEDED", EXIT_HALTED: "HALTED", EXIT_FAILED: "FAILED"}
-SUCCEEDED_TEXT = "SUCCEEDED: scored {rows:,} rows for {date} in {took}."
-PSI_TEXT = "Drift PSI {psi:.4f} (threshold {threshold})."
-AUC_TEXT = "ROC-AUC {auc:.4f}."
-NO_AUC_TEXT = "ROC-AUC not evaluated (labels not yet available)."
-HALTED_TEXT = (
-    "HALTED: a guardrail stopped the run for {date} after {took}, before any predictions were written. "
-    "Reason: {error}. Do not retry; fix or reload the input partition first."
-)
-FAILED_TEXT = (
-    "FAILED: unexpected error while processing {date} after {took}: {kind}: {error}. "
-    "Writes are idempotent, so re-running TARGET_DATE={date} is safe."
-)
-
-
-@dataclass(frozen=True)
-class RunRecord:
-    """What one run left behind; one ledger row."""
-
-    target_date: dt.date
-    psi_threshold: float
-    exit_code: int = EXIT_OK
-    duration_s: float = 0.0
-    rows_scored: int | None = None
-    psi: float | None = None
-    roc_auc: float | None = None
-    error: BaseException | None = None
-    execution: str = "local"
-
-    @property
-    def status(self) -> str:
-        return STATUS_OF.get(self.exit_code, "FAILED")
-
-    @property
-    def message(self) -> str:
-        took = duration_text(self.duration_s)
-        named = {"date": self.target_date, "took": took, "error": self.error}
-        if self.status == "HALTED":
-            return HALTED_TEXT.format(**named)
-        if self.status == "FAILED":
-            kind = type(self.error).__name__ if self.error else "Error"
-            return FAILED_TEXT.format(kind=kind, **named)
-        said = [SUCCEEDED_TEXT.format(rows=self.rows_scored or 0, **named)]
-        if self.psi is not None:
-            said.append(PSI_TEXT.format(psi=self.psi, threshold=self.psi_threshold))
-        said.append(NO_AUC_TEXT if self.roc_auc is None else AUC_TEXT.format(auc=self.roc_auc))
-        return " ".join(said)
-
-    def fields(self) -> dict:
-        def rounded(value):
-            return None if value is None else round(value, 4)
-
-        return {
-            "event": RUN_SUMMARY_EVENT,
-            "status": self.status,
-            "exit_code": str(self.exit_code),
-            "target_date": str(self.target_date),
-            "execution": self.execution,
-            "duration_s": round(float(self.duration_s), 1),
-            "rows_scored": self.rows_scored,
-            "psi": rounded(self.psi),
-            "psi_threshold": float(self.psi_threshold),
-            "roc_auc": rounded(self.roc_auc),
-            "status_message": self.message,
-        }
-
-
-def duration_text(seconds: float) -> str:
-    minutes, rest = divmod(round(seconds), 60)
-    return f"{minutes}m {rest:02d}s" if minutes else f"{rest}s"
-
-
-def record_run(spark: SparkSession, cfg: JobConfig, *runs: RunRecord) -> None:
-    """One ledger row, log record and set of metric points per run."""
-    now = dt.datetime.now(dt.timezone.utc)
-    ledger, logs, points = [], [], []
-    for run in runs:
-        fields = run.fields()
-        ledger.append((*fields.values(), now))
-        severity = "INFO" if run.status == "SUCCEEDED" else "ERROR"
-        logs.append((now, "run", severity, run.message, json.dumps(fields)))
-        model = {"model_name": cfg.model_name}
-        if run.psi is not None:
-            points.append(("feature_psi", "gauge", now, float(run.psi), {"feature": cfg.canary_feature, **model}))
-        if run.roc_auc is not None:
-            points.append(("roc_auc", "gauge", now, float(run.roc_auc), model))
-        if run.rows_scored is not None:
-            points.append(("rows_scored", "counter", now, float(run.rows_scored), model))
-    append_rows(spark, spark.createDataFrame(ledger, schemas.RUN_LEDGER).coalesce(1), cfg.ledger_table)
-    append_rows(spark, spark.createDataFrame(logs, schemas.RUN_LOGS).coalesce(1), cfg.logs_table)
-    if points:
-        append_rows(spark, spark.createDataFrame(points, schemas.RUN_METRICS).coalesce(1), cfg.metrics_table)
-
-
-def run_nightly(
-    spark: SparkSession, cfg: JobConfig, scorer, source: DataFrame | None = None, execution: str = "local"
-) -> RunRecord:
-    """Ingest, guard, evaluate, score. A guard's halt or a crash writes no prediction."""
-    started = time.monotonic()
-    run = RunRecord(cfg.target, cfg.psi_threshold, execution=execution)
-    try:
-        ingest_partition(spark, cfg, source)
-        view = register_feature_view(spark, cfg.features_table, cfg.feature_view)
-        run = replace(run, psi=check_drift(view, cfg))
-        quality = evaluate_partition(view, scorer, cfg).collect()[0]
-        run = replace(run, roc_auc=quality["roc_auc"])
-        run = replace(run, rows_scored=score_partition(spark, cfg, scorer)["rows_written"])
-    except DriftDetected as halt:
-        run = replace(run, exit_code=EXIT_HALTED, error=halt, psi=halt.psi)
-    except InsufficientData as halt:
-        run = replace(run, exit_code=EXIT_HALTED, error=halt)
-    except Exception as failure:
-        run = replace(run, exit_code=EXIT_FAILED, error=failure)
-    run = replace(run, duration_s=time.monotonic() - started)
-    record_run(spark, cfg, run)
-    return run
+from tidegate.plans.ledger import RunOutcome, record_runs
+from tidegate.plans.scoring import score_dates
+from tidegate.sources.tables import partition_counts, partitions
 
 
-def backfill(spark: SparkSession, cfg: JobConfig, scorer, days: list[dt.date]) -> list[RunRecord]:
-    """E5: guard and score many dates with a fixed number of jobs.
+def guarded(view: DataFrame, cfg: JobConfig, runs: dict[dt.date, RunOutcome]) -> list[dt.date]:
+    """G1, G2 for all dates: volumes and PSIs in one pass each; returns the dates that pass.
 
-    Volume and PSI of all dates come from one pass; dates that pass are scored
-    and replaced in one write, dates that halt keep the predictions they had.
+    Volume comes first, then the baseline, then drift. Dates that halt get their outcome.
     """
-    started = time.monotonic()
-    view = feature_view(spark.table(cfg.features_table))
-    wanted = F.col("scoring_date").isin(days)
+    volumes = partition_counts(view, runs)
+    for day, run in runs.items():
+        try:
+            require_volume(volumes[day], cfg, day)
+        except InsufficientData as halt:
+            runs[day] = replace(run, exit_code=EXIT_HALTED, error=halt)
+    asked = [day for day, run in runs.items() if run.error is None]
+    if not asked:
+        return []
     window = (cfg.baseline_start, cfg.baseline_end)
+    baseline_rows = 0
+    psis: dict[dt.date, float | None] = {}
+    wanted = F.col("scoring_date").isin(asked)
     in_baseline = F.col("scoring_date").between(F.lit(window[0]), F.lit(window[1]))
-    volumes = partition_counts(view, days)
-    matrix = psi_matrix(view.where(wanted | in_baseline), [cfg.canary_feature], window)
-    psis = {r["scoring_date"]: r["total_psi"] for r in matrix.where(wanted).collect()}
-    runs, passed = {}, []
-    for day in days:
-        run = RunRecord(day, cfg.psi_threshold, psi=psis.get(day))
+    for row in psi_matrix(view.where(wanted | in_baseline), [cfg.canary_feature], window).where(wanted).collect():
+        psis[row["scoring_date"]], baseline_rows = row["total_psi"], row["baseline_rows"]
+    passed = []
+    for day in asked:
         try:
-            require_volume(volumes[day], cfg, day)
-            run = replace(run, psi=require_stable(psis.get(day), cfg))
+            require_baseline(baseline_rows, cfg)
+            runs[day] = replace(runs[day], psi=require_stable(psis.get(day), cfg))
             passed.append(day)
-        except (InsufficientData, DriftDetected) as halt:
-            run = replace(run, exit_code=EXIT_HALTED, error=halt)
-        runs[day] = run
-    if passed:
-        try:
+        except DriftDetected as halt:
+            runs[day] = replace(runs[day], exit_code=EXIT_HALTED, error=halt, psi=halt.psi)
+        except InsufficientData as halt:
+            runs[day] = replace(runs[day], exit_code=EXIT_HALTED, error=halt)
+    return passed
+
+
+def quality(view: DataFrame, scorer, cfg: JobConfig, days: list[dt.date]) -> dict[dt.date, float | None]:
+    """M3 for all dates in one job: the AUC of each date's evaluation date."""
+    lag = dt.timedelta(days=cfg.eval_label_lag_days)
+    matured = partitions(view, min(days) - lag, max(days) - lag).where(F.col("scoring_date").isin([d - lag for d in days]))
+    rows = evaluate(scorer.score(labelled(matured)), ["scoring_date"], schemas.LABEL).collect()
+    found = {row["scoring_date"]: row["roc_auc"] for row in rows}
+    return {day: found.get(day - lag) for day in days}
+
+
+def run_dates(
+    spark: SparkSession, cfg: JobConfig, scorer, days: list[dt.date], source: DataFrame | None = None, execution: str = "local"
+) -> list[RunOutcome]:
+    """Guard, evaluate and score dates with a fixed number of jobs, and record every one of them.
+
+    Dates that pass are scored and replaced in one write; dates that halt keep the
+    predictions they had. An error fails the dates that no guard has halted. Whatever
+    happens, each date leaves a ledger row.
+    """
+    started = time.monotonic()
+    runs = {day: RunOutcome(day, cfg.psi_threshold, min_roc_auc=cfg.min_roc_auc, execution=execution) for day in days}
+    try:
+        if source is not None:
+            ingest_partition(spark, cfg, source)
+        view = register_feature_view(spark, cfg.features_table, cfg.feature_view)
+        passed = guarded(view, cfg, runs)
+        if passed:
+            for day, auc in quality(view, scorer, cfg, passed).items():
+                runs[day] = replace(runs[day], roc_auc=auc)
             score_dates(spark, cfg, scorer, passed)
             written = partition_counts(spark.table(cfg.predictions_table), passed)
-            runs.update({d: replace(runs[d], rows_scored=written[d]) for d in passed})
-        except Exception as failure:
-            runs.update({d: replace(runs[d], exit_code=EXIT_FAILED, error=failure) for d in passed})
-    took = time.monotonic() - started
-    done = [replace(runs[day], duration_s=took) for day in days]
-    record_run(spark, cfg, *done)
+            runs |= {day: replace(runs[day], rows_scored=written[day]) for day in passed}
+    except Exception as failure:
+        runs |= {day: replace(run, exit_code=EXIT_FAILED, error=failure) for day, run in runs.items() if run.error is None}
+    finally:
+        took = time.monotonic() - started
+        done = record_runs(spark, cfg, [replace(runs[day], duration_s=took) for day in days])
     return done
+
+
+def run_nightly(spark: SparkSession, cfg: JobConfig, scorer, source: DataFrame | None = None, execution: str = "local") -> RunOutcome:
+    """The target date, after its ingest."""
+    return run_dates(spark, cfg, scorer, [cfg.target], source, execution)[0]
+
+
+def backfill(spark: SparkSession, cfg: JobConfig, scorer, days: list[dt.date]) -> list[RunOutcome]:
+    """E5: the same run for many dates at once, without ingest."""
+    return run_dates(spark, cfg, scorer, days)
