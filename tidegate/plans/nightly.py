@@ -38,11 +38,12 @@ def guarded(view: DataFrame, cfg: JobConfig, runs: dict[dt.date, RunOutcome]) ->
     window = (cfg.baseline_start, cfg.baseline_end)
     baseline_rows = 0
     psis: dict[dt.date, float | None] = {}
-    wanted = F.col("scoring_date").isin(asked)
+    wanted = F.col("scoring_date").isin(list(runs))  # also recorded for dates that halt for their volume
     in_baseline = F.col("scoring_date").between(F.lit(window[0]), F.lit(window[1]))
     for row in psi_matrix(view.where(wanted | in_baseline), [cfg.canary_feature], window).where(wanted).collect():
         psis[row["scoring_date"]], baseline_rows = row["total_psi"], row["baseline_rows"]
     passed = []
+    runs |= {day: replace(run, psi=psis.get(day)) for day, run in runs.items() if run.error is not None}
     for day in asked:
         try:
             require_baseline(baseline_rows, cfg)

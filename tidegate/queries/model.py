@@ -245,22 +245,54 @@ def score_published(spark, sf_dir):
     )
 
 
+BACKFILL_SQL = f"""{SCORED}, {_matrix_sql(["fare_amount"])}, m AS ({metrics_sql("scored", "scoring_date")}),
+e AS (SELECT scoring_date AS eval_date, {METRIC_COLUMNS} FROM m),
+runs AS (SELECT *, target_rows < {MIN_ROWS} OR total_psi >= {GUARD_AT} AS halted FROM psi LEFT JOIN e ON scoring_date = eval_date
+  WHERE scoring_date BETWEEN DATE '{BACKFILL_DAYS[0]}' AND DATE '{BACKFILL_DAYS[-1]}')"""
+WARN_BELOW = 0.99
+
+
 @query(
     "backfill_published",
-    f"""WITH {VIEW}, {_matrix_sql(["fare_amount"])}
-    SELECT CAST(scoring_date AS VARCHAR) AS target_date,
-      CASE WHEN target_rows < {MIN_ROWS} OR total_psi >= {GUARD_AT} THEN 'HALTED' ELSE 'SUCCEEDED' END AS status,
-      CASE WHEN target_rows < {MIN_ROWS} OR total_psi >= {GUARD_AT} THEN '2' ELSE '0' END AS exit_code,
-      CASE WHEN target_rows < {MIN_ROWS} OR total_psi >= {GUARD_AT} THEN NULL ELSE target_rows END AS rows_scored,
-      total_psi AS psi
-    FROM psi WHERE scoring_date BETWEEN DATE '{BACKFILL_DAYS[0]}' AND DATE '{BACKFILL_DAYS[-1]}'""",
+    f"""WITH {BACKFILL_SQL}
+    SELECT CAST(scoring_date AS VARCHAR) AS target_date, CASE WHEN halted THEN 'HALTED' ELSE 'SUCCEEDED' END AS status,
+      CASE WHEN halted THEN '2' ELSE '0' END AS exit_code, CASE WHEN NOT halted THEN target_rows END AS rows_scored,
+      total_psi AS psi, CASE WHEN NOT halted THEN round(roc_auc, 4) END AS roc_auc
+    FROM runs""",
 )
 def backfill_published(spark, sf_dir):
-    """E5: six months guarded and scored together; the ledger they leave."""
+    """E5: six months guarded, evaluated and scored together; the ledger they leave."""
     cfg = _feature_table(spark, sf_dir, psi_threshold=GUARD_AT, min_row_count=MIN_ROWS)
     backfill(spark, cfg, FROZEN, BACKFILL_DAYS)
     ledger = spark.table(cfg.ledger_table)
-    return ledger.select("target_date", "status", "exit_code", "rows_scored", "psi")
+    return ledger.select("target_date", "status", "exit_code", "rows_scored", "psi", "roc_auc")
+
+
+@query(
+    "quality_warnings",
+    f"""WITH {BACKFILL_SQL}
+    SELECT CAST(scoring_date AS VARCHAR) AS target_date, round(roc_auc, 4) AS roc_auc, 'quality_warning' AS event
+    FROM runs WHERE NOT halted AND (roc_auc < {WARN_BELOW} OR roc_auc IS NULL)""",
+)
+def quality_warnings(spark, sf_dir):
+    """G4 in a run: the WARNING records that a backfill leaves for months below the AUC floor."""
+    cfg = _feature_table(spark, sf_dir, psi_threshold=GUARD_AT, min_row_count=MIN_ROWS, min_roc_auc=WARN_BELOW)
+    backfill(spark, cfg, FROZEN, BACKFILL_DAYS)
+    fields = F.from_json("fields", "event STRING, target_date STRING, roc_auc DOUBLE")
+    return spark.table(cfg.logs_table).where("severity = 'WARNING'").select(fields.alias("f")).select("f.target_date", "f.roc_auc", "f.event")
+
+
+@query(
+    "rows_scored_increase",
+    f"""WITH {BACKFILL_SQL} SELECT 'rows_scored' AS name, CAST(sum(target_rows) FILTER (WHERE NOT halted) AS DOUBLE) AS increase FROM runs""",
+)
+def rows_scored_increase(spark, sf_dir):
+    """R2 over run_metrics: the counter's points rise by what the runs scored."""
+    cfg = _feature_table(spark, sf_dir, psi_threshold=GUARD_AT, min_row_count=MIN_ROWS)
+    backfill(spark, cfg, FROZEN, BACKFILL_DAYS[:3])
+    backfill(spark, cfg, FROZEN, BACKFILL_DAYS[3:])
+    points = spark.table(cfg.metrics_table).where("name = 'rows_scored'")
+    return points.groupBy("name").agg(F.max("value").alias("increase"))
 
 
 RUN_METRICS_SQL = f"""{SCORED}, {_matrix_sql(["fare_amount"])}, t AS (SELECT * FROM scored WHERE {IN_TARGET}),
