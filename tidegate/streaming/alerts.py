@@ -52,31 +52,39 @@ def gauge_alert_stream(points: DataFrame, threshold: float, delay: str = WATERMA
 
 
 def increase_stream(points: DataFrame) -> DataFrame:
-    """R2, first half: increases per series, remembering each series' last reading."""
-
-    def increases(
-        key: tuple, batches: Iterable[pd.DataFrame], state: GroupState
-    ) -> Iterator[pd.DataFrame]:
-        last = state.get[0] if state.exists else 0.0
-        rows = pd.concat(list(batches)).sort_values(["ts", "seq"])
-        values = rows["value"].to_numpy()
-        steps = np.diff(values, prepend=last)
-        state.update((float(values[-1]),))
-        yield pd.DataFrame(
-            {
-                "model_name": rows["model_name"].to_numpy(),
-                "ts": rows["ts"].to_numpy(),
-                "increase": np.where(steps > 0, steps, 0.0),
-            }
-        )
+    """R2, first half: increases per series, remembering each series' newest reading.
+
+    A reading older than the newest (by time, then ``seq``) comes too late to count:
+    the newer one has counted its increase already. It is emitted with no increase and
+    marked late. A series' state is three numbers and stays as long as the query, since
+    a counter that came back after its state was dropped would count from zero.
+    """
 
-    return points.groupBy("series").applyInPandasWithState(
-        increases,
-        "model_name string, ts timestamp, increase double",
-        "last double",
-        "append",
-        GroupStateTimeout.NoTimeout,
+    def increases(key: tuple, batches: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        newest, order, last = state.get if state.exists else (-(2**63), -(2**63), 0.0)
+        rows = pd.concat(list(batches)).sort_values(["t", "seq"])
+        late = (rows["t"] < newest) | ((rows["t"] == newest) & (rows["seq"] <= order))
+        fresh = rows[~late]
+        if len(fresh):
+            end = fresh.iloc[-1]
+            state.update((int(end["t"]), int(end["seq"]), float(end["value"])))
+        steps = np.diff(fresh["value"].to_numpy(), prepend=last)
+        out = pd.DataFrame({"model_name": rows["model_name"], "t": rows["t"], "increase": 0.0, "late": late})
+        out.loc[~late.to_numpy(), "increase"] = np.where(steps > 0, steps, 0.0)
+        yield out
+
+    found = (
+        points.select("series", "model_name", F.unix_micros("ts").alias("t"), "seq", "value")
+        .groupBy("series")
+        .applyInPandasWithState(
+            increases,
+            "model_name string, t long, increase double, late boolean",
+            "t long, seq long, value double",
+            "append",
+            GroupStateTimeout.NoTimeout,
+        )
     )
+    return found.select("model_name", F.timestamp_micros("t").alias("ts"), "increase", "late")
 
 
 def increase_window_stream(increases: DataFrame, delay: str = WATERMARK) -> DataFrame:
