@@ -24,7 +24,8 @@ from tidegate.sources.tables import partition_counts, partitions
 def guarded(view: DataFrame, cfg: JobConfig, runs: dict[dt.date, RunOutcome]) -> list[dt.date]:
     """G1, G2 for all dates: volumes and PSIs in one pass each; returns the dates that pass.
 
-    Volume comes first, then the baseline, then drift. Dates that halt get their outcome.
+    Volume comes first, then the baseline, then drift. Dates that halt get their outcome,
+    and the PSI of the rows they have.
     """
     volumes = partition_counts(view, runs)
     for day, run in runs.items():
@@ -33,12 +34,12 @@ def guarded(view: DataFrame, cfg: JobConfig, runs: dict[dt.date, RunOutcome]) ->
         except InsufficientData as halt:
             runs[day] = replace(run, exit_code=EXIT_HALTED, error=halt)
     asked = [day for day, run in runs.items() if run.error is None]
-    if not asked:
+    if not any(volumes.values()):
         return []
     window = (cfg.baseline_start, cfg.baseline_end)
     baseline_rows = 0
     psis: dict[dt.date, float | None] = {}
-    wanted = F.col("scoring_date").isin(list(runs))  # also recorded for dates that halt for their volume
+    wanted = F.col("scoring_date").isin(list(runs))
     in_baseline = F.col("scoring_date").between(F.lit(window[0]), F.lit(window[1]))
     for row in psi_matrix(view.where(wanted | in_baseline), [cfg.canary_feature], window).where(wanted).collect():
         psis[row["scoring_date"]], baseline_rows = row["total_psi"], row["baseline_rows"]
