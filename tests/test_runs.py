@@ -11,10 +11,12 @@ from tidegate.config import JobConfig
 from tidegate.functions.scoring import LinearScorer
 from tidegate.operators.alerts import run_status_feed
 from tidegate.operators.guards import DriftDetected
+from tidegate.plans import ingest
 from tidegate.plans.ingest import ingest_partition, seed
 from tidegate.plans.ledger import RunOutcome, ledger_rows, outcomes, rows_scored_so_far
 from tidegate.plans.nightly import backfill, run_nightly
 from tidegate.plans.scoring import score_dates, score_partition
+from tidegate.sources import tables
 from tidegate.sources.shared import fresh_dir
 from tidegate.sources.tables import append_rows, attach_partitions, create_table, create_tables, partition_counts, replace_table
 
@@ -113,6 +115,29 @@ def test_ingest_fills_once(spark, job):
     assert {r["scoring_date"] for r in held} == {TARGET} and len(held) == 2
 
 
+def test_overlapping_ingests_leave_the_rows_once(spark, job, monkeypatch):
+    cfg = replay_job(job)
+    rows = [feature(day=dt.date(2022, 2, 22)), feature(day=dt.date(2022, 2, 22), trip_distance=7.0)]
+    monkeypatch.setattr(ingest, "is_populated", lambda *_: False)  # both look before either writes
+    for _ in range(2):
+        assert ingest_partition(spark, cfg, source(spark, rows)) == 2
+    assert spark.table(cfg.features_table).count() == 2
+
+
+def test_table_replacement_that_fails_while_writing_keeps_the_old_rows(spark, job, monkeypatch):
+    cfg = job(day_rows(TARGET, [10, 20]) + day_rows(NEXT, [5]))
+    spread = tables.clustered
+    broken = F.when(F.raise_error(F.lit("disk full")).isNull(), F.col("vendor_id"))
+    monkeypatch.setattr(tables, "clustered", lambda df: spread(df).withColumn("vendor_id", broken))
+    with pytest.raises(Exception, match="disk full"):
+        replace_table(spark, features(spark, day_rows(TARGET, [1, 2, 3])), cfg.features_table)
+    monkeypatch.setattr(tables, "clustered", spread)
+    spark.catalog.refreshTable(cfg.features_table)
+    assert partition_counts(spark.table(cfg.features_table), [TARGET, NEXT]) == {TARGET: 2, NEXT: 1}
+    assert replace_table(spark, features(spark, day_rows(TARGET, [1, 2, 3])), cfg.features_table) == 3
+    assert partition_counts(spark.table(cfg.features_table), [TARGET, NEXT]) == {TARGET: 3, NEXT: 0}
+
+
 def test_ingest_disabled_does_nothing(spark, job):
     cfg = job([])
     assert ingest_partition(spark, cfg, source(spark, [feature(day=dt.date(2022, 2, 22))])) == 0

@@ -86,11 +86,11 @@ def feature_rows(source: DataFrame, scoring_date: Column, null_label: bool = Fal
 def without_populated_dates(rows: DataFrame, table: DataFrame) -> DataFrame:
     """Keep only dates the table holds no row for; many dates in one job.
 
-    The broadcast side is one row per calendar date, a few thousand at most
-    however large the table, so the incoming rows are never shuffled by date.
+    The other side is one row per calendar date; whether it is broadcast is left to
+    its measured size.
     """
     held = table.select("scoring_date").distinct()
-    return rows.join(F.broadcast(held), "scoring_date", "left_anti")
+    return rows.join(held, "scoring_date", "left_anti")
 
 
 def source_window(source: DataFrame, first: dt.date, last: dt.date, *extra: dt.date) -> DataFrame:

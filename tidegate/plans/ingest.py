@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidegate.config import JobConfig
 from tidegate.functions.rows import on_day, remap_day, replay_source_date
 from tidegate.operators.features import feature_rows, source_window
-from tidegate.sources.tables import append_rows, clustered, is_populated, replace_table
+from tidegate.sources.tables import clustered, is_populated, replace_partitions, replace_table
 
 
 def replay_rows(source: DataFrame, cfg: JobConfig) -> DataFrame:
@@ -22,14 +22,15 @@ def replay_rows(source: DataFrame, cfg: JobConfig) -> DataFrame:
 def ingest_partition(spark: SparkSession, cfg: JobConfig, source: DataFrame | None) -> int:
     """Fill the target partition unless it holds rows; rows inserted, 0 = skipped.
 
-    The check reads one pruned partition and stops at the first row. The append
-    commits all files of the job together or none.
+    The check reads one pruned partition and stops at the first row. The date is
+    written by replacing it, so two runs that overlap leave its rows once.
     """
     if not cfg.enable_replay_ingest or source is None:
         return 0
     if is_populated(spark.table(cfg.features_table), cfg.target):
         return 0
-    return append_rows(spark, clustered(replay_rows(source, cfg)), cfg.features_table)
+    rows = clustered(replay_rows(source, cfg))
+    return replace_partitions(spark, rows, cfg.features_table, [cfg.target])["rows_written"]
 
 
 def seed_rows(

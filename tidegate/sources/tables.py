@@ -105,10 +105,20 @@ def append_rows(spark: SparkSession, df: DataFrame, name: str) -> int:
 
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str) -> int:
-    """Replace all rows of a table."""
-    out, seen = _counted(clustered(_in_table_order(spark, df, name)))
-    with _overwrite_mode(spark, "static"):
+    """Make a date-partitioned table hold exactly ``df``.
+
+    A static overwrite removes the old files before it writes. This one swaps each date
+    when the job commits, so an error at any stage keeps the old rows, and then empties
+    the dates that no row came for.
+    """
+    held = [r[PARTITION_COLUMN] for r in spark.table(name).select(PARTITION_COLUMN).distinct().collect()]
+    out, seen = _counted(clustered(_in_table_order(spark, df, name)), F.collect_set(PARTITION_COLUMN).alias("dates"))
+    with _overwrite_mode(spark, "dynamic"):
         out.write.mode("overwrite").insertInto(name)
+    arrived = set(seen.get["dates"])
+    for day in held:
+        if day not in arrived:
+            clear_partition(spark, name, day)
     return int(seen.get["rows"])
 
 
