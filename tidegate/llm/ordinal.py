@@ -132,7 +132,7 @@ def likelihood(model: Ordinal, buckets: np.ndarray, starts: np.ndarray, grade: n
 
 
 def fit(
-    buckets: np.ndarray, starts: np.ndarray, grade: np.ndarray, shrink: float = 3e-4, rounds: int = 300, rate: float = 1.0, support: int = SUPPORT
+    buckets: np.ndarray, starts: np.ndarray, grade: np.ndarray, shrink: float = 2e-4, rounds: int = 300, rate: float = 1.0, support: int = SUPPORT
 ) -> Ordinal:
     """Proximal gradient ascent; each weight's steps shorten with its own past gradients."""
     share = np.clip(np.cumsum(np.bincount(grade, minlength=GRADES))[:-1] / len(grade), 1e-3, 1 - 1e-3)
