@@ -74,7 +74,7 @@ def abnormal_exit_rows(spark, sf_dir):
     return abnormal_exits(star.log_lines(spark, sf_dir)).select("event_id", "message")
 
 
-def _log_records(spark, sf_dir):
+def log_records_of(events):
     """Purchases stand in for run summaries, with the exit code taken from the payload."""
     code = F.get_json_object("props", "$.k").cast("int") % 4
     status = F.when(code == 0, "SUCCEEDED").when(code == 2, "HALTED").otherwise("FAILED")
@@ -89,7 +89,7 @@ def _log_records(spark, sf_dir):
             code.cast("string").alias("exit_code"),
         )
     )
-    return star.events(spark, sf_dir).select(
+    return events.select(
         "ts", "event_id", status_severity(status).alias("severity"), fields.alias("fields")
     )
 
@@ -98,24 +98,22 @@ RECORDS = """records AS (SELECT ts, event_id, event_type, code, CASE code WHEN 0
   FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) % 4 AS code FROM events))"""
 
 
-@query(
-    "run_status_feed",
-    f"""WITH {RECORDS} SELECT strftime(ts, {STAMP}) AS ts, status, strftime(ts, '%Y-%m-%d') AS target_date,
+STATUS_ROWS = f"""WITH {RECORDS} SELECT strftime(ts, {STAMP}) AS ts, status, strftime(ts, '%Y-%m-%d') AS target_date,
     status || ': ' || event_type AS status_message, 'run-' || event_id AS execution, CAST(code AS VARCHAR) AS exit_code
-    FROM records WHERE event_type = 'purchase'""",
-)
+    FROM records WHERE event_type = 'purchase'"""
+ERROR_ROWS = f"WITH {RECORDS} SELECT event_id, 'ERROR' AS severity FROM records WHERE status IN ('HALTED', 'FAILED')"
+
+
+@query("run_status_feed", STATUS_ROWS)
 def run_status_rows(spark, sf_dir):
     """R4."""
-    return plain(run_status_feed(_log_records(spark, sf_dir)))
+    return plain(run_status_feed(log_records_of(star.events(spark, sf_dir))))
 
 
-@query(
-    "error_records",
-    f"WITH {RECORDS} SELECT event_id, 'ERROR' AS severity FROM records WHERE status IN ('HALTED', 'FAILED')",
-)
+@query("error_records", ERROR_ROWS)
 def error_records(spark, sf_dir):
     """R6."""
-    return errors_only(_log_records(spark, sf_dir)).select("event_id", "severity")
+    return errors_only(log_records_of(star.events(spark, sf_dir))).select("event_id", "severity")
 
 
 def rate_limit_sql(threshold: float) -> str:

@@ -9,17 +9,20 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions.rows import above
-from tidegate.operators.alerts import abnormal_exits
+from tidegate.operators.alerts import abnormal_exits, errors_only, run_status_feed
 from tidegate.queries.alerts import (
     ALERT_ABOVE,
     COUNTER_ROWS,
     COUNTERS,
+    ERROR_ROWS,
     EXIT_LINES,
     GAUGE_ROWS,
     GAUGES,
     INCIDENT_ROWS,
     INCIDENTS,
     NOTIFY_ABOVE,
+    STATUS_ROWS,
+    log_records_of,
     rate_limit_sql,
 )
 from tidegate.queries.base import plain, rounded
@@ -75,6 +78,18 @@ def stream_abnormal_exits(spark, sf_dir):
     return _emitted(abnormal_exits(events.select("event_id", message)), "abnormal-exits")
 
 
+@query("stream_run_status", STATUS_ROWS)
+def stream_run_status(spark, sf_dir):
+    """Each run summary as it arrives."""
+    return plain(_emitted(run_status_feed(log_records_of(read_events(spark, sf_dir))), "run-status"))
+
+
+@query("stream_error_records", ERROR_ROWS)
+def stream_error_records(spark, sf_dir):
+    """Each record of a halted or failed run as it arrives."""
+    return _emitted(errors_only(log_records_of(read_events(spark, sf_dir))).select("event_id", "severity"), "error-records")
+
+
 @query("stream_rate_limited", rate_limit_sql(NOTIFY_ABOVE))
 def stream_rate_limited(spark, sf_dir):
     """R5."""
