@@ -316,8 +316,10 @@ def near_duplicates(
     links = _kept(loaded.groupBy("leader", "cell").applyInArrow(compare, "a bigint, b bigint").distinct(), "verified")
     roots = connected(links)
     degree = links.select(F.explode(F.array("a", "b")).alias("content_id")).groupBy("content_id").agg(F.count(F.lit(1)).alias("n_links"))
-    own = named.select("content_id", F.explode(F.concat(F.array("head"), "members")).alias("doc_id"))
+    # a row is a content of a part, so a content that many documents have is one row for each part, until its ids are listed
+    own = named.select("content_id", F.concat(F.array("head"), "members").alias("ids"))
     classes = own.join(roots.withColumnRenamed("node", "content_id"), "content_id", "left").join(degree, "content_id", "left")
+    classes = classes.select("content_id", "root", "n_links", F.explode("ids").alias("doc_id"))
     ids = docs.select(F.col(id_col).cast("long").alias("doc_id")).where("doc_id IS NOT NULL").distinct()
     return ids.join(classes, "doc_id", "left").select(
         "doc_id",
