@@ -63,7 +63,9 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 SQL["op2_suffix_dedup"] = """
 WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
-win AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS k FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+blocks AS (SELECT doc_id, s, substr(h, 2 * s + 1, 2 * (512 + 49)) AS part FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 512)) AS s FROM d)),
+win AS (SELECT doc_id, s + j AS i, substr(part, 2 * j + 1, 100) AS k
+        FROM (SELECT doc_id, s, part, unnest(range(0, least(512, len(part) // 2 - 49))) AS j FROM blocks)),
 firsts AS (SELECT k, min(doc_id) AS m FROM win GROUP BY k),
 later AS (SELECT doc_id, i FROM win JOIN firsts USING (k) WHERE m < doc_id),
 edged AS (SELECT *, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 50 THEN 0 ELSE 1 END AS opens FROM later),
