@@ -6,7 +6,7 @@ and returns them, whatever other columns there are; the last one returns token i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import round_trip
@@ -53,15 +53,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without an id are in no class and stay.
     """
     send_package(spark)
-    groups = near_duplicates(docs).where("doc_id = group_id").select("doc_id")
+    kept = near_duplicates(docs).where("doc_id = group_id").select("doc_id")
     whole = _columns(docs)
-    # rows that share an id: all but the first text go; ids are many, so each window is small
-    named = whole.where("doc_id IS NOT NULL")
-    again = named.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce("text", F.lit(""))).alias("least")).where("n > 1")
-    single = named.join(again, "doc_id", "left_anti")
-    repeated = named.join(again, "doc_id").where("coalesce(text, '') = least").dropDuplicates(["doc_id"]).select(*COLUMNS)
-    kept = single.unionByName(repeated).join(groups, "doc_id", "left_semi").select(*COLUMNS)
-    return kept.unionByName(whole.where("doc_id IS NULL"))
+    # the texts are shuffled once, by id, and rows that share an id are ranked where they meet
+    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.coalesce("text", F.lit(""))))
+    named = whole.join(kept, "doc_id").withColumn("place", first).where("place = 1").select(*COLUMNS)
+    return named.unionByName(whole.where("doc_id IS NULL"))
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
