@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidegate.llm import parts
+from tidegate.llm import parts, suffix_dedup as op
 from tidegate.llm.suffix_dedup import previous_smaller, sliding_min, suffix_dedup, suffix_order
 
 SCHEMA = "doc_id bigint, text string, n_bytes string, spans string"
@@ -88,3 +88,32 @@ def test_parts_of_the_method():
 def test_only_short_and_empty_texts(spark):
     rows = suffix_dedup(spark.createDataFrame([(1, None, "x", "y"), (2, "", "x", "y"), (3, "short", "x", "y")], SCHEMA)).collect()
     assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (2, 0), (3, 0)]
+
+
+def test_order_of_repeated_strings(monkeypatch):
+    rng = np.random.default_rng(3)
+    buf = rng.integers(0, 2, 3000).astype(np.uint8)
+    buf[1000:1200] = buf[100:300]
+    places = np.arange(2900)
+    ids = rng.integers(0, 40, 2900)
+    data = buf.tobytes()
+    strings = [data[p : p + 30] for p in places]
+    least = {}
+    for s, i in zip(strings, ids):
+        least[s] = min(i, least.get(s, i))
+    want = [least[s] < i for s, i in zip(strings, ids)]
+    order = op.repeated_in_order(buf, places, 30)
+    counts = {s: strings.count(s) for s in set(strings)}
+    assert [strings[i] for i in order] == sorted(s for s in strings if counts[s] > 1)
+    assert op.has_previous_factor(buf, places, ids, 30).tolist() == want
+    monkeypatch.setattr(op, "span_hash", lambda b, p, e: np.zeros(len(p), np.uint64))
+    assert op.has_previous_factor(buf, places, ids, 30).tolist() == want
+
+
+def test_anchors_block_by_block(monkeypatch):
+    buf = np.random.default_rng(8).integers(97, 123, 5000).astype(np.uint8)
+    whole = op.anchors(buf, 50)
+    monkeypatch.setattr(op, "BLOCK", 700)
+    assert op.anchors(buf, 50).tolist() == whole.tolist()
+    assert all(s <= a <= s + 50 - op.GRAM for s, a in enumerate(whole.tolist()))
+    assert op.anchors(buf[:49], 50).tolist() == [] and len(op.anchors(buf[:50], 50)) == 1

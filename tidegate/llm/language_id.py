@@ -89,7 +89,10 @@ class Grams:
         size = len(self.alphabet)
         table = np.stack([letter_vector(int(p), dimensions) for p in self.alphabet])
         first, second = np.roll(table, 2, axis=1), np.roll(table, 1, axis=1)
-        return first[codes // size**2] * second[codes // size % size] * table[codes % size]
+        out = first[codes // size**2]
+        out *= second[codes // size % size]
+        out *= table[codes % size]
+        return out
 
 
 def _bundles(grams: Grams, n: int, dimensions: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -107,7 +110,7 @@ def train_profiles(docs: DataFrame, dimensions: int = DIMENSIONS, text_col: str
     """One prototype for each language of the rows that have a text and a language."""
     rows = docs.select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang")).dropna()
 
-    def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in steps(batch, "text"):
@@ -116,16 +119,17 @@ def train_profiles(docs: DataFrame, dimensions: int = DIMENSIONS, text_col: str
                     continue
                 langs = np.array(part.column("lang").to_pylist(), object)[grams.text]
                 codes, index = np.unique(grams.code, return_inverse=True)
-                vectors = grams.vectors(codes, dimensions)
-                for lang in sorted(set(langs)):
-                    mine = langs == lang
-                    counts = np.bincount(index[mine], weights=grams.count[mine], minlength=len(codes))
-                    sums[lang] = sums.get(lang, 0) + counts @ vectors
+                names = sorted(set(langs))
+                counts = np.stack([np.bincount(index[langs == x], weights=grams.count[langs == x], minlength=len(codes)) for x in names])
+                for low in range(0, len(codes), 16 * GROUP):  # some vectors at a time
+                    some = slice(low, low + 16 * GROUP)
+                    for lang, bundle in zip(names, counts[:, some] @ grams.vectors(codes[some], dimensions), strict=True):
+                        sums[lang] = sums.get(lang, 0) + bundle
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], names=["lang", "bundle"]
         )
 
-    parts = rows.mapInArrow(bundle, "lang string, bundle array<double>").select("lang", F.posexplode("bundle").alias("at", "value"))
+    parts = rows.mapInArrow(add_up, "lang string, bundle array<double>").select("lang", F.posexplode("bundle").alias("at", "value"))
     whole = parts.groupBy("lang", "at").agg(F.sum("value").alias("value"))
     found = whole.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "value"))).alias("bundle")).collect()
     return {r.lang: np.array([x.value for x in r.bundle]) for r in sorted(found, key=lambda r: r.lang)}

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.llm import parts
-from tidegate.llm.textkit import SPANS, U64, Texts, covered, from_planes, gather, grouped, member, mix, planes, runs, span_hash, spans_array
+from tidegate.llm.textkit import BLOCK, SPANS, U64, Texts, covered, from_planes, gather, grouped, member, mix, planes, runs, span_hash, spans_array
 
 GRAM = 16
 RESULT = f"doc_id bigint, n_bytes bigint, n_removed bigint, kept binary, kept_text string, spans {SPANS}"
@@ -51,6 +51,25 @@ def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[: len(x) - (width - span)], x[width - span :]) if width > span else x
 
 
+def gram_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Hash of a gram from its two halves."""
+    return mix(first * U64(0x9E3779B97F4A7C15) + second)
+
+
+def anchors(buf: np.ndarray, length: int) -> np.ndarray:
+    """For each start of ``length`` bytes, the place of the least gram in them; block by block."""
+    n = len(buf) - length + 1
+    out = np.zeros(max(0, n), np.int32 if len(buf) < 1 << 31 else np.int64)
+    for low in range(0, n, BLOCK):
+        high = min(n, low + BLOCK)
+        eight = words8(buf[low : high + length - 1])
+        grams = gram_hash(eight[: len(eight) - GRAM + 1], eight[GRAM - 8 : len(eight) - 7])
+        grams &= U64(0xFFFFFFFF00000000)
+        grams |= np.arange(len(grams), dtype=U64)  # of equal ones the first
+        out[low:high] = (sliding_min(grams, length - GRAM + 1) & U64(0xFFFFFFFF)).astype(np.int64) + low
+    return out
+
+
 class Stretches:
     """Maximal runs of string starts that share one anchor: strings first..last, anchored at ``anchor``."""
 
@@ -62,10 +81,7 @@ class Stretches:
         if not long_enough.any():
             self.text = self.first
             return
-        eight = words8(texts.buf)
-        grams = mix(eight[: n - GRAM + 1] * U64(0x9E3779B97F4A7C15) + eight[GRAM - 8 : n - 7])
-        place = (grams & U64(0xFFFFFFFF00000000)) | np.arange(len(grams), dtype=U64)
-        least = (sliding_min(place, length - GRAM + 1) & U64(0xFFFFFFFF)).astype(np.int64)
+        least = anchors(texts.buf, length)
         low, high = texts.start[long_enough], texts.stop[long_enough] - length + 1
         delta = np.zeros(n + 1, np.int8)
         delta[low] += 1
@@ -77,8 +93,9 @@ class Stretches:
         head = np.flatnonzero(new)
         self.first = at[head]
         self.last = at[np.append(head[1:], len(at)) - 1]
-        self.anchor = anchor[head]
-        self.hash = grams[self.anchor]
+        self.anchor = anchor[head].astype(np.int64)
+        first, second = np.ascontiguousarray(texts.buf[self.anchor[:, None] + np.arange(GRAM)]).view("<u8").T
+        self.hash = gram_hash(first, second)
         self.text = np.searchsorted(texts.start, self.first, side="right") - 1
 
     def copies(self, texts: Texts, length: int) -> np.ndarray:
@@ -119,19 +136,44 @@ def previous_smaller(ids: np.ndarray, stretch: np.ndarray) -> np.ndarray:
     return before
 
 
-def has_previous_factor(buf: np.ndarray, places: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
-    """Whether the string at each place also starts in a document with a smaller id."""
-    order = suffix_order(buf, places, length)
-    ranked, ids = places[order], ids[order]
+def repeated_in_order(buf: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
+    """The places whose string occurs again, in suffix order.
+
+    A string that occurs once has no previous factor. The others are ordered by one
+    place of each distinct string; those of one string follow each other.
+    """
+    order, new = grouped(span_hash(buf, places, places + length))
+    head = np.flatnonzero(new)
+    size = np.diff(np.append(head, len(order)))
+    head, size = head[size > 1], size[size > 1]
+    ranked = suffix_order(buf, places[order[head]], length)
+    head, size = head[ranked], size[ranked]
+    ends = np.cumsum(size)
+    member_ = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(head - (ends - size), size)
+    out = order[member_]
+    first = np.repeat(order[head], size)
+    if not same_strings(buf, places[out], places[first], length).all():  # two strings share a hash
+        return suffix_order(buf, places, length)
+    return out
+
+
+def same_strings(buf: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
+    """Whether the strings at each pair of places are equal."""
     eight = words8(buf)
-    equal = np.ones(max(0, len(ranked) - 1), bool)
+    out = np.ones(len(one), bool)
     for j in [*range(0, length - 8, 8), length - 8]:
-        word = eight[ranked + j]
-        equal &= word[1:] == word[:-1]
-    stretch = np.append(0, np.cumsum(~equal))
-    above = previous_smaller(ids, stretch)
-    below = previous_smaller(ids[::-1], -stretch[::-1])[::-1]
-    out = np.empty(len(places), bool)
+        out &= eight[one + j] == eight[two + j]
+    return out
+
+
+def has_previous_factor(buf: np.ndarray, places: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """Whether the string at each place also starts in a document with a smaller id."""
+    order = repeated_in_order(buf, places, length)
+    ranked, own = places[order], ids[order]
+    stretch = np.append(0, np.cumsum(~same_strings(buf, ranked[1:], ranked[:-1], length)))
+    above = previous_smaller(own, stretch)
+    below = previous_smaller(own[::-1], -stretch[::-1])[::-1]
+    out = np.zeros(len(places), bool)
     out[order] = (above >= 0) | (below >= 0)
     return out
 

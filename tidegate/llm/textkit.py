@@ -5,8 +5,6 @@ Everything works on the UTF-8 bytes of a batch at once. A null text counts as em
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -85,16 +83,11 @@ class Words:
         return np.arange(len(self)) + width <= self.last[self.text]
 
 
-@lru_cache(maxsize=4)
-def _powers(base: int, size: int) -> np.ndarray:
-    out = np.full(size, base, U64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64."""
-    return _powers(base, max(1 << 16, 1 << int(n).bit_length()))[:n]
+    """base**0 .. base**(n-1) modulo 2**64; cheaper to make than to keep."""
+    out = np.full(n, base, U64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -110,7 +103,8 @@ def mix(x: np.ndarray) -> np.ndarray:
 _BYTE = mix(np.arange(1, 257, dtype=U64) * U64(_MUL))
 _BASE = 0xD6E8FEB86659FD93
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-BLOCK = 1 << 22
+#: Bytes that are hashed, or pieces' bytes that are copied, at a time.
+BLOCK = 1 << 18
 
 
 def span_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -203,12 +197,21 @@ def from_planes(data: bytes, dtype) -> np.ndarray:
 
 
 def gather(pieces: np.ndarray, piece_start: np.ndarray, piece_len: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Concatenate pieces of a byte table; returns the bytes and each piece's offset (one more than pieces)."""
+    """Concatenate pieces of a table; returns the items and each piece's offset (one more than pieces)."""
     lens = piece_len[which]
     offsets = np.zeros(len(which) + 1, np.int64)
     np.cumsum(lens, out=offsets[1:])
-    index = np.arange(offsets[-1]) + np.repeat(piece_start[which] - offsets[:-1], lens)
-    return pieces[index], offsets
+    out = np.empty(int(offsets[-1]), pieces.dtype)
+    at = 0
+    while at < len(which):
+        low = int(offsets[at])
+        to = max(at + 1, int(np.searchsorted(offsets, low + BLOCK, side="right")) - 1)
+        high = int(offsets[to])
+        index = np.arange(low, high)
+        index += np.repeat(piece_start[which[at:to]] - offsets[at:to], lens[at:to])
+        out[low:high] = pieces[index]
+        at = to
+    return out, offsets
 
 
 def spans_array(begin: np.ndarray, end: np.ndarray, owner: np.ndarray, n: int) -> pa.Array:
