@@ -302,10 +302,10 @@ def near_duplicates(
     heads = found.join(contents.select(F.col("content_id").alias("head")), "head", "left_semi")
 
     places = heads.select("head", F.posexplode("bands").alias("band", "value"))
-    buckets = places.groupBy("band", "value").agg(F.min("head").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    pairs = _kept(places.join(buckets, ["band", "value"]).where("head != leader").select("leader", "head").distinct(), "pairs")
-    cells = pairs.groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells"))
-    dealt = pairs.join(cells, "leader").select("leader", F.expr("pmod(xxhash64(head), cells)").alias("cell"), "head")
+    buckets = places.groupBy("band", "value").agg(F.min("head").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a bucket's contents are dealt to cells by their own hash, so no task meets a leader's whole following
+    met = places.join(buckets, ["band", "value"]).where("head != leader").groupBy("leader", "head").agg(F.max("n").alias("n"))
+    dealt = _kept(met.select("leader", F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / CELL)).alias("cell"), "head"), "pairs")
     leaders = dealt.select("leader", "cell", F.col("leader").alias("head")).distinct()
     loaded = dealt.unionByName(leaders).join(heads.select("head", "shingles", "weights"), "head")
 
