@@ -74,6 +74,35 @@ class Vocabulary:
         return out
 
 
+class Table:
+    """Numbers by 64-bit keys: open hash tables, each later one for what collides in those before."""
+
+    BITS = 18
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        self.slots = []
+        factor = 0x9E3779B97F4A7C15
+        while len(keys):
+            slot = self._slot(keys, factor)
+            _, first = np.unique(slot, return_index=True)
+            held, value = np.full(1 << self.BITS, np.uint64(0xFFFFFFFFFFFFFFFF)), np.zeros(1 << self.BITS, np.int32)
+            held[slot[first]], value[slot[first]] = keys[first], values[first]
+            self.slots.append((factor, held, value))
+            keys, values = np.delete(keys, first), np.delete(values, first)
+            factor = (factor * 0xD1342543DE82EF95 + 2) & ((1 << 64) - 1) | 1
+
+    def _slot(self, keys: np.ndarray, factor: int) -> np.ndarray:
+        return ((keys * np.uint64(factor)) >> np.uint64(64 - self.BITS)).astype(np.int64)
+
+    def get(self, keys: np.ndarray, otherwise: int) -> np.ndarray:
+        out = np.full(len(keys), otherwise, np.int64)
+        for factor, held, value in self.slots:
+            slot = self._slot(keys, factor)
+            hit = held[slot] == keys
+            out[hit] = value[slot[hit]]
+        return out
+
+
 class Labels:
     """The arcs' labels by file id."""
 
@@ -192,7 +221,9 @@ class Automaton(PieceMemory):
         n = len(self.left)
         # when a token came to be, in merges; bytes are there from the start
         self.time = np.concatenate((np.full(256, -1, np.int64), np.arange(n - 256)))
-        self._pairs(vocabulary)
+        # arc b that the state after a lost to a merge
+        pairs = (vocabulary.left.astype(np.uint64) << np.uint64(32)) | vocabulary.right.astype(np.uint64)
+        self.merges = Table(pairs, np.arange(len(pairs), dtype=np.int32))
         made = np.arange(256, n)
         self.alive = np.ones(n, bool)
         self.alive[256:] = self.has_arc(self.left[made].astype(np.int64), self.right[made].astype(np.int64), made - 256)
@@ -205,35 +236,9 @@ class Automaton(PieceMemory):
         self.size = np.array([len(x) for x in labels], np.int64)
         self.forget()
 
-    def _pairs(self, vocabulary: Vocabulary) -> None:
-        """Arc b that state a lost to merge k: two hash tables, the second for what collides in the first."""
-        pairs = (vocabulary.left.astype(np.uint64) << np.uint64(32)) | vocabulary.right.astype(np.uint64)
-        self.slots = []
-        rest = np.arange(len(pairs))
-        factor = 0x9E3779B97F4A7C15
-        while len(rest):
-            slot = self._slot(pairs[rest], factor)
-            _, first = np.unique(slot, return_index=True)
-            keys = np.full(1 << 20, np.uint64(0xFFFFFFFFFFFFFFFF))
-            when = np.zeros(1 << 20, np.int32)
-            keys[slot[first]], when[slot[first]] = pairs[rest[first]], rest[first]
-            self.slots.append((factor, keys, when))
-            rest = np.delete(rest, first)
-            factor = (factor * 0xD1342543DE82EF95 + 2) & ((1 << 64) - 1) | 1
-
-    @staticmethod
-    def _slot(pairs: np.ndarray, factor: int) -> np.ndarray:
-        return ((pairs * np.uint64(factor)) >> np.uint64(44)).astype(np.int64)
-
     def lost(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The merge of a and b, or a number beyond all merges."""
-        pairs = (a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64)
-        out = np.full(len(pairs), ENDLESS)
-        for factor, keys, when in self.slots:
-            slot = self._slot(pairs, factor)
-            hit = keys[slot] == pairs
-            out[hit] = when[slot[hit]]
-        return out
+        return self.merges.get((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64), int(ENDLESS))
 
     def _tree(self, labels: list[bytes]) -> None:
         child: list[dict[int, int]] = [{}]
@@ -248,10 +253,8 @@ class Automaton(PieceMemory):
                     token.append(-1)
                 node = following
             token[node] = number if self.alive[number] else -1
-        self.child = np.zeros((len(child), 256), np.int32)
-        for node, arcs in enumerate(child):
-            if arcs:
-                self.child[node, list(arcs)] = list(arcs.values())
+        arcs = [(node << 8 | byte, to) for node, each in enumerate(child) for byte, to in each.items()]
+        self.child = Table(np.array([k for k, _ in arcs], np.uint64), np.array([to for _, to in arcs], np.int32))
         self.token = np.array(token, np.int32)
 
     def has_arc(self, a: np.ndarray, b: np.ndarray, before: np.ndarray | None = None) -> np.ndarray:
@@ -281,10 +284,10 @@ class Automaton(PieceMemory):
         begin = np.repeat(start, size)
         end = np.repeat(start + size, size)
         place, depth = np.arange(len(buf)), 0
-        node = np.zeros(len(buf), np.int32)
+        node = np.zeros(len(buf), np.int64)
         arcs = []
         while len(place):
-            node = self.child[node, buf[place + depth]]
+            node = self.child.get((node.astype(np.uint64) << np.uint64(8)) | buf[place + depth], 0)
             token = self.token[node]
             is_token = token >= 0
             depth += 1
