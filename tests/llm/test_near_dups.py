@@ -109,3 +109,28 @@ def test_exact_copies_of_the_documents_share_a_class(spark):
     rows = {r.doc_id: r.group_id for r in near_duplicates(documents(spark, folder)).collect()}
     texts = {r.doc_id: r.text for r in documents(spark, folder).collect()}
     assert rows == brute(list(texts.items()))
+
+
+def near_pairs_of_a_template(n_pairs, seed):
+    """Texts of one template that are below 0.8 to each other, but for pairs that are a little above."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(200)]
+    docs = []
+    for pair in range(n_pairs):
+        words = list(base)
+        places = rng.sample(range(20), 6)
+        for k in places[:3]:
+            words[k * 10] = f"p{pair}-{k}"
+        other = list(words)
+        for k in places[3:]:
+            other[k * 10] = f"q{pair}-{k}"
+        docs += [(pair, " ".join(words)), (1000 - pair, " ".join(other))]
+    return docs
+
+
+def test_near_pairs_whose_leader_is_unlike_both(spark, monkeypatch):
+    monkeypatch.setattr(near_dups, "CELL", 2)
+    docs = near_pairs_of_a_template(80, 5)
+    want = brute(docs)
+    assert len(set(want.values())) > 40 and want[1000 - 70] == want[70]
+    assert found(spark, docs) == want

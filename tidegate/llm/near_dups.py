@@ -13,8 +13,9 @@ Documents of the same words are one *content*, held by its smallest id. In a buc
 content is paired with the smallest one, its leader; a leader's contents are compared in
 cells of bounded size: each is held against the leader, and the smallest that no link has
 reached yet is held against all others of the cell, until each has been reached or held.
-Links are verified on all shingles. Connected contents are a class, named by its smallest
-id.
+Contents of different cells of a leader that are not connected by then are held against
+each other cell by cell. Links are verified on all shingles. Connected contents are a
+class, named by its smallest id.
 
 A document can only have a near-duplicate of another content if shingles that other
 documents have too make up ``similarity`` of its weight, so all others stop early. That
@@ -167,6 +168,81 @@ def weighted_jaccard(one: tuple[np.ndarray, np.ndarray], tags: np.ndarray, weigh
     return shared / total
 
 
+#: Pairs of contents that are laid out at a time.
+PAIRS = 1 << 20
+
+
+def similarities(left: list[tuple[np.ndarray, np.ndarray]], right: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Weighted Jaccard similarity of each document (sorted tags, weights) of one list with each of another."""
+
+    def flat(side):
+        return np.concatenate([t for t, _ in side]), np.concatenate([w for _, w in side]), np.repeat(np.arange(len(side)), [len(t) for t, _ in side])
+
+    (tags, weights, owner), (other_tags, other_weights, other_owner) = flat(left), flat(right)
+    total = np.bincount(owner, weights, len(left))[:, None] + np.bincount(other_owner, other_weights, len(right))[None, :]
+    both = np.intersect1d(tags, other_tags)
+
+    def by_tag(tags, weights, owner):
+        keep = np.flatnonzero(member(tags, both))
+        number = np.searchsorted(both, tags[keep])
+        keep = keep[np.argsort(number, kind="stable")]
+        return weights[keep], owner[keep], np.append(0, np.cumsum(np.bincount(number, minlength=len(both))))
+
+    weights, owner, edge = by_tag(tags, weights, owner)
+    other_weights, other_owner, other_edge = by_tag(other_tags, other_weights, other_owner)
+    n, m = np.diff(edge), np.diff(other_edge)
+    shared = np.zeros((len(left), len(right)))
+    # tags of many documents one by one, the others many at a time
+    wide = n * m > 4096
+    for k in np.flatnonzero(wide):
+        a, b = slice(edge[k], edge[k + 1]), slice(other_edge[k], other_edge[k + 1])
+        shared[np.ix_(owner[a], other_owner[b])] += np.minimum.outer(weights[a], other_weights[b])
+    rare = np.flatnonzero(~wide)
+    block = np.cumsum(n[rare] * m[rare]) // PAIRS
+    for tags_of_block in np.split(rare, np.flatnonzero(np.diff(block)) + 1):
+        size = n[tags_of_block] * m[tags_of_block]
+        k = np.repeat(tags_of_block, size)
+        at = np.arange(len(k)) - np.repeat(np.cumsum(size) - size, size)
+        i, j = edge[k] + at // m[k], other_edge[k] + at % m[k]
+        pair = owner[i] * len(right) + other_owner[j]
+        shared += np.bincount(pair, np.minimum(weights[i], other_weights[j]), shared.size).reshape(shared.shape)
+    return shared / (total - shared)
+
+
+def joining(like: np.ndarray, roots: np.ndarray, other_roots: np.ndarray) -> list[tuple[int, int]]:
+    """Of the similar pairs (row, column), enough to connect the roots that they connect."""
+    row, column = np.nonzero(like & (roots[:, None] != other_roots[None, :]))
+    pairs = np.stack((roots[row], other_roots[column]), 1)
+    _, first = np.unique(pairs, axis=0, return_index=True)
+    up: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while x in up:
+            x = up[x]
+        return x
+
+    out = []
+    for k in np.sort(first):
+        a, b = top(int(pairs[k, 0])), top(int(pairs[k, 1]))
+        if a != b:
+            up[max(a, b)] = min(a, b)
+            out.append((int(row[k]), int(column[k])))
+    return out
+
+
+def compare_cells(table: pa.Table, similarity: float) -> list[tuple[int, int]]:
+    """Links between contents of different roots, one of the left and one of the right cell, as far as they connect roots."""
+    left = np.array(table.column("left").to_pylist(), bool)
+    ids, roots = (np.array(table.column(c).to_pylist(), np.int64) for c in ("head", "root"))
+    tags = [from_planes(x, U64) for x in table.column("shingles").to_pylist()]
+    weights = [from_planes(x, np.float32).astype(np.float64) for x in table.column("weights").to_pylist()]
+    one, two = ([i for i in np.argsort(ids, kind="stable") if left[i] == side] for side in (True, False))
+    if not one or not two:
+        return []
+    like = similarities([(tags[i], weights[i]) for i in one], [(tags[i], weights[i]) for i in two]) >= similarity - 1e-9
+    return [(int(ids[one[i]]), int(ids[two[j]])) for i, j in joining(like, roots[one], roots[two])]
+
+
 def compare_cell(table: pa.Table, similarity: float) -> list[tuple[int, int]]:
     """Links of one cell: enough of them that what is similar, directly or through others, is connected."""
     ids = np.array(table.column("head").to_pylist(), np.int64)
@@ -292,10 +368,56 @@ def connected(links: DataFrame) -> DataFrame:
         before = after
 
 
+def between_cells(dealt: DataFrame, roots: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between contents that follow one leader in different cells and have different roots.
+
+    ``dealt`` has leader, head and cell. Contents are dealt anew: a root with many of a
+    leader's contents has cells of its own, the others are put together. All pairs of
+    cells are compared, but not those of one root.
+    """
+    several = dealt.where("cell > 0").select("leader").distinct()
+    followers = dealt.join(several, "leader", "left_semi").select("leader", "head").unionByName(several.withColumn("head", F.col("leader")))
+    rooted = followers.join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
+    rooted = _kept(rooted.select("leader", "head", "root"), "rooted")
+    sizes = rooted.groupBy("leader", "root").agg(F.count(F.lit(1)).alias("n"))
+    large = F.col("n") >= CELL
+    mixed = sizes.groupBy("leader").agg(F.sum(F.when(~large, F.col("n")).otherwise(0)).alias("n_mixed"), F.count(F.lit(1)).alias("n_roots"))
+    sizes = sizes.join(mixed.where("n_roots > 1"), "leader")
+    own = F.concat(F.col("root").cast("string"), F.lit("/"), F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / CELL)).cast("string"))
+    shared = F.concat(F.lit("/"), F.pmod(F.xxhash64("root"), F.ceil(F.col("n_mixed") / CELL)).cast("string"))
+    placed = rooted.join(sizes, ["leader", "root"]).select(
+        "leader", "head", "root", F.when(large, F.col("root")).alias("only"), F.when(large, own).otherwise(shared).alias("cell")
+    )
+    placed = _kept(placed, "cells")
+    cells = placed.select("leader", "cell", "only").distinct()
+    other = cells.select("leader", F.col("cell").alias("right_cell"), F.col("only").alias("right_only"))
+    met = cells.withColumnRenamed("cell", "left_cell").join(other, "leader").where("left_cell <= right_cell AND NOT (only <=> right_only AND only IS NOT NULL)")
+    met = met.select("leader", "left_cell", "right_cell")
+    sides = [
+        placed.join(met.withColumn("cell", F.col(f"{side}_cell")), ["leader", "cell"]).select(
+            "leader", "left_cell", "right_cell", "head", "root", F.lit(side == "left").alias("left")
+        )
+        for side in ("left", "right")
+    ]
+
+    def compare(table: pa.Table) -> pa.Table:
+        links = compare_cells(table, similarity)
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
+
+    # written, so that its size is known and few rows are broadcast to the sketches instead of shuffling these
+    loaded = _kept(sides[0].unionByName(sides[1]), "cell-sides").join(heads.select("head", "shingles", "weights"), "head")
+    return loaded.groupBy("leader", "left_cell", "right_cell").applyInArrow(compare, "a bigint, b bigint").distinct()
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, width: int = WIDTH, bands: int = BANDS, rows: int = ROWS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, group_id (the smallest id of its class), content_id (of its words) and n_links of its content."""
+    """doc_id, group_id (the smallest id of its class), content_id (of its words) and n_links of its content.
+
+    ``n_links`` counts the verified links that connect the class and have the content at an
+    end. It is not the number of all contents similar to it: contents that are already
+    connected are not held against each other.
+    """
     found = _kept(sketches(docs, width, similarity, bands, rows, id_col, text_col), "sketches")
     contents = _kept(found.groupBy("one", "two").agg(F.min("head").alias("content_id")), "contents")
     named = found.join(contents, ["one", "two"])
@@ -315,6 +437,11 @@ def near_duplicates(
 
     links = _kept(loaded.groupBy("leader", "cell").applyInArrow(compare, "a bigint, b bigint").distinct(), "verified")
     roots = connected(links)
+    if not dealt.where("cell > 0").isEmpty():
+        more = _kept(between_cells(dealt, roots, heads, similarity), "links-between-cells")
+        if not more.isEmpty():
+            roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+            links = links.unionByName(more)
     degree = links.select(F.explode(F.array("a", "b")).alias("content_id")).groupBy("content_id").agg(F.count(F.lit(1)).alias("n_links"))
     # a row is a content of a part, so a content that many documents have is one row for each part, until its ids are listed
     own = named.select("content_id", F.concat(F.array("head"), "members").alias("ids"))
