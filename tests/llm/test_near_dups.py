@@ -4,12 +4,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidegate.llm import near_dups, parts
-from tidegate.llm.near_dups import connected, near_duplicates, sample
+from tidegate.llm.near_dups import compare_cell, connected, near_duplicates, sample
 from tidegate.llm.tables import documents
-from tidegate.llm.textkit import mix
+from tidegate.llm.textkit import mix, planes
 
 SCHEMA = "doc_id bigint, text string, group_id string, part string"
 
@@ -134,3 +135,26 @@ def test_near_pairs_whose_leader_is_unlike_both(spark, monkeypatch):
     want = brute(docs)
     assert len(set(want.values())) > 40 and want[1000 - 70] == want[70]
     assert found(spark, docs) == want
+
+
+def test_chain_between_what_two_leads_reached():
+    # 1 - 3 - 4 - 2 drift by a tenth each; only neighbours are alike
+    begin = {1: 0, 3: 10, 4: 20, 2: 30}
+    cell = pa.table(
+        {
+            "head": list(begin),
+            "shingles": [planes(np.arange(b, b + 100, dtype=np.uint64)) for b in begin.values()],
+            "weights": [planes(np.ones(100, np.float32)) for _ in begin],
+        }
+    )
+    assert {tuple(sorted(x)) for x in compare_cell(cell, 0.8)} == {(1, 3), (3, 4), (2, 4)}
+
+
+def test_drifting_chains_equal_brute_force(spark):
+    rng = random.Random(11)
+    docs = []
+    for chain in range(12):
+        words = [f"c{chain}-{i}" for i in range(300)]
+        ids = rng.sample(range(100 * chain, 100 * chain + 100), 12)
+        docs += [(i, " ".join(words[8 * k : 8 * k + 150])) for k, i in enumerate(ids)]
+    assert found(spark, docs) == brute(docs)

@@ -12,8 +12,8 @@ a bucket.
 Documents of the same words are one *content*, held by its smallest id. In a bucket every
 content is paired with the smallest one, its leader; a leader's contents are compared in
 cells of bounded size: each is held against the leader, and the smallest that no link has
-reached yet is held against all others of the cell, until each has been reached or held.
-Contents of different cells of a leader that are not connected by then are held against
+reached yet is held against all others of the cell, until each has been reached or held;
+then those that were reached from different ones are held against each other. Contents of different cells of a leader that are not connected by then are held against
 each other cell by cell. Links are verified on all shingles. Connected contents are a
 class, named by its smallest id.
 
@@ -253,15 +253,25 @@ def compare_cell(table: pa.Table, similarity: float) -> list[tuple[int, int]]:
     owner = np.repeat(np.arange(len(ids)), [len(t) for t in tags])
     flat_tags, flat_weights = np.concatenate(tags), np.concatenate(weights)
     open_ = np.ones(len(ids), bool)
-    links = []
+    links, leads = [], []
     while open_.any():
         lead = int(np.flatnonzero(open_)[0])
         open_[lead] = False
         like = weighted_jaccard((tags[lead], weights[lead]), flat_tags, flat_weights, owner, len(ids)) >= similarity - 1e-9
         like[lead] = False
         open_ &= ~like
-        links += [(int(ids[lead]), int(ids[i])) for i in np.flatnonzero(like)]
-    return links
+        leads.append(lead)
+        links += [(lead, int(i)) for i in np.flatnonzero(like)]
+    # leads were held against all; what two of them reached was not held against each other
+    roots = np.arange(len(ids))
+    for a, b in links:
+        roots[roots == roots[b]] = roots[a]
+    reached = np.setdiff1d(np.arange(len(ids)), leads)
+    if len(np.unique(roots[reached])) > 1:
+        documents = [(tags[i], weights[i]) for i in reached]
+        like = similarities(documents, documents) >= similarity - 1e-9
+        links += [(int(reached[i]), int(reached[j])) for i, j in joining(like, roots[reached], roots[reached])]
+    return [(int(ids[a]), int(ids[b])) for a, b in links]
 
 
 def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
