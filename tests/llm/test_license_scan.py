@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from tidegate.llm.license_scan import PHRASES, TEMPLATES, SuffixAutomaton, best_chain, license_scan
+from tidegate.llm.license_scan import PHRASES, TEMPLATES, SuffixAutomaton, all_chains, best_chain, license_scan
 from tidegate.llm.queries import QUERIES
 from tidegate.llm.tables import documents
 
@@ -78,3 +78,25 @@ def test_base_equals_brute_force_on_the_documents(spark):
     for r in QUERIES["op7_license_scan"](spark, folder).collect():
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == base(texts[r.doc_id])
         assert ("cc-by-nc" in r.labels) == ("Licensed under CC BY-NC 4.0." in texts[r.doc_id])
+
+
+def test_repeated_notices_have_a_span_each(spark):
+    mit, long_mit = TEMPLATES[0][1], TEMPLATES[1][1]
+    texts = {1: (mit + "\n") * 1000, 2: f"{mit} a b c {mit}", 3: f"{long_mit} x {long_mit}"}
+    rows = {r.doc_id: r for r in license_scan(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()}
+    assert [(s.start, s.stop, s.share) for s in rows[1].spans] == [(5 * i, 5 * i + 5, 1.0) for i in range(1000)]
+    assert [(s.start, s.stop) for s in rows[2].spans] == [(0, 5), (8, 13)]
+    n = len(words_of(long_mit))
+    assert [(s.start, s.stop) for s in rows[3].spans if s.stop - s.start > 5] == [(0, n), (n + 1, 2 * n + 1)]
+
+
+def test_a_wording_that_a_template_repeats_is_chained_at_its_later_place(spark):
+    template = (("x", "one two three alpha beta gamma delta one two three omega"),)
+    rows = license_scan(spark.createDataFrame([(1, "alpha beta gamma delta zz one two three")], "doc_id bigint, text string"), template).collect()
+    assert [(s.label, s.start, s.stop) for s in rows[0].spans] == [("x", 0, 8)]
+
+
+def test_chains_do_not_overlap():
+    assert all_chains([(0, 6, 0), (4, 6, 0)], 20, 3.6, 3) == [(6, 0, 6), (4, 6, 10)]
+    assert all_chains([(0, 5, 0), (7, 4, 6), (30, 5, 0), (37, 4, 6)], 20, 6, 3) == [(9, 0, 11), (9, 30, 41)]
+    assert all_chains([], 20, 1, 3) == []

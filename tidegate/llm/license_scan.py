@@ -4,7 +4,8 @@ The automaton is built from the words of licence templates. A text is streamed t
 it: for every word, the longest run of words that ends there and occurs in some template
 (its matching statistic). Runs that cannot be extended and have ``shortest`` words or
 more are chained for each template: in the order of both the text and the template, not
-too far apart. The template's span that the best chain covers decides its label.
+too far apart. Chains that cover enough of the template give its label; a template can
+have several in a text, the heaviest first, that do not overlap.
 
 Words outside the templates reset the automaton, so a text is cut at them first, and
 only stretches of template words are walked word by word.
@@ -18,6 +19,7 @@ not read.
 
 from __future__ import annotations
 
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -87,27 +89,27 @@ def hashed_words(text: str) -> list[int]:
 
 
 class SuffixAutomaton:
-    """Of several word sequences; a state knows, for each template, where its words first end in it."""
+    """Of several word sequences; a state knows, for each template, where its words end in it, and where first."""
 
     def __init__(self, sequences: list[list[int]]):
         self.arcs: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
-        self.ends: list[dict[int, int]] = [{}]
+        self.places: list[dict[int, set[int]]] = [{}]
         for number, sequence in enumerate(sequences):
             last = 0
             for at, word in enumerate(sequence):
                 last = self._extend(last, word)
-                self.ends[last].setdefault(number, at)
+                self.places[last].setdefault(number, set()).add(at)
         for state in sorted(range(1, len(self.link)), key=lambda s: -self.length[s]):
-            for number, at in self.ends[state].items():
-                above = self.ends[self.link[state]]
-                above[number] = min(at, above.get(number, at))
+            for number, at in self.places[state].items():
+                self.places[self.link[state]].setdefault(number, set()).update(at)
+        self.ends = [{number: min(at) for number, at in x.items()} for x in self.places]
 
     def _new(self, arcs: dict[int, int], link: int, length: int) -> int:
         self.arcs.append(arcs)
         self.link.append(link)
         self.length.append(length)
-        self.ends.append({})
+        self.places.append({})
         return len(self.arcs) - 1
 
     def _split(self, state: int, word: int) -> int:
@@ -157,10 +159,9 @@ class SuffixAutomaton:
         return [*out, before] if before[1] >= shortest else out
 
 
-def best_chain(pieces: list[tuple[int, int, int]], gap: int) -> tuple[int, int, int]:
-    """(covered words, start, stop) of the heaviest chain of (start, length, template start) pieces."""
-    best: list[tuple[int, int]] = []
-    top = (0, 0, 0)
+def chain_ends(pieces: list[tuple[int, int, int]], gap: int) -> list[tuple[int, int, int]]:
+    """(covered words, start, stop) of the heaviest chain that ends with each (start, length, template start) piece."""
+    best: list[tuple[int, int, int]] = []
     longest = max((x[1] for x in pieces), default=0)
     for i, (start, length, home) in enumerate(pieces):
         weight, origin = length, start
@@ -170,9 +171,47 @@ def best_chain(pieces: list[tuple[int, int, int]], gap: int) -> tuple[int, int,
                 break
             if s + n <= start <= s + n + gap and h + n <= home and best[j][0] + length > weight:
                 weight, origin = best[j][0] + length, best[j][1]
-        best.append((weight, origin))
-        top = max(top, (weight, -origin, start + length))
-    return top[0], -top[1], top[2]
+        best.append((weight, origin, start + length))
+    return best
+
+
+def best_chain(pieces: list[tuple[int, int, int]], gap: int) -> tuple[int, int, int]:
+    """(covered words, start, stop) of the heaviest chain of (start, length, template start) pieces."""
+    return max(chain_ends(pieces, gap), key=lambda x: (x[0], -x[1], x[2]), default=(0, 0, 0))
+
+
+def all_chains(pieces: list[tuple[int, int, int]], gap: int, least: float, shortest: int) -> list[tuple[int, int, int]]:
+    """(covered words, start, stop) of chains of ``least`` words or more that do not overlap, the heaviest first.
+
+    What the chosen ones leave of the pieces is chained again until nothing is heavy enough.
+    """
+    out: list[tuple[int, int, int]] = []
+    open_ = [pieces]
+    while open_:
+        own = open_.pop()
+        taken: list[tuple[int, int]] = []
+        for weight, start, stop in sorted(chain_ends(own, gap), key=lambda x: (-x[0], x[1], -x[2])):
+            if weight < least:
+                break
+            at = bisect_left(taken, (start, stop))
+            if (at == 0 or taken[at - 1][1] <= start) and (at == len(taken) or stop <= taken[at][0]):
+                taken.insert(at, (start, stop))
+                out.append((weight, start, stop))
+        if not taken:
+            continue
+        # the parts of the pieces that lie between two chosen chains
+        edges = [0, *(x for pair in taken for x in pair)]
+        left: dict[int, list[tuple[int, int, int]]] = {}
+        for start, length, home in own:
+            k = max(0, bisect_right(edges, start) - 1)
+            while k < len(edges) and edges[k] < start + length:
+                stop = edges[k + 1] if k + 1 < len(edges) else start + length
+                a, b = max(start, edges[k]), min(start + length, stop)
+                if k % 2 == 0 and b - a >= shortest:
+                    left.setdefault(k, []).append((a, b - a, home + a - start))
+                k += 1
+        open_ += [sorted(x, key=lambda p: (p[0] + p[1], p)) for x in left.values()]
+    return out
 
 
 class Scanner:
@@ -188,12 +227,11 @@ class Scanner:
         """(label, start, stop, share) of the templates that a stretch of known words covers."""
         pieces: dict[int, list[tuple[int, int, int]]] = {}
         for end, length, state in self.machine.matches(words, self.shortest):
-            for number, home in self.machine.ends[state].items():
-                pieces.setdefault(number, []).append((at + end - length, length, home + 1 - length))
+            for number, homes in self.machine.places[state].items():
+                pieces.setdefault(number, []).extend((at + end - length, length, home + 1 - length) for home in sorted(homes))
         out = []
         for number, own in pieces.items():
-            covered, start, stop = best_chain(own, gap)
-            if covered / self.sizes[number] >= share:
+            for covered, start, stop in all_chains(own, gap, share * self.sizes[number] - 1e-9, self.shortest):
                 out.append((self.labels[number], start, stop, min(1.0, covered / self.sizes[number])))
         return out
 
