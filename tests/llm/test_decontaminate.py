@@ -83,6 +83,28 @@ def test_near_matches(spark):
     assert best == {1: 10, 2: 10}
 
 
+def best_near(spark, docs, item, **given):
+    frame, items = frames(spark, docs, [("i", item)])
+    windows = op.benchmark_windows(items)
+    best = {}
+    for r in op.near_matches(op.postings(frame, windows), windows, **given).collect():
+        best[r.doc] = max(best.get(r.doc, 0), r.n_near)
+    return best
+
+
+def test_near_matches_of_a_term_that_no_document_has(spark):
+    item = "one two three four rareword six seven eight nine ten"
+    docs = [(1, item.replace("rareword", "changed")), (2, "one two three four")]
+    assert best_near(spark, docs, item, slack=2, share=0.9) == {1: 9}
+
+
+def test_near_matches_without_the_rarest_terms(spark):
+    item = "one two three four five six seven eight nine ten"
+    altered = item.replace("one", "x").replace("two", "y").replace("three", "z").replace("four", "v")
+    docs = [(1, altered), (2, "one"), (3, "two"), (4, "three"), (5, "four")] + [(i, "five six seven eight nine ten") for i in range(6, 12)]
+    assert best_near(spark, docs, item, slack=2, share=0.6)[1] == 6
+
+
 def test_no_python_in_the_plan(spark):
     docs, items = frames(spark, *case(5))
     plan = op.decontaminate(docs, items)._jdf.queryExecution().toString()

@@ -92,10 +92,15 @@ def postings(docs: DataFrame, windows: DataFrame, id_col: str = "doc_id", text_c
     return spark.read.parquet(path)
 
 
-def search_plan(index: DataFrame, windows: DataFrame) -> DataFrame:
-    """Write and read back (item, at, size, offset, term, rank): each window's terms, the rarest first.
+def needed(share: float) -> Column:
+    """How many of a window's terms are ``share`` of them."""
+    return F.ceil(F.col("size") * share - 1e-9)
 
-    Windows with a term that no document has are left out.
+
+def search_plan(index: DataFrame, windows: DataFrame, share: float = 1.0) -> DataFrame:
+    """Write and read back (item, at, size, offset, term, rank): each window's terms that documents have, the rarest first.
+
+    Windows of which no document can have ``share`` of the terms are left out.
     """
     spark = index.sparkSession
     counts = index.groupBy("term").agg(F.count(F.lit(1)).alias("places"))
@@ -103,7 +108,7 @@ def search_plan(index: DataFrame, windows: DataFrame) -> DataFrame:
     terms = terms.withColumn("term", F.xxhash64("word")).drop("word").join(counts, "term")
     whole = Window.partitionBy("item", "at")
     rank = F.row_number().over(whole.orderBy("places", "offset"))
-    ranked = terms.withColumn("rank", rank).withColumn("present", F.count(F.lit(1)).over(whole)).where("present = size")
+    ranked = terms.withColumn("rank", rank).withColumn("present", F.count(F.lit(1)).over(whole)).where(F.col("present") >= needed(share))
     path = fresh_dir(spark, "search-plan")
     ranked.select("item", "at", "size", "offset", "term", "rank").write.parquet(path)
     return spark.read.parquet(path)
@@ -138,16 +143,19 @@ def phrase_matches(docs: DataFrame, windows: DataFrame, found: DataFrame, id_col
 def near_matches(index: DataFrame, windows: DataFrame, slack: int = 3, share: float = 0.8, rarest: int = RAREST) -> DataFrame:
     """(doc, copy, item, at, start, n_near): windows most of whose terms stand near their places.
 
-    A place of one of the ``rarest`` terms gives a start; a term counts if one of its
-    places is within ``slack`` of start + offset, and ``share`` of the terms must count.
+    A place of one of the ``rarest`` terms gives a start, or of one of as many as it takes
+    that not all of them can be missing; a term counts if one of its places is within
+    ``slack`` of start + offset, and ``share`` of the terms must count. A term may be
+    missing from all documents.
     """
-    plan = search_plan(index, windows)
-    seeds = index.join(bounded(plan.where(F.col("rank") <= rarest)), "term")
+    plan = search_plan(index, windows, share)
+    seeding = F.greatest(F.lit(rarest), F.col("size") - needed(share) + 1)
+    seeds = index.join(bounded(plan.where(F.col("rank") <= seeding)), "term")
     seeds = seeds.select("doc", "copy", "item", "at", "size", (F.col("pos") - F.col("offset")).alias("start")).distinct()
     wanted = seeds.join(bounded(plan.select("item", "at", "offset", "term")), ["item", "at"])
     near = wanted.join(index, ["doc", "copy", "term"]).where(F.abs(F.col("pos") - F.col("start") - F.col("offset")) <= slack)
     counted = near.groupBy("doc", "copy", "item", "at", "size", "start").agg(F.count_distinct("offset").alias("n_near"))
-    return counted.where(F.col("n_near") >= F.ceil(F.col("size") * share)).drop("size")
+    return counted.where(F.col("n_near") >= needed(share)).drop("size")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
