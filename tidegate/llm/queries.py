@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,11 +14,14 @@ from tidegate.llm.grammar import read_tokens, shard_starts, write_tokens
 from tidegate.llm.language_id import held_out, identify, train_profiles, trained_on
 from tidegate.llm.license_scan import license_scan
 from tidegate.llm.line_quality import judge_lines, train_field
+from tidegate.llm.manifest import merkle_manifest
 from tidegate.llm.near_dups import near_duplicates
 from tidegate.llm.ordinal import graded, score_documents, train_ordinal
 from tidegate.llm.substring_dedup import substring_dedup
 from tidegate.llm.suffix_dedup import suffix_dedup
 from tidegate.llm.tables import documents, table
+from tidegate.llm.token_counts import token_counts
+from tidegate.llm.trie import prefix_trie, regrown, sequences
 from tidegate.sources.package import send_package
 from tidegate.sources.shared import fresh_dir
 
@@ -162,3 +166,94 @@ def op5_grammar_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_tokens(documents(spark, sf_dir), VOCABULARY, path)
     rows = read_tokens(spark, path).select("doc_id", "shard", "part", "place", "n_tokens", F.crc32("ids").alias("ids_crc32"))
     return rows.join(shard_starts(spark, path), ["shard", "part"]).select("doc_id", (F.col("before") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+
+
+#: The CRC of a text of ASCII characters, bit by bit.
+CRC32 = """xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], flatten([[CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0] for c in string_split({0}, '')])),
+           lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1))), CAST(4294967295 AS BIGINT))"""
+
+
+@query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = merkle_manifest(documents(spark, sf_dir))
+    siblings = F.concat_ws("", F.transform("proof", lambda step: step["others"]))
+    return out.select("doc_id", "leaf", "subroot", "root", F.sha2(siblings, 256).alias("proof_sha256"), "folded_root", "verified")
+
+
+def _manifest_sql(levels: int = 6) -> str:
+    """Trees of up to 16**levels leaves and groups, level by level; a tree that has its root stays as it is."""
+
+    def value(column: str, text: str | None = None) -> str:
+        text = text or f"CAST({column} AS VARCHAR)"
+        return f"coalesce(strlen({text}) || ':' || {text}, '-')"
+
+    lower = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    heads = " || ".join(value(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    steps = [
+        f"""d AS (SELECT doc_id, source, sha256({heads} || {value("text", "text")}) AS leaf,
+            CASE WHEN {CRC32.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN sha256({heads} || {value("text", lower)}) END AS changed FROM documents)""",
+        "leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r, count(*) OVER (PARTITION BY source) AS n FROM d)",
+        "a0 AS (SELECT source AS g, r, leaf AS h, n FROM leaves)",
+    ]
+
+    def tree(name: str) -> None:
+        for k in range(levels):
+            steps.append(f"{name}r{k} AS (SELECT g, r // 16 AS p, n, list(h ORDER BY r) AS hs FROM {name}{k} GROUP BY g, r // 16, n)")
+            steps.append(f"{name}{k + 1} AS (SELECT g, p AS r, CASE WHEN n = 1 THEN hs[1] ELSE sha256(array_to_string(hs, '')) END AS h, (n + 15) // 16 AS n FROM {name}r{k})")
+
+    def climb(name: str, table: str, rank: str, group: str) -> str:
+        for k in range(levels):
+            at = f"CAST(({rank} >> {4 * k}) % 16 AS BIGINT)"
+            low, high = f"array_to_string(hs[1:{at}], '')", f"array_to_string(hs[{at} + 2:], '')"
+            node = f"CASE WHEN t.n = 1 THEN node ELSE sha256({low} || node || {high}) END AS node"
+            proof = f"proof || CASE WHEN t.n = 1 THEN '' ELSE {low} || {high} END AS proof"
+            following = f"{name}w{k}"
+            steps.append(
+                f"{following} AS (SELECT w.* EXCLUDE (node, proof), {node}, {proof} FROM {table} w JOIN {name}r{k} t ON w.{group} IS NOT DISTINCT FROM t.g AND w.{rank} >> {4 * k + 4} = t.p)"
+            )
+            table = following
+        return table
+
+    tree("a")
+    steps.append(f"groups AS (SELECT g AS source, h AS subroot, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS gr, count(*) OVER () AS gn FROM a{levels})")
+    steps.append("b0 AS (SELECT 0 AS g, gr AS r, subroot AS h, gn AS n FROM groups)")
+    tree("b")
+    steps.append("begun AS (SELECT l.doc_id, l.source, l.leaf, l.r, s.subroot, s.gr, 0 AS one, coalesce(changed, leaf) AS node, '' AS proof FROM leaves l JOIN groups s ON l.source IS NOT DISTINCT FROM s.source)")
+    done = climb("b", climb("a", "begun", "r", "source"), "gr", "one")
+    return f"""WITH {", ".join(steps)}
+SELECT doc_id, leaf, subroot, h AS root, sha256(proof) AS proof_sha256, node AS folded_root, node = h AS verified FROM {done}, (SELECT h FROM b{levels})"""
+
+
+SQL["op11_merkle_manifest"] = _manifest_sql()
+
+
+@query
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(regrown(sequences(table(spark, sf_dir, "conversations"))))
+
+
+SQL["op13_conversation_trie"] = f"""
+WITH t AS (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS id, strlen(coalesce(text, '')) AS size
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(struct_pack(id := id, size := size) ORDER BY turn NULLS FIRST, id) AS turns FROM t GROUP BY conv_id),
+shared AS (SELECT o.conv_id, CAST({CRC32.format("CAST(o.conv_id AS VARCHAR)")} % 9 AS BIGINT) AS h, o.turns, coalesce(b.turns, []) AS base
+           FROM own o LEFT JOIN own b ON b.conv_id = o.conv_id - o.conv_id % 5),
+rebuilt AS (SELECT conv_id, list_concat(base[1:h], turns[h + 1:]) AS turns FROM shared),
+way AS (SELECT conv_id, depth, sha256(array_to_string([x.id for x in turns[1:depth]], '')) AS node, CASE WHEN depth > 0 THEN turns[depth].size ELSE 0 END AS size,
+               len(turns) = depth AS last
+        FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt)),
+nodes AS (SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(size) AS size,
+                 sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+          FROM way GROUP BY node, depth),
+linked AS (SELECT n.*, p.node AS parent FROM nodes n LEFT JOIN way p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+counted AS (SELECT l.*, p.conv_id AS parent_conv_id, (SELECT count(*) FROM linked c WHERE c.parent = l.node) AS n_children FROM linked l LEFT JOIN nodes p ON p.node = l.parent),
+sums AS (SELECT w.node, sum((c.n_convs - 1) * c.size) AS saved, count(*) FILTER (WHERE c.n_children = 0) AS n_leaves
+         FROM counted c JOIN way w ON w.conv_id = c.conv_id AND w.depth <= c.depth GROUP BY w.node)
+SELECT conv_id, CAST(depth AS BIGINT) AS depth, parent_conv_id, CAST(n_convs AS BIGINT) AS n_convs, CAST(n_children AS BIGINT) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, ends_sha256
+FROM counted JOIN sums USING (node)"""
