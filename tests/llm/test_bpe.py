@@ -6,6 +6,8 @@ import pytest
 import regex
 from tokenizers import Tokenizer
 
+from tests.llm.odd_texts import thue_morse
+from tidegate.llm import bpe
 from tidegate.llm.bpe import Automaton, Vocabulary, decode_documents, encode_documents, round_trip
 from tidegate.llm.pretokens import piece_starts
 from tidegate.llm.queries import VOCABULARY
@@ -130,3 +132,37 @@ def test_vocabulary_counts():
     vocabulary = Vocabulary(VOCABULARY)
     assert len(vocabulary.left) == 50000 and len(set(vocabulary.ids.tolist())) == 50256
     assert Automaton(vocabulary).alive.all()
+
+
+def test_pieces_that_weak_hashes_take_for_one(spark, library):
+    texts = ["".join(x) for n in (1024, 2048) for x in thue_morse(n, "a", "b")]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").coalesce(1)
+    got = {r.doc_id: (list(r.ids), r.decoded) for r in round_trip(rows, VOCABULARY).collect()}
+    assert got == {i: (library.encode(t, add_special_tokens=False).ids, t) for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("known", [1 << 20, 40, 0])
+def test_bytes_decide_what_is_remembered(library, monkeypatch, known):
+    monkeypatch.setattr(bpe, "span_hash", lambda buf, begin, end, seed=0: (end - begin).astype(np.uint64) % np.uint64(5))
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", known)
+    machine = Automaton(Vocabulary(VOCABULARY))
+    texts = odd_texts(300)
+    for _ in range(2):
+        for a in range(0, len(texts), 60):
+            ids, offset = machine.encode(Texts(pa.array(texts[a : a + 60])))
+            for text, low, high in zip(texts[a : a + 60], offset[:-1], offset[1:], strict=True):
+                assert ids[low:high].tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_pieces_that_come_back_are_kept(monkeypatch):
+    monkeypatch.setattr(bpe, "KNOWN_PIECES", 50)
+    machine = Automaton(Vocabulary(VOCABULARY))
+    often, made = Texts(pa.array(["the same words again"])), []
+    encode = machine.encode_pieces
+    monkeypatch.setattr(machine, "encode_pieces", lambda buf, start, size: made.append(len(size)) or encode(buf, start, size))
+    for k in range(30):
+        machine.encode(Texts(pa.array([" ".join(f"{k}x{chr(97 + i)}" for i in range(20))])))
+        made.clear()
+        machine.encode(often)
+        assert made == ([4] if k == 0 else [])
+        assert len(machine.known) < 200

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tests.llm.odd_texts import thue_morse
 from tidegate.llm import near_dups, parts
 from tidegate.llm.near_dups import compare_cell, connected, near_duplicates, sample
 from tidegate.llm.tables import documents
@@ -158,3 +159,10 @@ def test_drifting_chains_equal_brute_force(spark):
         ids = rng.sample(range(100 * chain, 100 * chain + 100), 12)
         docs += [(i, " ".join(words[8 * k : 8 * k + 150])) for k, i in enumerate(ids)]
     assert found(spark, docs) == brute(docs)
+
+
+def test_texts_that_weak_hashes_take_for_one(spark):
+    docs = [(i, " ".join(words)) for i, words in enumerate(thue_morse(2048, "w1", "w2"))] + [(9, " ".join(thue_morse(2048, "W1", "w2")[0]) + " .")]
+    rows = near_duplicates(spark.createDataFrame([(*d, "x", "y") for d in docs], SCHEMA)).collect()
+    assert {r.doc_id: r.content_id for r in rows} == {0: 0, 1: 1, 9: 0}
+    assert {r.doc_id: r.group_id for r in rows} == brute(docs)

@@ -4,6 +4,7 @@ import re
 
 import pytest
 
+from tests.llm.odd_texts import thue_morse
 from tidegate.llm.substring_dedup import substring_dedup
 
 SCHEMA = "doc_id bigint, text string, n_words string, spans string"
@@ -70,3 +71,10 @@ def test_empty_table_and_bad_block(spark):
 def test_only_short_and_empty_texts(spark):
     rows = substring_dedup(spark.createDataFrame([(1, None, "x", "y"), (2, "", "x", "y"), (3, "short", "x", "y")], SCHEMA)).collect()
     assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (2, 0), (3, 0)]
+
+
+@pytest.mark.parametrize("window", [20, 1024])
+def test_sequences_that_weak_hashes_take_for_one(spark, window):
+    docs = [(i, " ".join(words)) for i, words in enumerate(thue_morse(1024, "a", "b"))]
+    docs += [(5 + i, "z " + " ".join(words)) for i, words in enumerate(thue_morse(2048, "left", "right"))]
+    assert found(spark, docs, window) == brute(docs, window)

@@ -26,12 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.pretokens import piece_starts
-from tidegate.llm.textkit import Texts, gather, grouped, span_hash
+from tidegate.llm.textkit import Texts, gather, grouped, same_spans, span_hash
 
 ENDLESS = np.int64(1) << 40
 #: Text of one step of a task, in bytes, and pieces remembered by a worker.
 STEP_BYTES = 2 << 20
-KNOWN_PIECES = 1 << 19
+KNOWN_PIECES = 1 << 20
 
 
 def byte_letters() -> dict[str, int]:
@@ -120,7 +120,7 @@ class Labels:
 
 
 class PieceMemory:
-    """Encodes texts piece by piece and remembers the ids of pieces; ``encode_pieces`` is a subclass's."""
+    """Encodes texts piece by piece and remembers the pieces and their ids; ``encode_pieces`` is a subclass's."""
 
     special: dict[bytes, int]
 
@@ -132,21 +132,62 @@ class PieceMemory:
         """Drop the remembered pieces."""
         self.known = np.zeros(0, np.uint64)
         self.known_at = np.zeros(0, np.int64)
+        self.came_back = np.zeros(0, bool)
         self.pool = np.zeros(0, np.int32)
         self.pool_start = np.zeros(0, np.int64)
         self.pool_len = np.zeros(0, np.int64)
-
-    def _remember(self, texts: Texts, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> None:
-        """Encode pieces that are not remembered; ``hashes`` is sorted."""
+        self.text = np.zeros(0, np.uint8)
+        self.text_start = np.zeros(0, np.int64)
+        self.text_len = np.zeros(0, np.int64)
+
+    def _tidy(self) -> None:
+        """Keep the pieces that came back since the last time, or none if these are too many."""
+        keep = np.flatnonzero(self.came_back)
+        if 2 * len(keep) > KNOWN_PIECES:
+            self.forget()
+            return
+        at = self.known_at[keep]
+        self.pool, offset = gather(self.pool, self.pool_start, self.pool_len, at)
+        self.text, text_offset = gather(self.text, self.text_start, self.text_len, at)
+        self.pool_start, self.pool_len = offset[:-1], self.pool_len[at]
+        self.text_start, self.text_len = text_offset[:-1], self.text_len[at]
+        self.known, self.known_at, self.came_back = self.known[keep], np.arange(len(keep)), np.zeros(len(keep), bool)
+
+    def _pooled(self, texts: Texts, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Encode pieces; their places in the pool."""
         body, offset = gather(texts.buf, begin, size, np.arange(len(begin)))
         ids, counts = self.encode_pieces(body, offset[:-1], size)
-        where = np.searchsorted(self.known, hashes)
         base = len(self.pool_len)
-        self.known = np.insert(self.known, where, hashes)
-        self.known_at = np.insert(self.known_at, where, base + np.arange(len(hashes)))
         self.pool_start = np.append(self.pool_start, len(self.pool) + np.append(0, np.cumsum(counts))[:-1])
         self.pool_len = np.append(self.pool_len, counts)
         self.pool = np.append(self.pool, ids)
+        self.text_start = np.append(self.text_start, len(self.text) + offset[:-1])
+        self.text_len = np.append(self.text_len, size)
+        self.text = np.append(self.text, body)
+        return base + np.arange(len(begin))
+
+    def _found(self, texts: Texts, hashes: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """The place in the pool of each piece; hashes are distinct. What a hash finds counts if its bytes are the piece's."""
+        rank = np.argsort(hashes, kind="stable") if (hashes[1:] < hashes[:-1]).any() else np.arange(len(hashes))
+        ranked = hashes[rank]
+        at = np.searchsorted(self.known, ranked)
+        missing = np.append(self.known, np.uint64(0))[at] != ranked
+        missing |= at == len(self.known)
+        out = np.empty(len(hashes), np.int64)
+        held, slot = rank[~missing], at[~missing]
+        out[held] = self.known_at[slot]
+        self.came_back[slot] = True
+        like = same_spans(texts.buf, begin[held], size[held], self.text, self.text_start[out[held]], self.text_len[out[held]])
+        other = held[~like]
+        if len(other):
+            out[other] = self._pooled(texts, begin[other], size[other])
+        lack = rank[missing]
+        if len(lack):
+            out[lack] = self._pooled(texts, begin[lack], size[lack])
+            self.known = np.insert(self.known, at[missing], hashes[lack])
+            self.known_at = np.insert(self.known_at, at[missing], out[lack])
+            self.came_back = np.insert(self.came_back, at[missing], False)
+        return out
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """File ids of all texts end to end, and where each text's ids begin (one more than texts)."""
@@ -160,19 +201,13 @@ class PieceMemory:
         group[order] = np.cumsum(new) - 1
         one = order[new]
         if len(self.known) > KNOWN_PIECES:
-            self.forget()
-        found = hashes[one]
-        rank = np.argsort(found, kind="stable") if (found[1:] < found[:-1]).any() else np.arange(len(found))
-        ranked = found[rank]
-        at = np.searchsorted(self.known, ranked)
-        missing = np.append(self.known, np.uint64(0))[at] != ranked
-        missing |= at == len(self.known)
-        lack = rank[missing]
-        if len(lack):
-            self._remember(cut, found[lack], begin[one[lack]], (end - begin)[one[lack]])
-        which = np.empty(len(found), np.int64)
-        which[rank] = self.known_at[np.searchsorted(self.known, ranked)]
-        which = which[group]
+            self._tidy()
+        size = end - begin
+        which = self._found(cut, hashes[one], begin[one], size[one])[group]
+        first = one[group]
+        odd = np.flatnonzero(~same_spans(cut.buf, begin, size, cut.buf, begin[first], size[first]))
+        if len(odd):  # different pieces that share a hash
+            which[odd] = self._pooled(cut, begin[odd], size[odd])
         ids, offset = gather(self.pool, self.pool_start, self.pool_len, which)
         first = offset[np.searchsorted(begin, texts.start)] if not special else None
         if special:

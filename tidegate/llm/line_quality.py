@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.bpe import steps
-from tidegate.llm.textkit import Texts, Words, covered, grouped, mix, span_hash, window_hash
+from tidegate.llm.textkit import Texts, Words, covered, first_alike, grouped, heads, mix, span_hash, window_hash
 
 #: Labelled documents of each kind that the field is fitted on.
 SAMPLE = 1500
@@ -74,7 +74,7 @@ class Lines:
         self.word_chars = np.bincount(words.text, weights=word_chars, minlength=self.n).astype(np.int64)
         symbols = np.append(0, np.cumsum(_IS_SYMBOL[buf]))
         self.n_symbols = symbols[texts.stop] - symbols[texts.start]
-        self._repeats(words, hashes)
+        self._repeats(words, hashes, first_alike(buf, words.begin, words.end))
         # lines with a word
         breaks = np.flatnonzero(buf == 10)
         full = texts.stop > texts.start
@@ -92,10 +92,7 @@ class Lines:
         self.words = count
         self.first = np.searchsorted(self.text, np.arange(self.n))
         self.lines = np.bincount(self.text, minlength=self.n)
-        line_hash = span_hash(buf, begin, end)
-        order, new = grouped(mix(line_hash ^ mix(self.text.astype(np.uint64))))
-        duplicate = np.zeros(len(order), bool)
-        duplicate[order] = ~new
+        duplicate = first_alike(buf, begin, end, self.text) != np.arange(len(begin))
         self.n_dup_lines = np.bincount(self.text[duplicate], minlength=self.n)
         chars = np.maximum(lead[end] - lead[begin], 1)
 
@@ -123,13 +120,20 @@ class Lines:
         )
         self.features = np.stack([np.searchsorted(b, v, side="right") + o for b, v, o in zip(BINS, values, _OFFSETS, strict=False)], axis=1).astype(np.int32)
 
-    def _repeats(self, words: Words, hashes: np.ndarray) -> None:
+    def _repeats(self, words: Words, hashes: np.ndarray, same: np.ndarray) -> None:
+        """``same``: each word's first equal word."""
         at = np.flatnonzero(words.window_ok(3))
         value = window_hash(hashes, 3)[at] if len(at) else np.zeros(0, np.uint64)
-        order, new = grouped(mix(value ^ mix(words.text[at].astype(np.uint64) + np.uint64(3))))
-        size = np.diff(np.append(np.flatnonzero(new), len(order)))
-        again = np.zeros(len(at), bool)
-        again[order] = np.repeat(size > 1, size)
+        text = words.text[at]
+        head = heads(*grouped(mix(value ^ mix(text.astype(np.uint64) + np.uint64(3)))))
+        like = text == text[head]
+        for k in range(3):
+            like &= same[at + k] == same[at[head] + k]
+        if not like.all():  # different windows that share a hash
+            first: dict[tuple[int, ...], int] = {}
+            for i in np.flatnonzero(np.isin(head, head[~like])).tolist():
+                head[i] = first.setdefault((int(text[i]), *same[at[i] : at[i] + 3].tolist()), i)
+        again = np.bincount(head, minlength=len(head))[head] > 1
         self.n_repeat_words = np.bincount(words.text[covered(at[again], 3, len(words))], minlength=self.n)
 
 

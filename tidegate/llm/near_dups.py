@@ -31,6 +31,7 @@ the text that sorts first. Empty tables give no rows. Other columns are not read
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -39,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm import parts
-from tidegate.llm.textkit import IS_BREAK, U64, Texts, Words, from_planes, grouped, member, mix, planes, powers, span_hash, window_hash
+from tidegate.llm.textkit import IS_BREAK, U64, Texts, Words, from_planes, grouped, member, mix, planes, span_hash, window_hash
 from tidegate.sources.shared import fresh_dir
 
 WIDTH = 5
@@ -59,9 +60,9 @@ class Shingles:
         fresh = np.ones(len(ids), bool)
         fresh[1:] = ids[1:] != ids[:-1]
         self.ids = ids[fresh]
-        texts = Texts(table.column("text").filter(pa.array(fresh)), lower=True)
+        self.texts = texts = Texts(table.column("text").filter(pa.array(fresh)), lower=True)
         self.words = words = Words(texts, IS_BREAK)
-        self.word_hash = hashes = span_hash(texts.buf, words.begin, words.end)
+        hashes = span_hash(texts.buf, words.begin, words.end)
         place = np.flatnonzero(words.window_ok(width))
         found, owner = [window_hash(hashes, width)[place]], [words.text[place]]
         for n in range(1, width):
@@ -76,14 +77,20 @@ class Shingles:
         self.owner, self.hash, self.count = owner[first][by], found[first][by], count[by]
 
     def contents(self) -> tuple[np.ndarray, np.ndarray]:
-        """Two 64-bit hashes of each document's word sequence."""
-        out = []
-        for seed in (3, 5):
-            base = 0xD6E8FEB86659FD93 + 4 * seed
-            sums = np.zeros(len(self.word_hash) + 1, U64)
-            np.cumsum(mix(self.word_hash + U64(seed)) * powers(base, len(self.word_hash)), out=sums[1:])
-            back = powers(pow(base, -1, 1 << 64), len(self.word_hash) + 1)
-            out.append(mix((sums[self.words.last] - sums[self.words.first]) * back[self.words.first] + self.words.count.astype(U64)))
+        """128 bits of BLAKE2 over each document's words, joined by one space, in two halves."""
+        words, buf = self.words, self.texts.buf
+        space = np.zeros(len(buf) + 1, np.int8)
+        space[words.begin] += 1
+        space[words.end] -= 1
+        inside = np.cumsum(space[:-1], dtype=np.int8) > 0
+        after = words.end[words.end < len(buf)]
+        keep, joined = inside.copy(), buf.copy()
+        keep[after[~inside[after]]], joined[after[~inside[after]]] = True, 0x20
+        edges = np.append(0, np.cumsum(keep))
+        body = joined[keep].tobytes()
+        out = np.zeros((2, len(self.ids)), U64)
+        for i, (a, b) in enumerate(zip(edges[self.texts.start].tolist(), edges[self.texts.stop].tolist(), strict=True)):
+            out[:, i] = np.frombuffer(hashlib.blake2b(body[a:b].strip(b" "), digest_size=16).digest(), U64)
         return out[0], out[1]
 
 

@@ -8,7 +8,7 @@ are compared over all documents, the first occurrence (by id, then place) stays,
 the runs of the others are the maximal repeats that go.
 
 Blocks are matched on 32-bit tags within a key (a false hit only costs work); windows on
-64-bit hashes within a key that is drawn from other bits.
+two 64-bit hashes that are chained over words, each hashed anew for either.
 
 Defined results: a null text has no words. A row without an id is returned whole and
 compared with nothing. Rows that share an id are one document given again: a place is
@@ -32,7 +32,9 @@ from tidegate.llm.textkit import (
     covered,
     from_planes,
     grouped,
+    heads,
     member,
+    member_twice,
     planes,
     runs,
     span_hash,
@@ -43,6 +45,10 @@ from tidegate.llm.textkit import (
 RESULT = f"doc_id bigint, n_words bigint, n_removed bigint, kept_text string, spans {SPANS}"
 
 
+#: The two hashes of a window.
+PAIR = np.dtype([("one", "<u8"), ("two", "<u8")])
+
+
 def _hashed(table: pa.Table) -> tuple[pa.Table, Texts, Words, np.ndarray]:
     table = parts.in_order(table)
     texts = Texts(table.column("text"))
@@ -50,6 +56,12 @@ def _hashed(table: pa.Table) -> tuple[pa.Table, Texts, Words, np.ndarray]:
     return table, texts, words, span_hash(texts.buf, words.begin, words.end)
 
 
+def _alike(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(head, odd): the first window with the same first hash, and the windows whose second one is not its."""
+    head = heads(*grouped(one))
+    return head, two != two[head]
+
+
 def _windows(words: Words, hashes: np.ndarray, width: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """(place, hash) of each window that lies in one text."""
     values = window_hash(hashes, width, seed)
@@ -96,28 +108,30 @@ def substring_dedup(
         if not len(table) or not len(replies):
             return parts.rows_by_key(np.zeros(0, U64), n, 0, np.zeros(0, U64))
         part = parts.part_id(table)
-        table, _, words, hashes = _hashed(table)
+        table, texts, words, hashes = _hashed(table)
         place, values = _windows(words, hashes, block, 1)
         hit = np.zeros(len(words) + window + 1, np.int64)
         hit[place + 1] = member(parts.as_number(values, n), parts.answered(replies))
         hits = np.cumsum(hit)
-        place, values = _windows(words, hashes, window, 2)
+        place, one = _windows(words, hashes, window, 2)
         near = hits[place + window - block + 1] > hits[place]
-        place, values = place[near], values[near]
-        order, new = grouped(values)
-        first = np.sort(order[new])
+        place, one = place[near], one[near]
+        two = _windows(words, span_hash(texts.buf, words.begin, words.end, 1), window, 3)[1][near]
+        head, odd = _alike(one, two)
+        first = np.flatnonzero(odd | (head == np.arange(len(head))))
         ids = table.column("doc_id").to_numpy()[words.text[place[first]]]
-        values = values[first]
-        key = parts.second_key(values, n)
+        values = np.empty(len(first), PAIR)
+        values["one"], values["two"] = one[first], two[first]
+        key = parts.second_key(values["one"], n)
         by_key = np.argsort(key, kind="stable")
         return parts.rows_by_key(key[by_key], n, part, values[by_key], ids[by_key])
 
     def first_places(table: pa.Table) -> pa.Table:
         """For one key: tell each part which of its windows occur in a document with a smaller id elsewhere."""
-        values = [from_planes(x, U64) for x in table.column("data").to_pylist()]
+        values = [from_planes(x, PAIR) for x in table.column("data").to_pylist()]
         ids = np.concatenate([from_planes(x, np.int64) for x in table.column("extra").to_pylist()])
         joined = np.concatenate(values)
-        order = np.lexsort((ids, joined))
+        order = np.lexsort((ids, joined["two"], joined["one"]))
         ranked = joined[order]
         later = np.zeros(len(joined), bool)
         later[order[1:]] = ranked[1:] == ranked[:-1]
@@ -136,18 +150,16 @@ def substring_dedup(
     def remove(table: pa.Table, replies: pa.Table) -> pa.Table:
         table, texts, words, hashes = _hashed(table)
         ids = table.column("doc_id").to_numpy()
-        place, values = _windows(words, hashes, window, 2)
-        order, new = grouped(values)
+        place, one = _windows(words, hashes, window, 2)
+        two = _windows(words, span_hash(texts.buf, words.begin, words.end, 1), window, 3)[1]
+        head, odd = _alike(one, two)
         # again in this part, unless it is the same place of a row given twice
-        head = order[np.flatnonzero(new)[np.cumsum(new) - 1]] if len(order) else order
         position = words.position()[place]
-        again = np.zeros(len(place), bool)
         owner = ids[words.text[place]]
-        again[order] = (owner[order] != owner[head]) | (position[order] != position[head])
-        held = [from_planes(x, U64) for x in replies.column("data").to_pylist()] if len(replies) else []
-        held = np.concatenate(held) if held else np.zeros(0, U64)
-        held.sort()
-        again |= member(values, held)
+        again = ~odd & ((owner != owner[head]) | (position != position[head]))
+        held = [from_planes(x, PAIR) for x in replies.column("data").to_pylist()] if len(replies) else []
+        held = np.concatenate([*held, np.zeros(0, PAIR)])
+        again |= member_twice(one, two, held["one"], held["two"])
         removed = covered(place[again], window, len(words))
         begin, end = runs_in_texts(removed, words)
         base = words.first[words.text[begin]] if len(begin) else begin

@@ -9,8 +9,7 @@ neighbours agree on ``length`` bytes, are the earlier matches. A string that has
 goes, the first document keeps it.
 
 Identical stretches inside a part are sent once, for the smallest id; the others follow
-from it. Stretches count as identical on a 64-bit hash inside one part; between parts the
-bytes themselves are compared.
+from it. Hashes only group: the bytes themselves are compared, inside a part and between.
 
 Defined results: a null text is empty. A row without an id is returned whole and compared
 with nothing. Rows that share an id are one document and never earlier than each other.
@@ -27,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.llm import parts
-from tidegate.llm.textkit import BLOCK, SPANS, U64, Texts, covered, from_planes, gather, grouped, member, mix, planes, runs, span_hash, spans_array
+from tidegate.llm.textkit import BLOCK, SPANS, U64, Texts, covered, first_alike, from_planes, gather, grouped, member, mix, planes, runs, span_hash, spans_array
 
 GRAM = 16
 RESULT = f"doc_id bigint, n_bytes bigint, n_removed bigint, kept binary, kept_text string, spans {SPANS}"
@@ -100,11 +99,7 @@ class Stretches:
 
     def copies(self, texts: Texts, length: int) -> np.ndarray:
         """For each stretch, the first stretch with the same bytes."""
-        order, new = grouped(span_hash(texts.buf, self.first, self.last + length))
-        out = np.empty(len(order), np.int64)
-        if len(order):
-            out[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
-        return out
+        return first_alike(texts.buf, self.first, self.last + length)
 
 
 def suffix_order(buf: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:

@@ -5,6 +5,8 @@ Everything works on the UTF-8 bytes of a batch at once. A null text counts as em
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -83,13 +85,6 @@ class Words:
         return np.arange(len(self)) + width <= self.last[self.text]
 
 
-def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; cheaper to make than to keep."""
-    out = np.full(n, base, U64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambling of 64-bit numbers (the splitmix64 finaliser)."""
     x = x ^ (x >> U64(30))
@@ -100,39 +95,71 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE = mix(np.arange(1, 257, dtype=U64) * U64(_MUL))
-_BASE = 0xD6E8FEB86659FD93
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-#: Bytes that are hashed, or pieces' bytes that are copied, at a time.
+#: Bytes of pieces that are copied at a time.
 BLOCK = 1 << 18
+#: Spans of more bytes are hashed one by one with BLAKE2.
+LONG = 1024
+_ODD = U64(0xD6E8FEB86659FD93)
+_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
+
+
+def eight_from(buf: np.ndarray) -> np.ndarray:
+    """A view of the 8 bytes from each place on as one number; beyond the end are zeros."""
+    padded = np.zeros(len(buf) + 8, np.uint8)
+    padded[: len(buf)] = buf
+    return np.ndarray((len(buf) + 1,), "<u8", padded, strides=(1,))
+
+
+def span_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each byte span: its length, then its 8-byte words, scrambled after each."""
+    size = end - begin
+    out = mix(size.astype(U64) + U64((seed + 1) * _MUL & _MASK))
+    eight = eight_from(buf)
+    short = size <= LONG
+    at, done = np.flatnonzero(short & (size > 0)), 0
+    while len(at):
+        word = eight[begin[at] + done] & _LOW_BYTES[np.minimum(size[at] - done, 8)]
+        out[at] = mix(out[at] * _ODD + word)
+        done += 8
+        at = at[size[at] > done]
+    for i in np.flatnonzero(~short).tolist():
+        body = hashlib.blake2b(buf[begin[i] : end[i]].tobytes(), digest_size=8, key=b"%d" % seed).digest()
+        out[i] = int.from_bytes(body, "little")
+    return out
 
 
-def span_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hash of each byte span; spans are in ascending order of their begin."""
-    out = np.empty(len(begin), U64)
-    at = 0
-    while at < len(begin):
-        low = int(begin[at])
-        to = max(at + 1, int(np.searchsorted(begin, low + BLOCK)))
-        high = int(end[at:to].max())
-        terms = _BYTE[buf[low:high]] * powers(_BASE, high - low)
-        sums = np.zeros(high - low + 1, U64)
-        np.cumsum(terms, out=sums[1:])
-        b, e = begin[at:to] - low, end[at:to] - low
-        out[at:to] = (sums[e] - sums[b]) * powers(_BASE_INVERSE, high - low + 1)[b] + (e - b).astype(U64)
-        at = to
-    return mix(out)
+def same_spans(buf: np.ndarray, begin: np.ndarray, size: np.ndarray, other: np.ndarray, other_begin: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Whether each span of ``buf`` has the bytes of the span of ``other`` beside it."""
+    out = size == other_size
+    eight, other_eight = eight_from(buf), eight_from(other)
+    at, done = np.flatnonzero(out & (size > 0) & (size <= LONG)), 0
+    while len(at):
+        left = _LOW_BYTES[np.minimum(size[at] - done, 8)]
+        like = (eight[begin[at] + done] ^ other_eight[other_begin[at] + done]) & left == 0
+        out[at[~like]] = False
+        done += 8
+        at = at[like & (size[at] > done)]
+    for i in np.flatnonzero(out & (size > LONG)).tolist():
+        out[i] = np.array_equal(buf[begin[i] : begin[i] + size[i]], other[other_begin[i] : other_begin[i] + size[i]])
+    return out
 
 
 def window_hash(items: np.ndarray, width: int, seed: int = 1) -> np.ndarray:
-    """Hash of every ``width`` consecutive items; entry i is of items[i:i+width]. Shorter by width - 1."""
+    """Hash of every ``width`` consecutive items; entry i is of items[i:i+width]. Shorter by width - 1.
+
+    Runs of 1, 2, 4, .. items are joined two by two and scrambled after each join.
+    """
     n = len(items) - width + 1
     if n <= 0:
         return np.zeros(0, U64)
-    base = (_BASE + 2 * seed * 0x51ED2701) & _MASK | 1
-    sums = np.zeros(len(items) + 1, U64)
-    np.cumsum(mix(items + U64(seed)) * powers(base, len(items)), out=sums[1:])
-    return mix((sums[width:] - sums[:-width]) * powers(pow(base, -1, 1 << 64), n))
+    run, length = mix(items + U64(seed * _MUL & _MASK)), 1
+    out, held = None, 0
+    while True:
+        if width & length:
+            out, held = (run, length) if out is None else (mix(out[: len(run) - held] * _ODD + run[held:]), held + length)
+        if 2 * length > width:
+            return out[:n]
+        run, length = mix(run[:-length] * _ODD + run[length:]), 2 * length
 
 
 def grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -156,6 +183,27 @@ def grouped(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, new
 
 
+def heads(order: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """The first of each one's group, from ``grouped``."""
+    out = np.empty(len(order), np.int64)
+    if len(order):
+        out[order] = order[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    return out
+
+
+def first_alike(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, owner: np.ndarray | None = None) -> np.ndarray:
+    """For each span the first one with the same bytes (and owner). Hashes group them, bytes decide."""
+    owner = np.zeros(len(begin), np.int64) if owner is None else owner
+    size = end - begin
+    head = heads(*grouped(mix(span_hash(buf, begin, end) ^ mix(owner.astype(U64) + U64(1)))))
+    like = same_spans(buf, begin, size, buf, begin[head], size[head]) & (owner == owner[head])
+    if not like.all():  # different spans that share a hash
+        first: dict[tuple[int, bytes], int] = {}
+        for i in np.flatnonzero(np.isin(head, head[~like])).tolist():
+            head[i] = first.setdefault((int(owner[i]), buf[begin[i] : end[i]].tobytes()), i)
+    return head
+
+
 def member(needles: np.ndarray, held: np.ndarray) -> np.ndarray:
     """Whether each 64-bit needle is in ``held`` (sorted)."""
     out = np.zeros(len(needles), bool)
@@ -171,6 +219,23 @@ def member(needles: np.ndarray, held: np.ndarray) -> np.ndarray:
     return out
 
 
+def member_twice(one: np.ndarray, two: np.ndarray, held_one: np.ndarray, held_two: np.ndarray) -> np.ndarray:
+    """Whether each pair of 64-bit numbers is among the held pairs."""
+    order = np.lexsort((held_two, held_one))
+    held_one, held_two = held_one[order], held_two[order]
+    out = np.zeros(len(one), bool)
+    open_ = np.flatnonzero(member(one, held_one))
+    at = np.searchsorted(held_one, one[open_])
+    while len(open_):
+        out[open_] = held_two[at] == two[open_]
+        at = at + 1
+        more = ~out[open_] & (at < len(held_one))
+        open_, at = open_[more], at[more]
+        more = held_one[at] == one[open_]
+        open_, at = open_[more], at[more]
+    return out
+
+
 def runs(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each maximal run of True."""
     edge = np.diff(np.concatenate(([0], mask.astype(np.int8), [0])))
