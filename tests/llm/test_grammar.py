@@ -1,5 +1,6 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -26,7 +27,7 @@ def test_round_trip_and_random_access(seed):
     ids = np.array([i for d in docs for i in d], np.int32)
     closes = np.zeros(len(ids), bool)
     closes[np.cumsum([len(d) for d in docs]) - 1] = True
-    grammar, ends = op.re_pair(ids, closes, base=50, rounds=6, places=2)
+    grammar, ends = op.re_pair(ids, closes, base=50, share=0, places=2)
     assert grammar.decode().tolist() == ids.tolist()
     assert len(grammar.symbols) < len(ids) and ends.sum() == len(docs)
     assert grammar.lengths().tolist() == [len(expand(grammar, 50 + k)) for k in range(len(grammar.left))]
@@ -43,13 +44,72 @@ def test_the_most_frequent_pair_goes_first():
     ids = np.array([1, 2, 1, 2, 1, 2, 3, 1, 4], np.int32)
     closes = np.zeros(9, bool)
     closes[-1] = True
-    grammar, _ = op.re_pair(ids, closes, base=10, rounds=1, rules=1, places=2)
+    grammar, _ = op.re_pair(ids, closes, base=10, rules=1, places=2)
     assert (grammar.left.tolist(), grammar.right.tolist(), grammar.symbols.tolist()) == ([1], [2], [10, 10, 10, 3, 1, 4])
     one, none = np.array([7], np.int32), np.zeros(0, np.int32)
     assert op.re_pair(one, np.ones(1, bool), 10)[0].decode().tolist() == [7]
     assert op.re_pair(none, np.zeros(0, bool), 10)[0].decode().tolist() == []
 
 
+def brute_rounds(docs, base, rules, places):
+    """Round by round on lists, until no rule pays."""
+    docs = [list(d) for d in docs]
+    made = base
+    while True:
+        pairs = Counter(p for d in docs for p in zip(d, d[1:]))
+        size = max([n for n in pairs.values()], default=0)
+        if size < places:
+            return docs, made
+        chosen = {p: k for k, (p, n) in enumerate(sorted((x for x in pairs.items() if x[1] >= places), key=lambda x: (-x[1], x[0][1], x[0][0]))[:rules])}
+        taken = []
+        for d in docs:
+            rank = [chosen.get(p, 1 << 30) for p in zip(d, d[1:])]
+            got = []
+            for i, r in enumerate(rank):
+                if r == 1 << 30:
+                    continue
+                before, after = rank[i - 1] if i else 1 << 30, rank[i + 1] if i + 1 < len(rank) else 1 << 30
+                if r < before and r <= after or r == before and r <= after and i - 1 not in got and i - 2 in got:
+                    got.append(i)
+            taken.append(got)
+        uses = Counter(d[i : i + 2][0] * 10**6 + d[i + 1] for d, got in zip(docs, taken) for i in got)
+        number = {}
+        for (a, b), _ in sorted(chosen.items(), key=lambda x: x[1]):
+            if uses[a * 10**6 + b] >= 3:
+                number[a, b] = made + len(number)
+        if not number:
+            return docs, made
+        for d, got in zip(docs, taken):
+            for i in reversed(got):
+                if (d[i], d[i + 1]) in number:
+                    d[i : i + 2] = [number[d[i], d[i + 1]]]
+        made += len(number)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_rounds_equal_brute_force(seed, monkeypatch):
+    monkeypatch.setattr(op, "_SLOTS", 22)  # no two pairs share a slot, so none waits for the next round
+    rng = random.Random(seed)
+    docs = [[rng.randrange(rng.choice([2, 3, 8])) for _ in range(rng.randint(0, 80))] + [9] for _ in range(25)] + [[1] * 41 + [9], [0, 0, 1] * 20 + [9]]
+    ids = np.array([i for d in docs for i in d], np.int32)
+    closes = np.zeros(len(ids), bool)
+    closes[np.cumsum([len(d) for d in docs]) - 1] = True
+    grammar, ends = op.re_pair(ids, closes, base=10, share=0, places=3)
+    want, made = brute_rounds(docs, 10, op.RULES, 3)
+    assert grammar.symbols.tolist() == [x for d in want for x in d]
+    assert 10 + len(grammar.left) == made and np.flatnonzero(ends).tolist() == (np.cumsum([len(d) for d in want]) - 1).tolist()
+
+
+def test_a_long_repeat_is_stored_once():
+    rng = random.Random(1)
+    passage = [rng.randrange(3, 5000) for _ in range(900)]
+    ids = np.array((passage + [2]) * 64, np.int32)
+    closes = ids == 2
+    grammar, _ = op.re_pair(ids, closes, base=5000)
+    assert grammar.decode().tolist() == ids.tolist()
+    assert len(grammar.symbols) + 2 * len(grammar.left) < 3 * 900 + 64 * 12
+
+
 def expected(texts):
     library = Tokenizer.from_file(VOCABULARY)
     start, out = 0, []

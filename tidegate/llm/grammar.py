@@ -4,8 +4,9 @@ Texts are encoded by the tokenizer library and closed with an end id. The ids li
 shards, in ascending order of the documents' ids. In each shard frequent pairs of
 neighbouring ids are replaced by nonterminals, in rounds: a round counts all pairs,
 makes a rule of each of the most frequent ones and replaces their places at once (where
-places overlap, the more frequent pair wins, then the left one). No pair crosses a
-document's end, so a document is a whole number of symbols.
+places overlap, the more frequent pair wins, then the left one). Rounds go on until one
+would save less than four thousandths of the symbols. No pair crosses a document's end,
+so a document is a whole number of symbols.
 
 A shard's row holds the rules, the number of ids that each nonterminal expands to, the
 symbols, and each document's id, symbols and ids. A document, or any range of a shard's
@@ -16,7 +17,7 @@ longer document. Ids are written as planes of bytes of little-endian 32- and 64-
 numbers.
 
 Defined results: a null or empty text is its end id alone. Rows without an id come
-first. Rows that share an id stand in the order of their texts. An empty table gives no
+first. Rows that share an id stand in an order that follows from their texts. An empty table gives no
 files to read and no rows. Other columns are not read.
 """
 
@@ -27,6 +28,7 @@ import math
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -39,9 +41,10 @@ from tidegate.llm.textkit import U64, Texts, from_planes, gather, planes
 
 END_ID = 2
 SHARD_BYTES = 8 << 20
-#: Rounds of a shard, rules of a round, and places that a pair must have.
-ROUNDS, RULES, PLACES = 4, 1 << 14, 4
+#: Rules of a round, places that a pair must have, and the share of the symbols that a further round must save.
+RULES, PLACES, SHARE = 1 << 14, 4, 0.004
 _SLOTS = 18
+_NO_PAIR = U64(0xFFFFFFFFFFFFFFFF)
 FILE = (
     "shard int, part int, n_tokens bigint, base int, rounds binary, left binary, right binary, lengths binary, "
     "symbols binary, doc_ids binary, has_id binary, doc_symbols binary, doc_tokens binary"
@@ -60,11 +63,15 @@ class LibraryPieces(PieceMemory):
         self.forget()
 
     def encode_pieces(self, buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        raw = buf.tobytes()
-        pieces = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
-        found = [x.ids for x in self.tokenizer.encode_batch(pieces, add_special_tokens=False)]
-        counts = np.array([len(x) for x in found], np.int64)
-        return np.fromiter((i for x in found for i in x), np.int32, int(counts.sum())), counts
+        edges = np.append(start, len(buf)).astype(np.int64)
+        strings = pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(buf)))
+        try:
+            pieces = strings.to_pylist()
+        except UnicodeDecodeError:  # a text that was not UTF-8 to begin with
+            pieces = [x.decode("utf-8", "replace") for x in strings.cast(pa.large_binary()).to_pylist()]
+        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        return np.fromiter(chain.from_iterable(found), np.int32, int(counts.sum())), counts
 
 
 _LIBRARY: dict[int, LibraryPieces] = {}
@@ -121,50 +128,75 @@ class Grammar:
 
 
 def _slot(pairs: np.ndarray) -> np.ndarray:
-    return ((pairs * U64(0x9E3779B97F4A7C15)) >> U64(64 - _SLOTS)).astype(np.int64)
+    return (pairs * U64(0x9E3779B97F4A7C15)) >> U64(64 - _SLOTS)
 
 
-def re_pair(ids: np.ndarray, closes: np.ndarray, base: int, rounds: int = ROUNDS, rules: int = RULES, places: int = PLACES) -> tuple[Grammar, np.ndarray]:
-    """The grammar of a sequence whose documents end where ``closes``; and where its symbols close one."""
-    symbols, closes = ids.astype(np.int64), closes.copy()
+def _frequent(pairs: np.ndarray, rules: int, places: int) -> np.ndarray:
+    """The most frequent pairs with ``places`` at least, most frequent first."""
+    counted = np.sort(pairs)
+    counted = counted[: np.searchsorted(counted, _NO_PAIR)]
+    some = counted[np.flatnonzero(counted[places - 1 :] == counted[: len(counted) - places + 1])] if len(counted) >= places else counted[:0]
+    head = np.flatnonzero(np.append(True, some[1:] != some[:-1])) if len(some) else np.zeros(0, np.int64)
+    count = np.diff(np.append(head, len(some)))  # less places - 1, alike for all
+    return some[head[np.argsort(-count, kind="stable")[:rules]]]
+
+
+_BEYOND = np.int32(1 << 30)
+
+
+def _chosen_places(rank: np.ndarray) -> np.ndarray:
+    """The places of frequent pairs that are taken: none overlap, and lower ranks, then left ones, go first.
+
+    ``rank`` has each place's pair's rank, or ``_BEYOND``, and one more ``_BEYOND`` at either end.
+    """
+    here, before, after = rank[1:-1], rank[:-2], rank[2:]
+    take = (here < before) & (here <= after)
+    again = np.flatnonzero((here == before) & (here < _BEYOND))
+    if len(again):  # runs of one pair, as in a a a, take every other place, whatever precedes them
+        begins = again[np.diff(again, prepend=-1) > 1]
+        step = again - begins[np.searchsorted(begins, again, side="right") - 1] + 1
+        free = take[begins - 1][np.searchsorted(begins, again, side="right") - 1]
+        take[again] = (step % 2 == 0) & (here[again] <= after[again]) & free
+    return np.flatnonzero(take)
+
+
+def re_pair(ids: np.ndarray, closes: np.ndarray, base: int, share: float = SHARE, rules: int = RULES, places: int = PLACES) -> tuple[Grammar, np.ndarray]:
+    """The grammar of a sequence whose documents end where ``closes``; and where its symbols close one.
+
+    Rounds go on until one makes the grammar shorter by less than ``share`` of the symbols.
+    """
+    symbols, closes = np.ascontiguousarray(ids, np.uint32), closes.copy()
     left, right, sizes = [], [], []
-    beyond = np.int64(1) << 40
-    for _ in range(rounds):
-        if len(symbols) < 2:
-            break
-        pairs = (symbols[:-1].astype(U64) << U64(32)) | symbols[1:].astype(U64)
-        free = ~closes[:-1]
-        counted = np.sort(pairs[free])
-        if not len(counted):
-            break
-        new = np.ones(len(counted), bool)
-        new[1:] = counted[1:] != counted[:-1]
-        head = np.flatnonzero(new)
-        count = np.diff(np.append(head, len(counted)))
-        often = np.flatnonzero(count >= places)
-        often = often[np.argsort(-count[often], kind="stable")[:rules]]
-        chosen = counted[head[often]]
-        # a small hash table from pair to rank; of pairs that share a slot the most frequent stays
-        held, rank = np.full(1 << _SLOTS, np.uint64(0xFFFFFFFFFFFFFFFF)), np.zeros(1 << _SLOTS, np.int64)
+    made = base
+    while len(symbols) > 1:
+        # a symbol and the one after it as one number; none at a document's end
+        pairs = np.ndarray((len(symbols) - 1,), "<u8", symbols, strides=(4,)).copy()
+        pairs[closes[:-1]] = _NO_PAIR
+        chosen = _frequent(pairs, rules, places)
+        # a small hash table from pair to rank; of pairs that share a slot the most frequent is first, the others' turn comes
+        held, rank = np.full(1 << _SLOTS, _NO_PAIR - U64(1)), np.zeros(1 << _SLOTS, np.int32)
         slot = _slot(chosen)[::-1]
-        held[slot], rank[slot] = chosen[::-1], np.arange(len(chosen))[::-1]
-        slot = _slot(pairs)
-        here = np.where((held[slot] == pairs) & free, rank[slot], beyond)
-        before, after = np.append(beyond, here[:-1]), np.append(here[1:], beyond)
-        turn = np.flatnonzero(here != before)  # runs of one pair, as in a a a, take every other place
-        run = np.zeros(len(here), np.int64)
-        run[turn] = 1
-        offset = np.arange(len(here)) - turn[np.cumsum(run) - 1] if len(turn) else np.arange(len(here))
-        take = (here < beyond) & (offset % 2 == 0) & ((here < before) | (offset > 0)) & (here <= after)
-        at = np.flatnonzero(take)
-        if not len(at):
+        held[slot], rank[slot] = chosen[::-1], np.arange(len(chosen), dtype=np.int32)[::-1]
+        slot = _slot(pairs).view(np.int64)
+        ranks = np.full(len(symbols) + 1, _BEYOND)
+        hit = np.flatnonzero(held.take(slot) == pairs)
+        ranks[1 + hit] = rank.take(slot[hit])
+        at = _chosen_places(ranks)
+        ranks = ranks[1 + at]
+        uses = np.bincount(ranks, minlength=len(chosen))
+        pays = uses >= 3  # a rule has two symbols itself
+        saved = int((uses[pays] - 2).sum())
+        if saved <= share * len(symbols):
             break
-        used, index = np.unique(here[at], return_inverse=True)
-        left.append((chosen[used] >> U64(32)).astype(np.int32))
-        right.append((chosen[used] & U64(0xFFFFFFFF)).astype(np.int32))
-        symbols[at] = base + sum(sizes) + index
+        number = np.cumsum(pays) - 1
+        at, ranks = at[pays[ranks]], ranks[pays[ranks]]
+        used = chosen[pays]
+        left.append((used & U64(0xFFFFFFFF)).astype(np.int32))
+        right.append((used >> U64(32)).astype(np.int32))
+        symbols[at] = made + number[ranks]
         closes[at] = closes[at + 1]
         sizes.append(len(used))
+        made += len(used)
         keep = np.ones(len(symbols), bool)
         keep[at + 1] = False
         symbols, closes = symbols[keep], closes[keep]
@@ -202,7 +234,9 @@ def write_tokens(docs: DataFrame, vocabulary_path: str, path: str, end_id: int =
     base = 1 + max(end_id, *parsed["model"]["vocab"].values(), *(t["id"] for t in parsed.get("added_tokens", [])))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    ordered = rows.repartitionByRange(max(1, math.ceil(size / shard_bytes)), "doc_id").sortWithinPartitions("doc_id", "text")
+    # rows of one id are dealt over shards by their texts' hashes
+    order = ("doc_id", F.xxhash64("text"))
+    ordered = rows.repartitionByRange(max(1, math.ceil(size / shard_bytes)), *order).sortWithinPartitions(*order, "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = library(vocabulary)
@@ -263,8 +297,11 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     return files.mapInArrow(decode, "doc_id bigint, shard int, part int, place bigint, n_tokens bigint, ids binary")
 
 
-def shard_starts(spark: SparkSession, path: str) -> DataFrame:
-    """(shard, part, before): the ids of all shards before each; one small row for each shard."""
-    heads = spark.read.schema(FILE).parquet(path).select("shard", "part", "n_tokens")
-    earlier = Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)
-    return heads.select("shard", "part", F.coalesce(F.sum("n_tokens").over(earlier), F.lit(0)).cast("long").alias("before"))
+def shard_starts(spark: SparkSession, path: str, chunk: int = 1 << 12) -> DataFrame:
+    """(shard, part, before): the ids of all shards before each; sums of chunks of shards first, then inside each chunk."""
+    heads = spark.read.schema(FILE).parquet(path).select("shard", "part", "n_tokens", (F.col("shard") / chunk).cast("int").alias("chunk"))
+    whole = heads.groupBy("chunk").agg(F.sum("n_tokens").alias("held"))
+    chunks = whole.select("chunk", (F.sum("held").over(Window.orderBy("chunk")) - F.col("held")).alias("earlier"))
+    own = Window.partitionBy("chunk").orderBy("shard", "part")
+    inside = heads.join(chunks, "chunk").withColumn("inside", F.sum("n_tokens").over(own) - F.col("n_tokens"))
+    return inside.select("shard", "part", (F.col("earlier") + F.col("inside")).cast("long").alias("before"))
