@@ -69,7 +69,7 @@ def brute_rounds(docs, base, rules, places):
                 if r == 1 << 30:
                     continue
                 before, after = rank[i - 1] if i else 1 << 30, rank[i + 1] if i + 1 < len(rank) else 1 << 30
-                if r < before and r <= after or r == before and r <= after and i - 1 not in got and i - 2 in got:
+                if r < before and r <= after or r == before == rank[i - 2] and r <= after and i - 2 in got:
                     got.append(i)
             taken.append(got)
         uses = Counter(d[i : i + 2][0] * 10**6 + d[i + 1] for d, got in zip(docs, taken) for i in got)
