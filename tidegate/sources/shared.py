@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 _ROOTS: set[str] = set()
@@ -34,3 +34,20 @@ def fresh_dir(spark: SparkSession, purpose: str) -> str:
         files.deleteOnExit(path)
         _ROOTS.add(root)
     return f"{root}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(frame: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The frame written to a fresh folder and read back, which cuts its lineage; and the folder."""
+    path = fresh_dir(frame.sparkSession, purpose)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.parquet(path), path
+
+
+def kept(frame: DataFrame, purpose: str) -> DataFrame:
+    return written(frame, purpose)[0]
+
+
+def drop_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
