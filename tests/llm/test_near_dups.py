@@ -166,3 +166,50 @@ def test_texts_that_weak_hashes_take_for_one(spark):
     rows = near_duplicates(spark.createDataFrame([(*d, "x", "y") for d in docs], SCHEMA)).collect()
     assert {r.doc_id: r.content_id for r in rows} == {0: 0, 1: 1, 9: 0}
     assert {r.doc_id: r.group_id for r in rows} == brute(docs)
+
+
+def template_group(rng, n, share, words=100):
+    """Texts of one template with words of their own at the end, and close copies of every fifth of them."""
+    base = [f"t{rng.randrange(10**6)}" for _ in range(round(words * share))]
+    docs = []
+    for i in range(n):
+        own = [f"o{rng.randrange(10**6)}" for _ in range(words - len(base))]
+        docs.append(base + own)
+        if i % 5 == 0:
+            near = list(docs[-1])
+            near[rng.randrange(len(base), words)] = "changed"
+            docs.append(near)
+    rng.shuffle(docs)
+    return [(i, " ".join(d)) for i, d in enumerate(docs)]
+
+
+@pytest.mark.parametrize("share", [0.7, 0.8, 0.84, 0.88])
+def test_pairs_inside_a_large_group_of_one_template(spark, monkeypatch, share):
+    monkeypatch.setattr(near_dups, "CELL", 4)
+    docs = template_group(random.Random(int(share * 100)), 40, share)
+    assert found(spark, docs) == brute(docs)
+
+
+def test_prefixes_lose_no_pair():
+    rng = np.random.default_rng(2)
+    n, similarity, hits = 200, 0.8, 0
+    for _ in range(400):
+        size = rng.integers(3, 60)
+        tags = np.sort(rng.choice(n, size, replace=False)).astype(np.uint64)
+        weights = rng.uniform(0.5, 4, size).astype(np.float32)
+        keep = rng.uniform(size=size) < rng.choice([0.8, 0.95])
+        other = weights * np.where(rng.uniform(size=size) < 0.9, 1, rng.uniform(0.7, 1.4, size)).astype(np.float32)
+        sides = [(tags, weights), (tags[keep], other[keep])]
+        if not keep.any():
+            continue
+        like = near_dups.weighted_jaccard((tags, weights.astype(float)), tags[keep], other[keep].astype(float), np.zeros(keep.sum(), int), 1)[0]
+        posts = [list(near_dups.prefix_posts([pa.record_batch({"head": [k], "root": [k], "shingles": [planes(t)], "weights": [planes(w)]})], similarity))[0].to_pylist() for k, (t, w) in enumerate(sides)]
+        light, heavy = sorted(posts, key=lambda p: (p[0]["total"], p[0]["head"]))
+        met = any(
+            a["light"] and a["tag"] == b["tag"] and a["total"] >= similarity * (1 - 1e-5) * b["total"] and min(a["rest"], b["rest"]) >= similarity / (1 + similarity) * (1 - 1e-5) * (a["total"] + b["total"])
+            for a in light
+            for b in heavy
+        )
+        assert met or like < similarity
+        hits += like >= similarity
+    assert hits > 50

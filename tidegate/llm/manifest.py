@@ -31,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidegate.sources.shared import fresh_dir
+from tidegate.sources.shared import kept
 
 #: Children of a node; a power of two.
 FANOUT = 16
@@ -65,18 +65,12 @@ def lowered() -> Column:
     return F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def _kept(frame: DataFrame, purpose: str) -> DataFrame:
-    path = fresh_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def ranged(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows of a written table in the order of ``keys`` and ``salt``, written: ``range`` and ``at``, a place in it."""
     keys = [*keys, "salt"]
     dealt = rows.repartitionByRange(max(1, -(-rows.count() // RANGE_ROWS)), *keys).sortWithinPartitions(*keys)
     # such an id is the number of the partition above 33 bits of the row's place in it
-    at = _kept(dealt.withColumn("at", F.monotonically_increasing_id()).drop("salt"), "ranged")
+    at = kept(dealt.withColumn("at", F.monotonically_increasing_id()).drop("salt"), "ranged")
     return at.withColumn("range", F.shiftright("at", 33))
 
 
@@ -130,7 +124,7 @@ def fold(nodes: DataFrame, most: int) -> tuple[DataFrame, list[DataFrame]]:
         above = nodes.where("n > 1").groupBy("of", "n", F.shiftright("rank", _BITS).alias("up")).agg(run.alias("run"))
         children = F.transform("run", lambda x: x["digest"])
         above = above.select("of", F.col("up").alias("rank"), children.alias("children"), F.ceil(F.col("n") / FANOUT).alias("n"))
-        level = _kept(above.withColumn("digest", F.sha2(F.concat_ws("", "children"), 256)), "level")
+        level = kept(above.withColumn("digest", F.sha2(F.concat_ws("", "children"), 256)), "level")
         records.append(level.select("digest", "children"))
         nodes = level.select("of", "rank", "digest", "n")
         roots.append(nodes.where("n = 1").select("of", "digest"))
@@ -147,16 +141,16 @@ def build(leaves: DataFrame, group: str = "source") -> tuple[DataFrame, Manifest
     """
     spark = leaves.sparkSession
     at = ranged(leaves, [group, "doc_id", "leaf"])
-    share = _kept(shares(at, group), "shares")
+    share = kept(shares(at, group), "shares")
     found = share.groupBy("group").agg(F.max("n").alias("n_leaves")).select(F.col("group").alias("name"), "n_leaves")
-    named = ranged(_kept(found.withColumn("salt", F.lit(0)).withColumn("tree", F.lit(0)), "groups"), ["name"])
-    groups = _kept(ranked(named, shares(named, "tree"), "tree").select("name", F.col("rank").alias("of"), F.col("n_leaves").alias("n")), "groups")
+    named = ranged(kept(found.withColumn("salt", F.lit(0)).withColumn("tree", F.lit(0)), "groups"), ["name"])
+    groups = kept(ranked(named, shares(named, "tree"), "tree").select("name", F.col("rank").alias("of"), F.col("n_leaves").alias("n")), "groups")
     n_groups, most = groups.agg(F.count(F.lit(1)), F.coalesce(F.max("n"), F.lit(0))).first()
     # a group's number is joined to its ranges, not to its rows
     share = share.join(groups.select("name", "of"), F.col("group").eqNullSafe(F.col("name"))).drop("name")
-    placed = _kept(ranked(at, share, group), "placed")
+    placed = kept(ranked(at, share, group), "placed")
     subroots, records = fold(placed.select("of", "rank", F.col("leaf").alias("digest"), "n"), heights(most))
-    groups = _kept(groups.join(subroots.withColumnRenamed("digest", "subroot"), "of"), "subroots")
+    groups = kept(groups.join(subroots.withColumnRenamed("digest", "subroot"), "of"), "subroots")
     top = groups.select(F.lit(0).cast("long").alias("of"), F.col("of").alias("rank"), F.col("subroot").alias("digest"), F.lit(n_groups).cast("long").alias("n"))
     root, above = fold(top, heights(n_groups))
     root = root.first()
@@ -164,7 +158,7 @@ def build(leaves: DataFrame, group: str = "source") -> tuple[DataFrame, Manifest
     for level in records + above:
         stored = stored.unionByName(level)
     # equal nodes are one record
-    stored = _kept(stored.groupBy("digest").agg(F.first("children").alias("children")), "records")
+    stored = kept(stored.groupBy("digest").agg(F.first("children").alias("children")), "records")
     return placed, Manifest(stored, groups, root["digest"] if root else None, n_groups, heights(most))
 
 
@@ -188,25 +182,25 @@ def prove(manifest: Manifest, requests: DataFrame) -> DataFrame:
     """
     spark, top, tallest = requests.sparkSession, heights(manifest.n_groups), manifest.tallest
     # the ways that some request takes, by their height over the leaves; each from the one below it
-    groups = {0: _kept(requests.select(F.col("of").alias("way")).distinct(), "ways")}
+    groups = {0: kept(requests.select(F.col("of").alias("way")).distinct(), "ways")}
     for up in range(1, top):
         groups[up] = groups[up - 1].select(F.shiftright("way", _BITS).alias("way")).distinct()
     ways = {0: requests.select("of", F.col("rank").alias("way"))}
     for up in range(1, tallest):
-        ways[up] = _kept(ways[up - 1].select("of", F.shiftright("way", _BITS).alias("way")).distinct(), "ways")
+        ways[up] = kept(ways[up - 1].select("of", F.shiftright("way", _BITS).alias("way")).distinct(), "ways")
 
     here = spark.createDataFrame([(0, manifest.root or "")], "way bigint, digest string")
     here = here.withColumn("segments", F.array().cast("array<struct<digit:int,others:string>>"))
     for up in reversed(range(top)):
-        here = _kept(_step(here, manifest.records).join(groups[up], "way", "left_semi"), "walk")
+        here = kept(_step(here, manifest.records).join(groups[up], "way", "left_semi"), "walk")
     sizes = manifest.groups.select("of", height(F.col("n"), tallest).alias("height"))
     reached = here.select(F.col("way").alias("of"), F.lit(0).cast("long").alias("way"), "digest", F.col("digest").alias("subroot"), "segments")
-    reached = _kept(reached.join(sizes, "of"), "walk")
+    reached = kept(reached.join(sizes, "of"), "walk")
     alone = requests.where("n = 1").join(reached.where("height = 0").select("of", "subroot", "segments"), "of")
     here = reached.where(F.lit(False))
     for up in reversed(range(1, tallest)):  # groups enter at their own height
         here = here.unionByName(reached.where(F.col("height") == up + 1))
-        here = _kept(_step(here, manifest.records).join(ways[up], ["of", "way"], "left_semi"), "walk")
+        here = kept(_step(here, manifest.records).join(ways[up], ["of", "way"], "left_semi"), "walk")
     # the last step is taken where the requests are, so that no segments are copied for each leaf
     here = here.unionByName(reached.where("height = 1")).join(manifest.records, "digest").select("of", "way", "subroot", "segments", "children")
     met = requests.withColumn("way", F.shiftright("rank", _BITS)).join(here, ["of", "way"])
@@ -228,7 +222,7 @@ def manifest_of(docs: DataFrame) -> tuple[DataFrame, Manifest]:
     """The placed leaves (doc_id, source, leaf, tampered_leaf, of, rank, n) of documents, and their manifest."""
     changed = F.when(tampered(), leaf(text=lowered())).otherwise(F.lit(None))
     rows = docs.select("doc_id", "source", leaf().alias("leaf"), changed.alias("tampered_leaf"), F.rand(7).alias("salt"))
-    return build(_kept(rows, "digests"))
+    return build(kept(rows, "digests"))
 
 
 def merkle_manifest(docs: DataFrame) -> DataFrame:

@@ -9,13 +9,21 @@ weight level of a document such that two documents draw alike with the probabili
 their weighted Jaccard similarity. Documents that draw alike in all rows of a band share
 a bucket.
 
-Documents of the same words are one *content*, held by its smallest id. In a bucket every
-content is paired with the smallest one, its leader; a leader's contents are compared in
-cells of bounded size: each is held against the leader, and the smallest that no link has
-reached yet is held against all others of the cell, until each has been reached or held;
-then those that were reached from different ones are held against each other. Contents of different cells of a leader that are not connected by then are held against
-each other cell by cell. Links are verified on all shingles. Connected contents are a
-class, named by its smallest id.
+Documents of the same words (128 bits of BLAKE2 over them) are one *content*, held by its
+smallest id. In a bucket every content is paired with the smallest one, its leader; a
+leader's contents are compared in cells of bounded size: each is held against the leader,
+and the smallest that no link has reached yet is held against all others of the cell,
+until each has been reached or held; then those that were reached from different ones are
+held against each other.
+
+Contents of different cells of a leader that are not connected by then go through an exact
+index of prefixes. Every content lists its shingles from the rarest on. Of two contents at
+the similarity, the first shingle in that order that both have must stand where at least
+``similarity`` of the one's weight is still to come, and 2 s / (1 + s) of the other's if
+that one is no heavier; only such places are posted, and two places meet if the weights
+still to come could make up the similarity. What meets is verified. So nothing is lost, a
+content is posted once, and contents that share only frequent text do not meet. Links are
+verified on all shingles. Connected contents are a class, named by its smallest id.
 
 A document can only have a near-duplicate of another content if shingles that other
 documents have too make up ``similarity`` of its weight, so all others stop early. That
@@ -32,6 +40,7 @@ the text that sorts first. Empty tables give no rows. Other columns are not read
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -41,11 +50,13 @@ from pyspark.sql import functions as F
 
 from tidegate.llm import parts
 from tidegate.llm.textkit import IS_BREAK, U64, Texts, Words, from_planes, grouped, member, mix, planes, span_hash, window_hash
-from tidegate.sources.shared import fresh_dir
+from tidegate.sources.shared import drop_dir, kept, written
 
 WIDTH = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 14, 3
+#: Keys of the frequencies; with a 40-bit tag a key makes a 64-bit number.
+MOST_KEYS = 1 << 23
 #: Contents that one task compares with one leader at a time.
 CELL = 256
 SKETCHES = "head bigint, one bigint, two bigint, members array<bigint>, bands array<bigint>, shingles binary, weights binary"
@@ -237,26 +248,22 @@ def joining(like: np.ndarray, roots: np.ndarray, other_roots: np.ndarray) -> lis
     return out
 
 
-def compare_cells(table: pa.Table, similarity: float) -> list[tuple[int, int]]:
-    """Links between contents of different roots, one of the left and one of the right cell, as far as they connect roots."""
-    left = np.array(table.column("left").to_pylist(), bool)
-    ids, roots = (np.array(table.column(c).to_pylist(), np.int64) for c in ("head", "root"))
-    tags = [from_planes(x, U64) for x in table.column("shingles").to_pylist()]
-    weights = [from_planes(x, np.float32).astype(np.float64) for x in table.column("weights").to_pylist()]
-    one, two = ([i for i in np.argsort(ids, kind="stable") if left[i] == side] for side in (True, False))
-    if not one or not two:
-        return []
-    like = similarities([(tags[i], weights[i]) for i in one], [(tags[i], weights[i]) for i in two]) >= similarity - 1e-9
-    return [(int(ids[one[i]]), int(ids[two[j]])) for i, j in joining(like, roots[one], roots[two])]
+def loaded_sketches(table: pa.Table, shingles: str = "shingles", weights: str = "weights") -> list[tuple[np.ndarray, np.ndarray]]:
+    """(sorted tags, weights) of each row."""
+    out = []
+    for tags, own in zip(table.column(shingles).to_pylist(), table.column(weights).to_pylist(), strict=True):
+        tags = from_planes(tags, U64)
+        order = np.argsort(tags)
+        out.append((tags[order], from_planes(own, np.float32).astype(np.float64)[order]))
+    return out
 
 
 def compare_cell(table: pa.Table, similarity: float) -> list[tuple[int, int]]:
     """Links of one cell: enough of them that what is similar, directly or through others, is connected."""
     ids = np.array(table.column("head").to_pylist(), np.int64)
     order = np.argsort(ids, kind="stable")
-    tags = [from_planes(x, U64) for x in table.column("shingles").to_pylist()]
-    weights = [from_planes(x, np.float32).astype(np.float64) for x in table.column("weights").to_pylist()]
-    ids, tags, weights = ids[order], [tags[i] for i in order], [weights[i] for i in order]
+    sketch = loaded_sketches(table)
+    ids, tags, weights = ids[order], [sketch[i][0] for i in order], [sketch[i][1] for i in order]
     owner = np.repeat(np.arange(len(ids)), [len(t) for t in tags])
     flat_tags, flat_weights = np.concatenate(tags), np.concatenate(weights)
     open_ = np.ones(len(ids), bool)
@@ -284,6 +291,7 @@ def compare_cell(table: pa.Table, similarity: float) -> list[tuple[int, int]]:
 def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
     """Contents that may have near-duplicates, once for each part: ids, content hashes, band values, shingles."""
     n = parts.part_count(docs, text_col)
+    n_keys = min(n, MOST_KEYS)
     parted = parts.parted(docs, n, id_col, text_col)
     n_docs = max(1, docs.where(F.col(id_col).isNotNull()).count())
 
@@ -292,9 +300,9 @@ def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: i
         found = Shingles(table, width)
         order, new = grouped(found.hash)
         counts = np.diff(np.append(np.flatnonzero(new), len(order))).astype(np.uint32)
-        key, tag = _placed(found.hash[order[new]], n)
+        key, tag = _placed(found.hash[order[new]], n_keys)
         by_key = np.lexsort((tag, key))
-        return parts.rows_by_key(key[by_key], n, part, tag[by_key], counts[by_key])
+        return parts.rows_by_key(key[by_key], part, tag[by_key], counts[by_key])
 
     def sketch(table: pa.Table, replies: pa.Table) -> pa.Table:
         names = ["head", "one", "two", "members", "bands", "shingles", "weights"]
@@ -307,7 +315,7 @@ def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: i
         counts = np.concatenate([from_planes(x, np.uint32) for x in replies.column("extra").to_pylist()])
         order = np.argsort(held)
         held, counts = held[order], counts[order]
-        key, tag = _placed(found.hash, n)
+        key, tag = _placed(found.hash, n_keys)
         number = (key << U64(40)) | tag
         common = np.flatnonzero(member(number, held))
         frequency = np.ones(len(number), np.int64)
@@ -330,6 +338,8 @@ def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: i
         starts = np.searchsorted(owner, heads)
         values = band_values(hashes, weight.astype(np.float64), starts, bands, rows)
         stops = np.append(starts[1:], len(owner))
+        rarest = np.lexsort((hashes, frequency[keep], owner))  # the order of the prefixes
+        hashes, weight = hashes[rarest], weight[rarest]
         copies = np.flatnonzero(may & ~chosen)
         members: dict[int, list[int]] = {int(h): [] for h in heads}
         for i in copies:
@@ -352,78 +362,110 @@ def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: i
     return parted.groupBy("part").cogroup(frequencies.groupBy("part")).applyInArrow(sketch, SKETCHES)
 
 
-def _kept(frame: DataFrame, purpose: str) -> DataFrame:
-    """Written to the shared folder and read back, which cuts the lineage."""
-    path = fresh_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def connected(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of a link is connected with, by large and small stars.
 
     Every round hangs nodes under smaller ones until the links are stars around the
-    smallest; the number of rounds grows with the logarithm of the longest chain.
+    smallest; the number of rounds grows with the logarithm of the longest chain. A node's
+    smallest neighbour is written before it is joined to the node's links, so both sides
+    of the join are plain shuffles and a hub's links are split over tasks. A round's
+    folders go when the next ones are written.
     """
-    edges = _kept(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links")
+    spark = links.sparkSession
+    edges, folder = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links")
 
     def mark(frame: DataFrame):
         return tuple(frame.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
+    def least(frame: DataFrame) -> tuple[DataFrame, str]:
+        return written(frame.groupBy("u").agg(F.min("v").alias("m")), "least")
+
     before = mark(edges)
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low, low_folder = least(both)
+        large = both.where("v > u").join(low.select("u", F.least("u", "m").alias("m")), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large, large_folder = written(large.where("u != v").distinct(), "large-stars")
+        drop_dir(spark, low_folder)
+        low, low_folder = least(large)
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        edges = _kept(small.where("u != v").distinct(), "links")
-        after = mark(edges)
+        edges, following = written(small.where("u != v").distinct(), "links")
+        for old in (folder, low_folder, large_folder):
+            drop_dir(spark, old)
+        folder, after = following, mark(edges)
         if after == before:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
         before = after
 
 
-def between_cells(dealt: DataFrame, roots: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
-    """Links (a, b) between contents that follow one leader in different cells and have different roots.
+POSTS = "tag bigint, head bigint, root bigint, total double, rest double, light boolean"
+#: Relative slack for the rounding of stored weights.
+SLACK = 1e-5
+
 
-    ``dealt`` has leader, head and cell. Contents are dealt anew: a root with many of a
-    leader's contents has cells of its own, the others are put together. All pairs of
-    cells are compared, but not those of one root.
+def prefix_posts(batches: Iterator[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """The places of each content (head, root, shingles, weights) at which a first common shingle can stand.
+
+    ``rest`` is the weight from there on; ``light`` places are those for heavier partners.
     """
-    several = dealt.where("cell > 0").select("leader").distinct()
-    followers = dealt.join(several, "leader", "left_semi").select("leader", "head").unionByName(several.withColumn("head", F.col("leader")))
-    rooted = followers.join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
-    rooted = _kept(rooted.select("leader", "head", "root"), "rooted")
-    sizes = rooted.groupBy("leader", "root").agg(F.count(F.lit(1)).alias("n"))
-    large = F.col("n") >= CELL
-    mixed = sizes.groupBy("leader").agg(F.sum(F.when(~large, F.col("n")).otherwise(0)).alias("n_mixed"), F.count(F.lit(1)).alias("n_roots"))
-    sizes = sizes.join(mixed.where("n_roots > 1"), "leader")
-    own = F.concat(F.col("root").cast("string"), F.lit("/"), F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / CELL)).cast("string"))
-    shared = F.concat(F.lit("/"), F.pmod(F.xxhash64("root"), F.ceil(F.col("n_mixed") / CELL)).cast("string"))
-    placed = rooted.join(sizes, ["leader", "root"]).select(
-        "leader", "head", "root", F.when(large, F.col("root")).alias("only"), F.when(large, own).otherwise(shared).alias("cell")
-    )
-    placed = _kept(placed, "cells")
-    cells = placed.select("leader", "cell", "only").distinct()
-    other = cells.select("leader", F.col("cell").alias("right_cell"), F.col("only").alias("right_only"))
-    met = cells.withColumnRenamed("cell", "left_cell").join(other, "leader").where("left_cell <= right_cell AND NOT (only <=> right_only AND only IS NOT NULL)")
-    met = met.select("leader", "left_cell", "right_cell")
-    sides = [
-        placed.join(met.withColumn("cell", F.col(f"{side}_cell")), ["leader", "cell"]).select(
-            "leader", "left_cell", "right_cell", "head", "root", F.lit(side == "left").alias("left")
-        )
-        for side in ("left", "right")
-    ]
+    for batch in batches:
+        for head, root, tags, weights in zip(*(batch.column(c).to_pylist() for c in ("head", "root", "shingles", "weights")), strict=True):
+            tags, weights = from_planes(tags, U64), from_planes(weights, np.float32).astype(np.float64)
+            rest = np.cumsum(weights[::-1])[::-1]
+            total = float(rest[0])
+            n = int(np.count_nonzero(rest >= similarity * total * (1 - SLACK)))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(tags[:n].view(np.int64)),
+                    pa.array(np.full(n, head, np.int64)),
+                    pa.array(np.full(n, root, np.int64)),
+                    pa.array(np.full(n, total)),
+                    pa.array(rest[:n]),
+                    pa.array(rest[:n] >= 2 * similarity / (1 + similarity) * total * (1 - SLACK)),
+                ],
+                names=["tag", "head", "root", "total", "rest", "light"],
+            )
+
+
+def meeting(posts: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of contents of different roots that may have the similarity; a is the lighter one."""
+    one = posts.where("light").select("tag", *(F.col(c).alias(f"{c}_a") for c in ("head", "root", "total", "rest")))
+    two = posts.select("tag", *(F.col(c).alias(f"{c}_b") for c in ("head", "root", "total", "rest")))
+    lighter = (F.col("total_a") < F.col("total_b")) | ((F.col("total_a") == F.col("total_b")) & (F.col("head_a") < F.col("head_b")))
+    near = F.col("total_a") >= similarity * (1 - SLACK) * F.col("total_b")
+    enough = F.least("rest_a", "rest_b") >= similarity / (1 + similarity) * (1 - SLACK) * (F.col("total_a") + F.col("total_b"))
+    met = one.join(two, "tag").where((F.col("root_a") != F.col("root_b")) & lighter & near & enough)
+    return met.select(F.col("head_a").alias("a"), F.col("head_b").alias("b")).distinct()
+
+
+def verified(pairs: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (a, b) whose weighted Jaccard similarity is reached."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                some = pa.Table.from_batches([batch.slice(at, 64)])
+                one, two = loaded_sketches(some, "shingles_a", "weights_a"), loaded_sketches(some, "shingles_b", "weights_b")
+                like = [weighted_jaccard(x, *y, np.zeros(len(y[0]), np.int64), 1)[0] >= similarity - 1e-9 for x, y in zip(one, two, strict=True)]
+                yield from some.select(["a", "b"]).filter(pa.array(like)).to_batches()
+
+    for side in ("a", "b"):
+        own = heads.select(F.col("head").alias(side), F.col("shingles").alias(f"shingles_{side}"), F.col("weights").alias(f"weights_{side}"))
+        pairs = pairs.join(own, side)
+    return pairs.mapInArrow(verify, "a bigint, b bigint")
 
-    def compare(table: pa.Table) -> pa.Table:
-        links = compare_cells(table, similarity)
-        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    # written, so that its size is known and few rows are broadcast to the sketches instead of shuffling these
-    loaded = _kept(sides[0].unionByName(sides[1]), "cell-sides").join(heads.select("head", "shingles", "weights"), "head")
-    return loaded.groupBy("leader", "left_cell", "right_cell").applyInArrow(compare, "a bigint, b bigint").distinct()
+def between_cells(dealt: DataFrame, roots: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) between contents of leaders with several cells that are not connected yet.
+
+    ``dealt`` has leader, head and cell.
+    """
+    several = dealt.where("cell > 0").select("leader").distinct()
+    some = dealt.join(several, "leader", "left_semi").select("head").unionByName(several.select(F.col("leader").alias("head"))).distinct()
+    rooted = some.join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
+    posts = rooted.join(heads.select("head", "shingles", "weights"), "head").mapInArrow(lambda batches: prefix_posts(batches, similarity), POSTS)
+    pairs = meeting(kept(posts, "posts"), similarity)
+    return verified(kept(pairs, "meeting"), heads, similarity)
 
 
 def near_duplicates(
@@ -435,8 +477,8 @@ def near_duplicates(
     end. It is not the number of all contents similar to it: contents that are already
     connected are not held against each other.
     """
-    found = _kept(sketches(docs, width, similarity, bands, rows, id_col, text_col), "sketches")
-    contents = _kept(found.groupBy("one", "two").agg(F.min("head").alias("content_id")), "contents")
+    found = kept(sketches(docs, width, similarity, bands, rows, id_col, text_col), "sketches")
+    contents = kept(found.groupBy("one", "two").agg(F.min("head").alias("content_id")), "contents")
     named = found.join(contents, ["one", "two"])
     heads = found.join(contents.select(F.col("content_id").alias("head")), "head", "left_semi")
 
@@ -444,7 +486,7 @@ def near_duplicates(
     buckets = places.groupBy("band", "value").agg(F.min("head").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     # a bucket's contents are dealt to cells by their own hash, so no task meets a leader's whole following
     met = places.join(buckets, ["band", "value"]).where("head != leader").groupBy("leader", "head").agg(F.max("n").alias("n"))
-    dealt = _kept(met.select("leader", F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / CELL)).alias("cell"), "head"), "pairs")
+    dealt = kept(met.select("leader", F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / CELL)).alias("cell"), "head"), "pairs")
     leaders = dealt.select("leader", "cell", F.col("leader").alias("head")).distinct()
     loaded = dealt.unionByName(leaders).join(heads.select("head", "shingles", "weights"), "head")
 
@@ -452,10 +494,10 @@ def near_duplicates(
         links = compare_cell(table, similarity)
         return pa.table({"a": pa.array([a for a, _ in links], pa.int64()), "b": pa.array([b for _, b in links], pa.int64())})
 
-    links = _kept(loaded.groupBy("leader", "cell").applyInArrow(compare, "a bigint, b bigint").distinct(), "verified")
+    links = kept(loaded.groupBy("leader", "cell").applyInArrow(compare, "a bigint, b bigint").distinct(), "verified")
     roots = connected(links)
     if not dealt.where("cell > 0").isEmpty():
-        more = _kept(between_cells(dealt, roots, heads, similarity), "links-between-cells")
+        more = kept(between_cells(dealt, roots, heads, similarity), "links-between-cells")
         if not more.isEmpty():
             roots = connected(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
             links = links.unionByName(more)

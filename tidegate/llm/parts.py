@@ -67,11 +67,16 @@ def placed(hashes: np.ndarray, n_keys: int) -> tuple[np.ndarray, np.ndarray]:
     return key, hashes >> U64(32)
 
 
-def rows_by_key(keys: np.ndarray, n_keys: int, part: int, *columns: np.ndarray) -> pa.Table:
+def key_edges(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys of a sorted array, and where each begins (one more: the end)."""
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first].astype(np.int64), np.append(first, len(keys))
+
+
+def rows_by_key(keys: np.ndarray, part: int, *columns: np.ndarray) -> pa.Table:
     """One row per key that has entries; ``keys`` is sorted, columns are cut alike."""
-    edges = np.searchsorted(keys, np.arange(n_keys + 1, dtype=keys.dtype))
-    used = np.flatnonzero(edges[1:] > edges[:-1])
-    cut = [[planes(c[edges[k] : edges[k + 1]]) for k in used] for c in columns]
+    used, edges = key_edges(keys)
+    cut = [[planes(c[a:b]) for a, b in zip(edges[:-1], edges[1:], strict=True)] for c in columns]
     cut += [[b""] * len(used)] * (2 - len(cut))
     return pa.table(
         {
@@ -86,7 +91,7 @@ def rows_by_key(keys: np.ndarray, n_keys: int, part: int, *columns: np.ndarray)
 def votes(hashes: np.ndarray, anchors: np.ndarray, n_keys: int, part: int) -> pa.Table:
     """Each distinct hash once, with whether it is an anchor here (bit 0) and occurs again here (bit 1)."""
     if not len(hashes):
-        return rows_by_key(np.zeros(0, U64), n_keys, part, np.zeros(0, np.uint32), np.zeros(0, np.uint8))
+        return rows_by_key(np.zeros(0, U64), part, np.zeros(0, np.uint32), np.zeros(0, np.uint8))
     key, tag = placed(hashes, n_keys)
     packed = (key << U64(33)) | (tag << U64(1)) | anchors.astype(U64)
     packed.sort()
@@ -97,7 +102,7 @@ def votes(hashes: np.ndarray, anchors: np.ndarray, n_keys: int, part: int) -> pa
     after = np.append(first[1:], len(value))
     flags = (packed[after - 1] & U64(1)).astype(np.uint8) | ((after - first > 1).astype(np.uint8) << 1)
     value = value[first]
-    return rows_by_key(value >> U64(32), n_keys, part, (value & U64(0xFFFFFFFF)).astype(np.uint32), flags)
+    return rows_by_key(value >> U64(32), part, (value & U64(0xFFFFFFFF)).astype(np.uint32), flags)
 
 
 def count_votes(table: pa.Table) -> pa.Table:

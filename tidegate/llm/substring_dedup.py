@@ -106,7 +106,7 @@ def substring_dedup(
     def extend(table: pa.Table, replies: pa.Table) -> pa.Table:
         """The first place of each distinct window around a hit goes to the window's key, with its document."""
         if not len(table) or not len(replies):
-            return parts.rows_by_key(np.zeros(0, U64), n, 0, np.zeros(0, U64))
+            return parts.rows_by_key(np.zeros(0, U64), 0, np.zeros(0, U64))
         part = parts.part_id(table)
         table, texts, words, hashes = _hashed(table)
         place, values = _windows(words, hashes, block, 1)
@@ -124,7 +124,7 @@ def substring_dedup(
         values["one"], values["two"] = one[first], two[first]
         key = parts.second_key(values["one"], n)
         by_key = np.argsort(key, kind="stable")
-        return parts.rows_by_key(key[by_key], n, part, values[by_key], ids[by_key])
+        return parts.rows_by_key(key[by_key], part, values[by_key], ids[by_key])
 
     def first_places(table: pa.Table) -> pa.Table:
         """For one key: tell each part which of its windows occur in a document with a smaller id elsewhere."""

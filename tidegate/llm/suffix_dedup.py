@@ -194,7 +194,7 @@ def suffix_dedup(
     def send(table: pa.Table, replies: pa.Table) -> pa.Table:
         """Stretches whose anchor occurs elsewhere go to the anchor's key, each distinct one once."""
         if not len(table) or not len(replies):
-            return parts.rows_by_key(np.zeros(0, U64), n, 0, np.zeros(0, U64))
+            return parts.rows_by_key(np.zeros(0, U64), 0, np.zeros(0, U64))
         part = parts.part_id(table)
         table = parts.in_order(table)
         texts = Texts(table.column("text"))
@@ -208,9 +208,8 @@ def suffix_dedup(
         size = found.last[which] + length - found.first[which]
         body, offset = gather(texts.buf, found.first, found.last + length - found.first, which)
         ids = table.column("doc_id").to_numpy()[found.text[which]]
-        edges = np.searchsorted(key, np.arange(n + 1, dtype=key.dtype))
-        used = np.flatnonzero(edges[1:] > edges[:-1])
-        cut = [slice(edges[k], edges[k + 1]) for k in used]
+        used, edges = parts.key_edges(key)
+        cut = [slice(a, b) for a, b in zip(edges[:-1], edges[1:], strict=True)]
         return pa.table(
             {
                 "key": pa.array(used, pa.int32()),

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.sources.shared import fresh_dir
+from tidegate.sources.shared import kept
 
 WIDTH = 16
 #: Turns of a part on average, and ids that one row of a digest's input may list.
@@ -266,12 +266,6 @@ def _digests(done: list[tuple[bytes, str]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([n for n, _ in done], pa.binary()), pa.array([d for _, d in done], pa.string())], names=["node", "ends_sha256"])
 
 
-def _kept(frame: DataFrame, purpose: str) -> DataFrame:
-    path = fresh_dir(frame.sparkSession, purpose)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.parquet(path)
-
-
 def turn_id(role: Column, text: Column) -> Column:
     whole = F.sha2(F.concat(F.octet_length(role).cast("string"), F.lit(":"), role, text), 256)
     return F.unhex(F.substring(whole, 1, 2 * WIDTH))
@@ -306,14 +300,14 @@ def prefix_trie(sequences: DataFrame, part_turns: int = PART_TURNS) -> DataFrame
     n_children, n_leaves (childless nodes from here on), saved_tokens (bytes of texts that
     sharing saves from here on), ends_sha256 (of the ids of members that end here).
     """
-    given = _kept(sequences.select("conv_id", "turns"), "sequences")
+    given = kept(sequences.select("conv_id", "turns"), "sequences")
     n = given.agg(F.sum(F.size("turns") + 1)).first()[0] or 0
     dealt = given.withColumn("part", F.pmod(F.xxhash64("conv_id"), F.lit(max(1, -(-n // part_turns)))).cast("int"))
     found = dealt.groupBy("part").applyInArrow(
         lambda table: first_walk(table),
         "node binary, parent binary, depth bigint, size bigint, conv_id bigint, n_convs bigint, text_bytes bigint, ends array<bigint>",
     )
-    found = _kept(found, "part-nodes")
+    found = kept(found, "part-nodes")
     nodes = found.groupBy("node").agg(
         F.first("parent").alias("parent"),
         F.first("depth").alias("depth"),
@@ -321,9 +315,9 @@ def prefix_trie(sequences: DataFrame, part_turns: int = PART_TURNS) -> DataFrame
         F.sum("n_convs").alias("n_convs"),
         F.sum("text_bytes").alias("text_bytes"),
     )
-    nodes = _kept(nodes, "nodes")
+    nodes = kept(nodes, "nodes")
     children = nodes.groupBy(F.col("parent").alias("node")).agg(F.count(F.lit(1)).alias("n_children"))
-    nodes = _kept(nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))), "counted-nodes")
+    nodes = kept(nodes.join(children, "node", "left").withColumn("n_children", F.coalesce("n_children", F.lit(0).cast("long"))), "counted-nodes")
 
     # a conversation owns the end of its path, if anything; its deepest own node is where it ends
     last = F.max(F.struct("depth", "n_children"))["n_children"] == 0
