@@ -362,6 +362,15 @@ def sketches(docs: DataFrame, width: int, similarity: float, bands: int, rows: i
     return parted.groupBy("part").cogroup(frequencies.groupBy("part")).applyInArrow(sketch, SKETCHES)
 
 
+#: Rows of a few numbers each that are sent to every executor instead of shuffling sketches.
+BROADCAST_ROWS = 1 << 20
+
+
+def light(rows: DataFrame) -> DataFrame:
+    """A written table of numbers, to be broadcast if it has few rows."""
+    return F.broadcast(rows) if rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else rows
+
+
 def connected(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node each node of a link is connected with, by large and small stars.
 
@@ -439,7 +448,7 @@ def meeting(posts: DataFrame, similarity: float) -> DataFrame:
 
 
 def verified(pairs: DataFrame, heads: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity is reached."""
+    """The written pairs (a, b) whose weighted Jaccard similarity is reached."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -449,8 +458,10 @@ def verified(pairs: DataFrame, heads: DataFrame, similarity: float) -> DataFrame
                 like = [weighted_jaccard(x, *y, np.zeros(len(y[0]), np.int64), 1)[0] >= similarity - 1e-9 for x, y in zip(one, two, strict=True)]
                 yield from some.select(["a", "b"]).filter(pa.array(like)).to_batches()
 
+    some = kept(pairs.select(F.explode(F.array("a", "b")).alias("head")).distinct(), "verified-heads")
+    needed = kept(heads.select("head", "shingles", "weights").join(light(some), "head"), "verified-sketches")
     for side in ("a", "b"):
-        own = heads.select(F.col("head").alias(side), F.col("shingles").alias(f"shingles_{side}"), F.col("weights").alias(f"weights_{side}"))
+        own = needed.select(F.col("head").alias(side), F.col("shingles").alias(f"shingles_{side}"), F.col("weights").alias(f"weights_{side}"))
         pairs = pairs.join(own, side)
     return pairs.mapInArrow(verify, "a bigint, b bigint")
 
@@ -463,7 +474,7 @@ def between_cells(dealt: DataFrame, roots: DataFrame, heads: DataFrame, similari
     several = dealt.where("cell > 0").select("leader").distinct()
     some = dealt.join(several, "leader", "left_semi").select("head").unionByName(several.select(F.col("leader").alias("head"))).distinct()
     rooted = some.join(roots.withColumnRenamed("node", "head"), "head", "left").withColumn("root", F.coalesce("root", "head"))
-    posts = rooted.join(heads.select("head", "shingles", "weights"), "head").mapInArrow(lambda batches: prefix_posts(batches, similarity), POSTS)
+    posts = heads.select("head", "shingles", "weights").join(light(kept(rooted, "rooted")), "head").mapInArrow(lambda batches: prefix_posts(batches, similarity), POSTS)
     pairs = meeting(kept(posts, "posts"), similarity)
     return verified(kept(pairs, "meeting"), heads, similarity)
 
@@ -477,10 +488,13 @@ def near_duplicates(
     end. It is not the number of all contents similar to it: contents that are already
     connected are not held against each other.
     """
-    found = kept(sketches(docs, width, similarity, bands, rows, id_col, text_col), "sketches")
+    spark = docs.sparkSession
+    found, folder = written(sketches(docs, width, similarity, bands, rows, id_col, text_col), "sketches")
     contents = kept(found.groupBy("one", "two").agg(F.min("head").alias("content_id")), "contents")
-    named = found.join(contents, ["one", "two"])
-    heads = found.join(contents.select(F.col("content_id").alias("head")), "head", "left_semi")
+    named = kept(found.select("head", "members", "one", "two").join(contents, ["one", "two"]), "named")
+    chosen = light(contents.select(F.col("content_id").alias("head")))
+    heads = kept(found.select("head", "bands", "shingles", "weights").join(chosen, "head"), "heads")
+    drop_dir(spark, folder)  # a content of several parts had a sketch in each
 
     places = heads.select("head", F.posexplode("bands").alias("band", "value"))
     buckets = places.groupBy("band", "value").agg(F.min("head").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -488,7 +502,7 @@ def near_duplicates(
     met = places.join(buckets, ["band", "value"]).where("head != leader").groupBy("leader", "head").agg(F.max("n").alias("n"))
     dealt = kept(met.select("leader", F.pmod(F.xxhash64("head"), F.ceil(F.col("n") / CELL)).alias("cell"), "head"), "pairs")
     leaders = dealt.select("leader", "cell", F.col("leader").alias("head")).distinct()
-    loaded = dealt.unionByName(leaders).join(heads.select("head", "shingles", "weights"), "head")
+    loaded = heads.select("head", "shingles", "weights").join(light(kept(dealt.unionByName(leaders), "cells")), "head")
 
     def compare(table: pa.Table) -> pa.Table:
         links = compare_cell(table, similarity)
