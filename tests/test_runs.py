@@ -2,6 +2,7 @@
 
 import datetime as dt
 import uuid
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from tidegate.functions.scoring import LinearScorer
 from tidegate.operators.alerts import run_status_feed
 from tidegate.operators.guards import DriftDetected
 from tidegate.plans import ingest
-from tidegate.plans.ingest import ingest_partition, seed
+from tidegate.plans.ingest import ingest_dates, ingest_partition, replay_rows, seed
 from tidegate.plans.ledger import RunOutcome, ledger_rows, outcomes, rows_scored_so_far
 from tidegate.plans.nightly import backfill, run_nightly
 from tidegate.plans.scoring import score_dates, score_partition
@@ -286,3 +287,60 @@ def test_any_error_leaves_a_ledger_row(spark, job):
     assert [run.status for run in backfill(spark, cfg, SCORER, [TARGET])] == ["FAILED"]
     (row,) = ledger(spark, cfg)
     assert row["exit_code"] == "3" and "no_such_column" in row["status_message"]
+
+
+
+FEBRUARY = [dt.date(2022, 2, 1) + dt.timedelta(days=k) for k in range(28)]
+
+
+def february(spark):
+    """Every source day but one, with as many trips as its day of the month."""
+    rows = [feature(f"{day}-{k}", day, total_amount=14.0 + k) for day in FEBRUARY if day.day != 9 for k in range(day.day)]
+    return source(spark, rows + rows[:7])
+
+
+def held_rows(spark, cfg):
+    spark.catalog.refreshTable(cfg.features_table)
+    return {r["scoring_date"]: r["count"] for r in spark.table(cfg.features_table).groupBy("scoring_date").count().collect()}
+
+
+def jobs_of(spark, name, run):
+    spark.sparkContext.setJobGroup(name, name)
+    out = run()
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_many_dates_are_filled_in_a_number_of_jobs_that_does_not_follow_them(spark, job):
+    cfg, trips = replay_job(job), february(spark)
+    days = FEBRUARY + [day + dt.timedelta(days=28) for day in FEBRUARY]  # each source day serves two dates
+    assert ingest_partition(spark, cfg, trips) == 22
+    _, few = jobs_of(spark, "few", lambda: ingest_dates(spark, cfg, trips, days[:3]))
+    out, many = jobs_of(spark, "many", lambda: ingest_dates(spark, cfg, trips, days + days[:4]))
+    assert many <= few + 2 < 20
+    assert (out["dates_written"], out["dates_skipped"]) == (52, 4)
+    found = held_rows(spark, cfg)
+    for day in days:  # as one date at a time would have it
+        assert found.get(day, 0) == replay_rows(trips, replace(cfg, target_date=day)).count()
+    assert sum(found.values()) == out["rows_written"] + 22 + sum(found.get(day, 0) for day in days[:3])
+    again = ingest_dates(spark, cfg, trips, days)
+    # dates whose source day is empty are asked for again
+    assert again["rows_written"] == 0 and held_rows(spark, cfg) == found
+
+
+def test_overlapping_ingests_leave_a_date_once(spark, job, monkeypatch):
+    cfg, trips = replay_job(job), february(spark)
+    ingest_dates(spark, cfg, trips, FEBRUARY[:5])
+    before = held_rows(spark, cfg)
+    monkeypatch.setattr(ingest, "partition_counts", lambda table, days: dict.fromkeys(days, 0))  # asked before the other wrote
+    ingest_dates(spark, cfg, trips, FEBRUARY[:7])
+    after = held_rows(spark, cfg)
+    assert before.items() <= after.items() and len(after) > len(before)
+
+
+def test_many_dates_without_a_source_or_dates(spark, job):
+    cfg, trips = replay_job(job), february(spark)
+    nothing = {"dates_written": 0, "dates_skipped": 1, "rows_written": 0}
+    assert ingest_dates(spark, cfg, None, FEBRUARY[:1]) == nothing
+    assert ingest_dates(spark, cfg, trips, [])["dates_skipped"] == 0
+    assert ingest_dates(spark, replace(cfg, enable_replay_ingest=False), trips, FEBRUARY[:1]) == nothing

@@ -19,7 +19,7 @@ from tidegate.functions.rows import (
 )
 from tidegate.operators.features import dedupe, source_window, without_populated_dates
 from tidegate.operators.profile import partition_summary
-from tidegate.plans.ingest import ingest_partition, replay_rows, seed
+from tidegate.plans.ingest import ingest_dates, ingest_partition, replay_rows, seed
 from tidegate.queries.base import BASELINE, IN_BASELINE, IN_TARGET, QUALITY, STAMP, TARGET, TRIPS, VIEW, plain, view
 from tidegate.registry import query
 from tidegate.sources import star
@@ -275,6 +275,40 @@ def ingest_guarded(spark, sf_dir):
     )
 
 
+REPLAY_DATES = [dt.date(2022, 2, 1) + dt.timedelta(days=k) for k in range(28)]
+INGEST_MANY_SQL = f"""{TRIPS}, wanted AS (
+  SELECT d, DATE '1995-02-01' + CAST(date_diff('day', DATE '1970-01-01', d) % 28 AS INTEGER) AS source_day
+  FROM (SELECT DATE '2022-02-01' + CAST(k AS INTEGER) AS d FROM range(28) AS r(k))),
+arrived AS (SELECT DISTINCT d, pickup_datetime, dropoff_datetime, vendor_id, trip_distance, total_amount, is_high_tip
+  FROM trips JOIN wanted ON CAST(pickup_datetime AS DATE) = source_day WHERE {QUALITY}),
+kept AS (SELECT d, pickup_datetime, dropoff_datetime, vendor_id, trip_distance, total_amount FROM arrived GROUP BY ALL)"""
+
+
+@query(
+    "ingest_many_dates",
+    f"""WITH {INGEST_MANY_SQL} SELECT CAST(d AS VARCHAR) AS scoring_date, count(*) AS trips, (SELECT count(DISTINCT d) FROM kept) AS dates_held,
+    (SELECT count(*) FROM kept WHERE d <> DATE '2022-02-10') AS rows_written, 0::BIGINT AS written_again FROM kept GROUP BY d""",
+)
+def ingest_many_dates(spark, sf_dir):
+    """28 dates filled together, one of which was held already; a second run writes nothing."""
+    cfg = job_tables(spark, **REPLAY)
+    source = star.source_trips(spark, sf_dir)
+    ingest_partition(spark, cfg, source)
+    first = ingest_dates(spark, cfg, source, REPLAY_DATES)
+    again = ingest_dates(spark, cfg, source, REPLAY_DATES)
+    held = spark.table(cfg.features_table).groupBy("scoring_date").agg(F.count(F.lit(1)).alias("trips"))
+    dates = held.count()
+    return plain(
+        held.select(
+            "scoring_date",
+            "trips",
+            F.lit(dates).cast("long").alias("dates_held"),
+            F.lit(first["rows_written"]).cast("long").alias("rows_written"),
+            F.lit(again["rows_written"]).cast("long").alias("written_again"),
+        )
+    )
+
+
 @query(
     "seed_load",
     f"""WITH {TRIPS}, picked AS (SELECT *, CASE WHEN CAST(pickup_datetime AS DATE) = DATE '{PICKUP_DAY}'
