@@ -19,6 +19,7 @@ from tidegate.config import (
     ALERT_WINDOW_S,
     KILLED,
     LOG_INCIDENT_CLOSE_S,
+    METRIC_INCIDENT_CLOSE_S,
     NOTIFY_GAP_S,
     PSI_HALT_AT,
     RUN_SUMMARY_EVENT,
@@ -28,6 +29,7 @@ from tidegate.functions.rows import above
 MICROS = 1_000_000
 # Log severities from ERROR upwards (fixed values).
 ERROR_SEVERITIES = ("ERROR", "CRITICAL", "ALERT", "EMERGENCY")
+# Fields of a run summary (fixed values).
 SUMMARY_FIELDS = ("status", "target_date", "status_message", "execution", "exit_code")
 
 
@@ -159,6 +161,30 @@ def incidents(firings: DataFrame, close_s: int = LOG_INCIDENT_CLOSE_S) -> DataFr
     )
 
 
+def metric_gauges(metrics: DataFrame, name: str = "feature_psi") -> DataFrame:
+    """A gauge of the run metrics as the points of R1; without a feature the series is the model."""
+    own = F.col("attributes")
+    series = F.coalesce(own["feature"], own["model_name"])
+    return metrics.where((F.col("name") == name) & (F.col("kind") == "gauge")).select(series.alias("feature"), "ts", "value")
+
+
+def metric_counters(metrics: DataFrame, name: str = "rows_scored") -> DataFrame:
+    """A counter of the run metrics as the points of R2; of one instant's readings the larger total is the later."""
+    model = F.col("attributes")["model_name"]
+    found = metrics.where((F.col("name") == name) & (F.col("kind") == "counter"))
+    return found.select(model.alias("series"), model.alias("model_name"), "ts", F.col("value").cast("long").alias("seq"), "value")
+
+
+def metric_firings(alerts: DataFrame, name: str = "feature_psi") -> DataFrame:
+    """R1's alerts as firings of one rule for each series, at the begin of the window that fired."""
+    return alerts.select(F.concat(F.lit(f"{name}:"), "feature").alias("rule"), F.col("window_start").alias("ts"))
+
+
+def metric_incidents(alerts: DataFrame, name: str = "feature_psi", close_s: int = METRIC_INCIDENT_CLOSE_S) -> DataFrame:
+    """R7 for metrics: incidents that stay open for a day after their last alert."""
+    return incidents(metric_firings(alerts, name), close_s)
+
+
 def keep_first(gap: int):
     """The rule both forms share, as a closure that travels to the executors whole."""
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidegate import schemas
 from tidegate.functions.rows import quality_predicate
 from tidegate.functions.scoring import prob_of, scorer_of
+from tidegate.operators.alerts import counter_increases, increase_windows, metric_counters, metric_incidents
 from tidegate.operators.evaluate import evaluate
 from tidegate.operators.features import labelled
 from tidegate.operators.predictions import join_features, predict, unmatched, worth_offering
@@ -42,6 +43,7 @@ from tidegate.sources import star
 from tidegate.sources.models import current_models, load_model, save_model
 from tidegate.sources.shared import fresh_dir
 from tidegate.sources.tables import partitions, replace_table
+from tidegate.streaming.alerts import alert_on_metrics
 
 TRAILING = (dt.date(1997, 10, 1), dt.date(1998, 3, 1))
 BACKFILL_DAYS = [dt.date(1998, m, 1) for m in range(1, 7)]
@@ -330,6 +332,39 @@ def rows_scored_increase(spark, sf_dir):
     return points.groupBy("name").agg(F.max("value").alias("increase"))
 
 
+@query(
+    "run_metric_incidents",
+    f"""WITH {BACKFILL_SQL} SELECT 'feature_psi:fare_amount' AS rule, max(total_psi) AS max_value, 1::BIGINT AS incidents, 86400::BIGINT AS open_for_s
+    FROM runs WHERE total_psi > {GUARD_AT} HAVING count(*) > 0""",
+)
+def run_metric_incidents(spark, sf_dir):
+    """R1, R7 over run_metrics: the alert and the incident that a backfill with drifted months raises, read as a stream."""
+    cfg = _feature_table(spark, sf_dir, psi_threshold=GUARD_AT, min_row_count=MIN_ROWS)
+    out = fresh_dir(spark, "metric-alerts")
+    for days in (BACKFILL_DAYS[:3], BACKFILL_DAYS[3:]):  # the second call goes on where the first one stopped
+        backfill(spark, cfg, FROZEN, days)
+        alerts = alert_on_metrics(spark, f"{cfg.table_root}/{cfg.metrics_table}", out, GUARD_AT)
+    rule = F.concat(F.lit("feature_psi:"), "feature").alias("rule")
+    highest = alerts.groupBy(rule).agg(F.max("max_value").alias("max_value"), F.max("window_start").alias("last"))
+    opened = metric_incidents(alerts).groupBy("rule").agg(F.count(F.lit(1)).alias("incidents"), F.max("closed_at").alias("closed_at"))
+    open_for = F.unix_seconds("closed_at") - F.unix_seconds("last")
+    return highest.join(opened, "rule").select("rule", "max_value", "incidents", open_for.alias("open_for_s"))
+
+
+@query(
+    "run_metric_increases",
+    f"""WITH {BACKFILL_SQL} SELECT '{MODEL_NAME}' AS model_name, CAST(sum(target_rows) FILTER (WHERE NOT halted) AS DOUBLE) AS increase FROM runs
+    HAVING count(*) FILTER (WHERE NOT halted) > 0""",
+)
+def run_metric_increases(spark, sf_dir):
+    """R2 over run_metrics: the windows' increases of the counter, added up over the runs."""
+    cfg = _feature_table(spark, sf_dir, psi_threshold=GUARD_AT, min_row_count=MIN_ROWS)
+    backfill(spark, cfg, FROZEN, BACKFILL_DAYS[:3])
+    backfill(spark, cfg, FROZEN, BACKFILL_DAYS[3:])
+    windows = increase_windows(counter_increases(metric_counters(spark.table(cfg.metrics_table))))
+    return windows.groupBy("model_name").agg(F.sum("increase").alias("increase"))
+
+
 RUN_METRICS_SQL = f"""{SCORED}, {_matrix_sql(["fare_amount"])}, t AS (SELECT * FROM scored WHERE {IN_TARGET}),
 m AS ({metrics_sql("t")}), e AS (SELECT {METRIC_COLUMNS} FROM m)"""
 

@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidegate.config import LOG_INCIDENT_CLOSE_S, NOTIFY_GAP_S
-from tidegate.operators.alerts import MICROS, gauge_alerts, increase_windows, keep_first
+from tidegate import schemas
+from tidegate.config import LOG_INCIDENT_CLOSE_S, NOTIFY_GAP_S, PSI_HALT_AT
+from tidegate.operators.alerts import MICROS, gauge_alerts, increase_windows, keep_first, metric_gauges
 
 WATERMARK = "10 minutes"
 EVENTS = T.StructType(
@@ -123,6 +124,28 @@ def incident_stream(firings: DataFrame, close_s: int = LOG_INCIDENT_CLOSE_S, del
     )
 
 
+ALERTS = "feature string, window_start timestamp, max_value double"
+
+
+def alert_on_metrics(spark: SparkSession, metrics_dir: str, out: str, threshold: float = PSI_HALT_AT, name: str = "feature_psi") -> DataFrame:
+    """R1 over the folder that runs append their metrics to: what has arrived since the last call is alerted on.
+
+    A micro-batch writes the windows of its own points to a folder of its number, which a
+    repeated batch overwrites; so a point counts once however often the query dies. A
+    window that several batches saw is one alert, with the largest value.
+    """
+    points = spark.readStream.schema(schemas.RUN_METRICS).parquet(metrics_dir)
+
+    def write(batch: DataFrame, number: int) -> None:
+        gauge_alerts(metric_gauges(batch, name), threshold).select("feature", "window_start", "max_value").write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    spark.createDataFrame([], ALERTS).write.mode("ignore").parquet(f"{out}/batch=-1")
+    query = points.writeStream.foreachBatch(write).option("checkpointLocation", f"{out}-progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+    found = spark.read.schema(ALERTS).parquet(out)
+    return found.groupBy("feature", "window_start").agg(F.max("max_value").alias("max_value"))
+
+
 def run_available(stream: DataFrame, out: str) -> DataFrame:
     """Process what has arrived and read back what was emitted to ``out``.
 
