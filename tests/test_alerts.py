@@ -13,7 +13,15 @@ from tidegate.operators.alerts import (
     rate_limited,
 )
 from tidegate.sources.shared import fresh_dir
-from tidegate.streaming.alerts import gauge_alert_stream, incident_stream, increase_stream, rate_limited_stream, run_available
+from tidegate.streaming.alerts import (
+    gauge_alert_stream,
+    incident_stream,
+    increase_stream,
+    late_point_stream,
+    late_windows,
+    rate_limited_stream,
+    run_available,
+)
 
 START = dt.datetime(2024, 1, 1)
 
@@ -177,3 +185,74 @@ def test_streamed_counter_does_not_count_late_readings(spark, tmp_path):
         found = run_available(increase_stream(spark.readStream.schema(frame_.schema).parquet(source)), out)
     assert found.agg(F.sum("increase")).first()[0] == 40 + 5
     assert found.where("late").count() == 2
+
+
+IDLE = [("a", 0, 10.0), ("b", 0, 7.0), ("a", 50, 15.0), ("a", 150, 18.0), ("b", 5_000, 9.0), ("a", 9_000, 40.0), ("a", 9_100, 41.0), ("b", 20_000, 11.0)]
+
+
+def idle_points(spark, rows):
+    return spark.createDataFrame([(s, "m", at(t), t, v) for s, t, v in rows], "series string, model_name string, ts timestamp, seq long, value double")
+
+
+def test_an_idle_series_starts_anew_and_its_state_is_dropped(spark):
+    """Each call is the query started again from its progress; batch and stream agree on every cut of the input."""
+    want = sorted(r["increase"] for r in counter_increases(idle_points(spark, IDLE), idle_s=100).collect())
+    assert want == sorted([10, 7, 5, 3, 9, 40, 1, 11])
+    source, out = fresh_dir(spark, "arriving"), fresh_dir(spark, "out")
+    held = []
+    for first in (0, 4, 6, 7):
+        rows = [r for r in IDLE[first : {0: 4, 4: 6, 6: 7, 7: 8}[first]]]
+        idle_points(spark, rows).coalesce(1).write.mode("append").parquet(source)
+        stream = increase_stream(spark.readStream.schema(idle_points(spark, rows).schema).parquet(source), 100, "200 seconds")
+        got = run_available(stream, out)
+        store = spark.read.format("statestore").option("stateVarName", "newest").load(f"{out}-progress")
+        held.append(sorted(r["key"][0] for r in store.collect()))
+    assert sorted(r["increase"] for r in got.collect()) == want
+    assert held == [["a", "b"], ["a"], ["a"], ["b"]]
+
+
+def test_no_state_is_left_of_a_rule_that_may_send_again(spark):
+    source, out = fresh_dir(spark, "arriving"), fresh_dir(spark, "out")
+    rows = [("a", 0), ("a", 10), ("b", 90_000), ("b", 90_400)]
+    frame(spark, rows).coalesce(1).write.parquet(source)
+    got = run_available(rate_limited_stream(spark.readStream.schema("rule string, ts timestamp").parquet(source)), out)
+    assert sorted((r["rule"], r["ts"]) for r in got.collect()) == kept_by_loop(rows)
+    store = spark.read.format("statestore").option("stateVarName", "allowed").load(f"{out}-progress")
+    assert [r["key"][0] for r in store.collect()] == ["b"]
+
+
+def late_by_loop(rows, span, delay):
+    clock, windows = {}, {}
+    for feature, t, value in rows:
+        start = t // span * span
+        entry = windows.setdefault((feature, start), [None, 0, 0])
+        if start + span + delay <= clock.get(feature, -(10**9)):
+            entry[2] += 1
+        else:
+            entry[1] += 1
+            if value is not None and value == value:
+                entry[0] = value if entry[0] is None else max(entry[0], value)
+        clock[feature] = max(clock.get(feature, t), t)
+    return sorted((f, at(s), *e) for (f, s), e in windows.items() if s + span + delay <= clock[f])
+
+
+ARRIVING = "feature string, ts timestamp, arrived timestamp, seq long, value double"
+
+
+@pytest.mark.parametrize("cuts", [[], [150], [1, 60, 61, 200]])
+def test_late_points_are_counted_for_their_window(spark, cuts):
+    rng = np.random.default_rng(5)
+    times = np.maximum(np.arange(300) * 7 - rng.integers(0, 2, 300) * rng.integers(0, 400, 300), 0)
+    values = [None if n % 31 == 0 else float("nan") if n % 37 == 0 else float(n % 11) for n in range(300)]
+    rows = [("hot" if n % 3 else "cold", int(t), v) for n, (t, v) in enumerate(zip(times, values))]
+    source, out = fresh_dir(spark, "arriving"), fresh_dir(spark, "out")
+    for first, last in zip([0, *cuts], [*cuts, 300]):
+        part = [(f, at(t), at(n // 4), n, v) for n, (f, t, v) in enumerate(rows) if first <= n < last]
+        if first == 0:
+            part.append(("hot", None, at(0), -1, 99.0))
+        spark.createDataFrame(part[::-1], ARRIVING).coalesce(1).write.mode("append").parquet(source)
+        got = run_available(late_point_stream(spark.readStream.schema(ARRIVING).parquet(source), 60, 120), out)
+    want = late_by_loop(rows, 60, 120)
+    assert sum(w[4] for w in want) > 10
+    found = late_windows(got).select("feature", "window_start", "max_value", "points", "late_points")
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[:2]) == want

@@ -32,6 +32,8 @@ ALERT_COUNTER_ABOVE = 300_000
 NOTIFY_GAP_S = 300
 LOG_INCIDENT_CLOSE_S = 1_800
 METRIC_INCIDENT_CLOSE_S = 86_400
+LATE_AFTER_S = 600
+COUNTER_IDLE_S = 30 * 86_400
 RUN_SUMMARY_EVENT = "pipeline_run_summary"
 ABNORMAL_EXIT = r"Container called exit[(](1|[4-9]|[1-9][0-9]+)[)]"
 KILLED = r"(?i)terminated on signal|memory limit"

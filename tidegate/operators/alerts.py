@@ -17,6 +17,7 @@ from tidegate.config import (
     ABNORMAL_EXIT,
     ALERT_COUNTER_ABOVE,
     ALERT_WINDOW_S,
+    COUNTER_IDLE_S,
     KILLED,
     LOG_INCIDENT_CLOSE_S,
     METRIC_INCIDENT_CLOSE_S,
@@ -63,9 +64,13 @@ def counter_step(value: Column, previous: Column, restart: bool = False) -> Colu
     return F.when(value >= previous, value - previous).otherwise(after_reset)
 
 
-def counter_increases(points: DataFrame, restart: bool = False, chunk_s: int = 3_600) -> DataFrame:
+def counter_increases(
+    points: DataFrame, restart: bool = False, chunk_s: int = 3_600, idle_s: int = COUNTER_IDLE_S
+) -> DataFrame:
     """R2, first half: the increase each reading adds; a series starts from zero.
 
+    A series that is silent for more than ``idle_s`` starts anew.
+
     Consecutive readings are paired inside (series, hour) groups, so one hot
     series spreads over as many tasks as it has hours. The first reading of an
     hour is paired with the last reading of the series' hour before, on a table
@@ -74,8 +79,12 @@ def counter_increases(points: DataFrame, restart: bool = False, chunk_s: int = 3
     chunk = F.floor(F.unix_seconds("ts") / F.lit(chunk_s))
     chunked = points.withColumn("chunk", chunk)
     inside = Window.partitionBy("series", "chunk").orderBy("ts", "seq")
+
+    def since(value: Column, ts: Column) -> Column:
+        return F.when(F.unix_micros("ts") - F.unix_micros(ts) > F.lit(idle_s * MICROS), F.lit(0.0)).otherwise(value)
+
     paired = (
-        chunked.withColumn("previous", F.lag("value").over(inside))
+        chunked.withColumn("previous", since(F.lag("value").over(inside), F.lag("ts").over(inside)))
         .where(F.col("previous").isNotNull())
         .select("model_name", "ts", counter_step(F.col("value"), F.col("previous"), restart).alias("increase"))
     )
@@ -83,8 +92,9 @@ def counter_increases(points: DataFrame, restart: bool = False, chunk_s: int = 3
         F.min(F.struct("ts", "seq", "value", "model_name")).alias("first"),
         F.max(F.struct("ts", "seq", "value")).alias("last"),
     )
-    earlier = F.lag("last.value").over(Window.partitionBy("series").orderBy("chunk"))
-    carried = ends.withColumn("previous", F.coalesce(earlier, F.lit(0.0))).select(
+    by_hour = Window.partitionBy("series").orderBy("chunk")
+    earlier = since(F.lag("last.value").over(by_hour), F.lag("last.ts").over(by_hour))
+    carried = ends.withColumn("ts", F.col("first.ts")).withColumn("previous", F.coalesce(earlier, F.lit(0.0))).select(
         F.col("first.model_name").alias("model_name"),
         F.col("first.ts").alias("ts"),
         counter_step(F.col("first.value"), F.col("previous"), restart).alias("increase"),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidegate.functions.rows import above
-from tidegate.operators.alerts import abnormal_exits, errors_only, run_status_feed
+from tidegate.operators.alerts import abnormal_exits, counter_increases, errors_only, increase_windows, run_status_feed
 from tidegate.queries.alerts import (
     ALERT_ABOVE,
     COUNTER_ROWS,
@@ -22,10 +22,11 @@ from tidegate.queries.alerts import (
     INCIDENTS,
     NOTIFY_ABOVE,
     STATUS_ROWS,
+    WINDOW_START,
     log_records_of,
     rate_limit_sql,
 )
-from tidegate.queries.base import plain, rounded
+from tidegate.queries.base import STAMP, plain, rounded
 from tidegate.registry import query
 from tidegate.sources import star
 from tidegate.sources.shared import fresh_dir
@@ -34,6 +35,8 @@ from tidegate.streaming.alerts import (
     incident_stream,
     increase_stream,
     increase_window_stream,
+    late_point_stream,
+    late_windows,
     rate_limited_stream,
     read_events,
     run_available,
@@ -59,14 +62,65 @@ def _emitted(stream, name):
 @query("stream_counter_windows", f"WITH {COUNTERS} {COUNTER_ROWS} WHERE s + INTERVAL '300 seconds' <= {WATERMARK_SQL}")
 def stream_counter_windows(spark, sf_dir):
     """R2: readings to increases with state per series, then increases to windows."""
-    points_dir = fresh_dir(spark, "counter-points")
+    increases, folder = _increases(spark, sf_dir)
+    windows = increase_window_stream(spark.readStream.schema(increases.schema).parquet(folder))
+    return plain(rounded(_emitted(windows, "increase-windows"), increase=4))
+
+
+def _increases(spark, sf_dir, **limits):
+    points_dir, folder = fresh_dir(spark, "counter-points"), fresh_dir(spark, "increases")
     points = star.counter_points(spark, sf_dir)
     points.write.parquet(points_dir)
     arriving = spark.readStream.schema(points.schema).parquet(points_dir)
-    increases_dir = fresh_dir(spark, "increases")
-    increases = run_available(increase_stream(arriving), increases_dir)
-    windows = increase_window_stream(spark.readStream.schema(increases.schema).parquet(increases_dir))
-    return plain(rounded(_emitted(windows, "increase-windows"), increase=4))
+    return run_available(increase_stream(arriving, **limits), folder), folder
+
+
+IDLE_S = 43_200
+RESTARTED = f"""points AS (SELECT user_id, event_type AS model_name, ts, event_id,
+    sum(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS value FROM events),
+pairs AS (SELECT *, lag(value) OVER u AS previous, lag(ts) OVER u AS before FROM points WINDOW u AS (PARTITION BY user_id ORDER BY ts, event_id)),
+steps AS (SELECT model_name, ts,
+    CASE WHEN ts - before <= INTERVAL '{IDLE_S} seconds' THEN greatest(value - previous, 0) ELSE value END AS inc FROM pairs),
+w AS (SELECT model_name, {WINDOW_START} AS s, sum(inc) AS increase FROM steps GROUP BY ALL)"""
+
+
+@query("stream_idle_counters", f"WITH {RESTARTED} {COUNTER_ROWS}")
+def stream_idle_counters(spark, sf_dir):
+    """R2 where a series that was silent for half a day starts anew."""
+    increases, _ = _increases(spark, sf_dir, idle_s=IDLE_S)
+    return plain(rounded(increase_windows(increases), increase=4))
+
+
+@query("counter_idle_windows", f"WITH {RESTARTED} {COUNTER_ROWS}")
+def counter_idle_windows(spark, sf_dir):
+    """The same as a batch."""
+    increases = counter_increases(star.counter_points(spark, sf_dir), idle_s=IDLE_S)
+    return plain(rounded(increase_windows(increases), increase=4))
+
+
+@query(
+    "stream_late_points",
+    f"""WITH received AS (SELECT event_type AS feature, ts, value, event_id, {WINDOW_START} AS s,
+      ts + CAST(json_extract_string(props, '$.k') AS INTEGER) * INTERVAL '1 minute' AS arrived FROM events),
+    clocks AS (SELECT *, max(ts) OVER (PARTITION BY feature) AS newest,
+      max(ts) OVER (PARTITION BY feature ORDER BY arrived, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS clock FROM received),
+    judged AS (SELECT *, coalesce(s + INTERVAL '900 seconds' <= clock, false) AS late FROM clocks)
+    SELECT feature, strftime(s, {STAMP}) AS window_start, max(value) FILTER (NOT late) AS max_value,
+      count(*) FILTER (NOT late) AS points, count(*) FILTER (late) AS late_points
+    FROM judged WHERE s + INTERVAL '900 seconds' <= newest GROUP BY feature, s""",
+)
+def stream_late_points(spark, sf_dir):
+    """R1 with events received as many minutes late as their payload says, and the late ones counted."""
+    events = read_events(spark, sf_dir)
+    minutes = F.get_json_object("props", "$.k").cast("int")
+    points = events.select(
+        F.col("event_type").alias("feature"),
+        "ts",
+        (F.col("ts") + F.make_dt_interval(mins=minutes)).alias("arrived"),
+        F.col("event_id").alias("seq"),
+        "value",
+    )
+    return plain(late_windows(_emitted(late_point_stream(points), "late-points")))
 
 
 @query("stream_abnormal_exits", EXIT_LINES)
