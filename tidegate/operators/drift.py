@@ -130,6 +130,11 @@ def psi_matrix(
 
 def _psi_by_date(binned: DataFrame, key: str, baseline: tuple[dt.date, dt.date]) -> DataFrame:
     counts = binned.groupBy(key, "scoring_date", "bin", "ok").agg(F.count(F.lit(1)).alias("n"))
+    return psi_of_counts(counts, key, baseline)
+
+
+def psi_of_counts(counts: DataFrame, key: str, baseline: tuple[dt.date, dt.date]) -> DataFrame:
+    """PSI of every key and date from the rows ``n`` of each (key, date, bin, ok)."""
     per_date = counts.groupBy(key, "scoring_date").agg(
         *[_rows_where(F.col("bin") == k).alias(f"t{k}") for k in range(PSI_BINS)],
         _rows_where(F.col("ok")).alias("target_rows"),

@@ -79,10 +79,11 @@ def evaluate(
         F.sum("fp").alias("fp"),
         F.sum("loss").alias("loss"),
     )
-    return _metrics(totals, by, min_roc_auc)
+    return metrics_of_totals(totals, by, min_roc_auc)
 
 
-def _metrics(totals: DataFrame, by: list[str], min_roc_auc: float | None) -> DataFrame:
+def metrics_of_totals(totals: DataFrame, by: list[str], min_roc_auc: float | None) -> DataFrame:
+    """The metrics of rows with wins, pos, neg, tp, fp and loss."""
     pos, neg, tp, fp = (F.col(c) for c in ("pos", "neg", "tp", "fp"))
     rows = pos + neg
     tn = neg - fp
