@@ -13,6 +13,7 @@ from tidegate.functions.scoring import prob_of, scorer_of
 from tidegate.operators.alerts import counter_increases, increase_windows, metric_counters, metric_incidents
 from tidegate.operators.evaluate import evaluate
 from tidegate.operators.features import labelled
+from tidegate.operators.newton import fit_newton
 from tidegate.operators.predictions import join_features, predict, unmatched, worth_offering
 from tidegate.operators.profile import backfill_audit, key_audit
 from tidegate.operators.training import chronological_split, compare_feature_sets, train, with_split
@@ -177,6 +178,33 @@ SPLIT_SQL = f"""{VIEW}, w AS (SELECT * FROM v WHERE {IN_BASELINE} AND is_high_ti
 c AS (SELECT quantile_disc(pickup_datetime, 0.8) AS t FROM w)"""
 
 
+def _newton_sql(steps: int) -> str:
+    """A weight and an intercept by so many whole Newton steps from zero, each a system of two equations."""
+    parts = [f"{VIEW}, r AS (SELECT fare_amount AS x, is_high_tip AS y FROM v WHERE {IN_BASELINE} AND is_high_tip IS NOT NULL)", "b0 AS (SELECT 0.0::DOUBLE AS b, 0.0::DOUBLE AS w)"]
+    for k in range(steps):
+        parts.append(
+            f"""b{k + 1} AS (SELECT b + (g0 * h11 - g1 * h01) / (h00 * h11 - h01 * h01) AS b, w + (g1 * h00 - g0 * h01) / (h00 * h11 - h01 * h01) AS w
+            FROM (SELECT any_value(b) AS b, any_value(w) AS w, sum(y - p) AS g0, sum((y - p) * x) AS g1,
+                  sum(p * (1 - p)) AS h00, sum(p * (1 - p) * x) AS h01, sum(p * (1 - p) * x * x) AS h11
+                  FROM (SELECT *, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(b + w * x))) AS p FROM r, b{k})))"""
+        )
+    return ", ".join(parts)
+
+
+@query(
+    "newton_weights",
+    f"""WITH {_newton_sql(10)} SELECT round(b, 8) AS intercept, round(w, 8) AS fare_amount, TRUE AS converged,
+    (SELECT round(avg(-(y * ln(p) + (1 - y) * ln(1 - p))), 8) FROM (SELECT y, 1.0::DOUBLE / (1.0::DOUBLE + exp(-(b + w * x))) AS p FROM r, b10)) AS log_loss
+    FROM b10""",
+)
+def newton_weights(spark, sf_dir):
+    """M1 by Newton steps on aggregates, with one feature."""
+    found = fit_newton(labelled(partitions(view(spark, sf_dir, *BASELINE), *BASELINE)), ("fare_amount",), ())
+    row = (found.scorer.intercept, found.scorer.numeric["fare_amount"], found.converged, found.log_loss)
+    out = spark.createDataFrame([row], "intercept double, fare_amount double, converged boolean, log_loss double")
+    return rounded(out, intercept=8, fare_amount=8, log_loss=8)
+
+
 @query(
     "train_model",
     f"""WITH {SPLIT_SQL} SELECT 'tip_model' AS model_name, count(*) FILTER (WHERE pickup_datetime <= t) AS train_rows,
