@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate import schemas
@@ -51,6 +51,26 @@ def unmatched(predictions: DataFrame, view: DataFrame) -> DataFrame:
     )
 
 
+def _same_row() -> Column:
+    """Equal keys, said so that rows meet by trip alone: tables are bucketed by it, within dates."""
+    return (F.col("p.trip_id") == F.col("f.trip_id")) & (F.datediff("p.scoring_date", "f.scoring_date") == 0)
+
+
+def join_features_in_buckets(predictions: DataFrame, view: DataFrame) -> DataFrame:
+    """J7 where both tables have the same buckets of ``trip_id``: bucket meets bucket, nothing is shuffled.
+
+    A filter on the date must be put on both sides.
+    """
+    own = [F.col(f"f.{c}") for c in view.columns if c not in (*KEY, "vendor_id")]
+    return predictions.alias("p").join(view.alias("f"), _same_row()).select("p.*", *own)
+
+
+def unmatched_in_buckets(predictions: DataFrame, view: DataFrame) -> DataFrame:
+    """Q2 on such tables; only the counts of dates are shuffled."""
+    alone = predictions.alias("p").join(view.select(*KEY).alias("f"), _same_row(), "left_anti")
+    return alone.groupBy("scoring_date").agg(F.count(F.lit(1)).alias("unmatched"))
+
+
 def worth_offering(joined: DataFrame, threshold: float, p1: str = "p1") -> DataFrame:
     """M5: rows whose expected value, probability times fare, exceeds the threshold."""
     value = F.col(p1) * F.col("fare_amount")
