@@ -90,24 +90,63 @@ def test_only_short_and_empty_texts(spark):
     assert sorted((r.doc_id, r.n_removed) for r in rows) == [(1, 0), (2, 0), (3, 0)]
 
 
-def test_order_of_repeated_strings(monkeypatch):
-    rng = np.random.default_rng(3)
-    buf = rng.integers(0, 2, 3000).astype(np.uint8)
-    buf[1000:1200] = buf[100:300]
-    places = np.arange(2900)
-    ids = rng.integers(0, 40, 2900)
+def shared(a, b):
+    return next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+@pytest.mark.parametrize("letters", [1, 2, 4])
+def test_longest_previous_factors(letters):
+    rng = np.random.default_rng(letters)
+    buf = rng.integers(0, letters, 500).astype(np.uint8)
+    buf[300:400] = buf[50:150]
+    places = rng.permutation(460)
+    ids = rng.integers(0, 40, 460)
     data = buf.tobytes()
     strings = [data[p : p + 30] for p in places]
+    want = [max([shared(s, t) for t, j in zip(strings, ids) if j < i], default=0) for s, i in zip(strings, ids)]
+    assert op.previous_factors(buf, places, ids, 30).tolist() == want
+    assert max(want) == 30
+
+
+def test_common_prefix():
+    buf = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz" * 2 + b"abcdefghijklmnopqrstuvwxyA" + b"\0" * 40, np.uint8)
+    eight = op.words8(buf)
+    one, two = np.array([0, 0, 0, 1, 25, 26]), np.array([26, 52, 0, 53, 51, 1])
+    assert op.common_prefix(eight, one, two, 26).tolist() == [26, 25, 26, 24, 26, 0]
+    assert op.common_prefix(eight, one, two, 9).tolist() == [9, 9, 9, 9, 9, 0]
+
+
+def test_repeated_starts_against_all_pairs(monkeypatch):
+    """Stretches around few grams: equal ones, ones that overlap in part, and the same id twice."""
+    rng = random.Random(4)
+    length, gram = 24, b"0123456789abcdef"
+    stretches, anchor, ids = [], [], []
+    for _ in range(120):
+        left, right = rng.randint(0, 8), rng.randint(8, 20)
+        stretches.append(bytes(rng.choice(b"xy") for _ in range(left)) + gram[rng.randint(0, 1) :] + b"z" * 3 + bytes(rng.choice(b"xy") for _ in range(right)))
+        anchor.append(left)
+        ids.append(rng.randint(0, 30))
+    size = np.array([len(s) for s in stretches])
+    starts = [(s[i : i + length], d) for s, d in zip(stretches, ids) for i in range(len(s) - length + 1)]
     least = {}
-    for s, i in zip(strings, ids):
-        least[s] = min(i, least.get(s, i))
-    want = [least[s] < i for s, i in zip(strings, ids)]
-    order = op.repeated_in_order(buf, places, 30)
-    counts = {s: strings.count(s) for s in set(strings)}
-    assert [strings[i] for i in order] == sorted(s for s in strings if counts[s] > 1)
-    assert op.has_previous_factor(buf, places, ids, 30).tolist() == want
-    monkeypatch.setattr(op, "span_hash", lambda b, p, e: np.zeros(len(p), np.uint64))
-    assert op.has_previous_factor(buf, places, ids, 30).tolist() == want
+    for s, d in starts:
+        least[s] = min(d, least.get(s, d))
+    given = np.frombuffer(b"".join(stretches), np.uint8), size, np.zeros(120, np.int64), np.array(ids), length
+    monkeypatch.setattr(op, "gram_hash", lambda a, b: np.zeros(len(a), np.uint64))
+    assert op.repeated_starts(*given).tolist() == [least[s] < d for s, d in starts]
+
+
+def test_a_gram_that_a_third_of_all_documents_share(spark, monkeypatch):
+    """One passage in every third document, cut and continued differently; the hash key holds them all."""
+    monkeypatch.setattr(parts.part_count, "__defaults__", ("text", 2000))
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefghij") for _ in range(150))
+    docs = []
+    for i in range(90):
+        own = "".join(rng.choice("klmnopqrst") for _ in range(40))
+        a = rng.randint(0, 40)
+        docs.append((i, own + (passage[a : 150 - rng.randint(0, 40)] if i % 3 == 0 else "") + own[::-1]))
+    assert found(spark, docs, 50) == brute(docs, 50)
 
 
 def test_anchors_block_by_block(monkeypatch):

@@ -3,13 +3,14 @@
 A string of ``length`` bytes is ranked in the suffix array of its *anchor*: the least
 16-byte gram (by hash) inside it. Equal strings have the same anchor, so one key sees
 every string that could match. Only anchors that occur twice anywhere are sent on, with
-the bytes around them. For each key the strings are put in suffix order; the previous
-and the next position in that order with a smaller document id, inside a stretch whose
-neighbours agree on ``length`` bytes, are the earlier matches. A string that has one
-goes, the first document keeps it.
+the bytes around them. For each key the strings are put in suffix order; the nearest
+positions in that order, before and after, with a smaller document id are the earlier
+matches. The larger of the two common prefixes is the longest previous factor, counted
+up to ``length``. A string whose factor has ``length`` bytes goes, the first document
+keeps it.
 
-Identical stretches inside a part are sent once, for the smallest id; the others follow
-from it. Hashes only group: the bytes themselves are compared, inside a part and between.
+Identical stretches are ranked once, for the smallest id; the others follow from it,
+inside a part, where they are sent once, and between parts. Hashes only group: the bytes themselves are compared, inside a part and between.
 
 Defined results: a null text is empty. A row without an id is returned whole and compared
 with nothing. Rows that share an id are one document and never earlier than each other.
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.llm import parts
-from tidegate.llm.textkit import BLOCK, SPANS, U64, Texts, covered, first_alike, from_planes, gather, grouped, member, mix, planes, runs, span_hash, spans_array
+from tidegate.llm.textkit import BLOCK, SPANS, U64, Texts, covered, first_alike, from_planes, gather, member, mix, planes, runs, spans_array
 
 GRAM = 16
 RESULT = f"doc_id bigint, n_bytes bigint, n_removed bigint, kept binary, kept_text string, spans {SPANS}"
@@ -55,6 +56,15 @@ def gram_hash(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     return mix(first * U64(0x9E3779B97F4A7C15) + second)
 
 
+def grams_at(buf: np.ndarray, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both halves of the gram at each place; block by block."""
+    out = np.empty((2, len(places)), U64)
+    for low in range(0, len(places), BLOCK):
+        block = places[low : low + BLOCK]
+        out[:, low : low + BLOCK] = np.ascontiguousarray(buf[block[:, None] + np.arange(GRAM)]).view("<u8").T
+    return out[0], out[1]
+
+
 def anchors(buf: np.ndarray, length: int) -> np.ndarray:
     """For each start of ``length`` bytes, the place of the least gram in them; block by block."""
     n = len(buf) - length + 1
@@ -93,8 +103,7 @@ class Stretches:
         self.first = at[head]
         self.last = at[np.append(head[1:], len(at)) - 1]
         self.anchor = anchor[head].astype(np.int64)
-        first, second = np.ascontiguousarray(texts.buf[self.anchor[:, None] + np.arange(GRAM)]).view("<u8").T
-        self.hash = gram_hash(first, second)
+        self.hash = gram_hash(*grams_at(texts.buf, self.anchor))
         self.text = np.searchsorted(texts.start, self.first, side="right") - 1
 
     def copies(self, texts: Texts, length: int) -> np.ndarray:
@@ -131,46 +140,67 @@ def previous_smaller(ids: np.ndarray, stretch: np.ndarray) -> np.ndarray:
     return before
 
 
-def repeated_in_order(buf: np.ndarray, places: np.ndarray, length: int) -> np.ndarray:
-    """The places whose string occurs again, in suffix order.
+def common_prefix(eight: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
+    """How many of ``length`` bytes from each pair of places on are equal; ``eight`` is ``words8`` of the bytes."""
+    out = np.zeros(len(one), np.int64)
+    open_ = np.arange(len(one))
+    for j in range(0, length, 8):
+        differ = eight[one[open_] + j] ^ eight[two[open_] + j]
+        lowest = differ & (~differ + U64(1))
+        out[open_] += np.bitwise_count(lowest - U64(1)) // 8  # all eight where nothing differs
+        open_ = open_[differ == 0]
+    return np.minimum(out, length)
 
-    A string that occurs once has no previous factor. The others are ordered by one
-    place of each distinct string; those of one string follow each other.
-    """
-    order, new = grouped(span_hash(buf, places, places + length))
-    head = np.flatnonzero(new)
-    size = np.diff(np.append(head, len(order)))
-    head, size = head[size > 1], size[size > 1]
-    ranked = suffix_order(buf, places[order[head]], length)
-    head, size = head[ranked], size[ranked]
-    ends = np.cumsum(size)
-    member_ = np.arange(int(ends[-1]) if len(ends) else 0) + np.repeat(head - (ends - size), size)
-    out = order[member_]
-    first = np.repeat(order[head], size)
-    if not same_strings(buf, places[out], places[first], length).all():  # two strings share a hash
-        return suffix_order(buf, places, length)
-    return out
 
+def previous_factors(buf: np.ndarray, places: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """The longest previous factor of each place: the bytes, at most ``length``, it shares with a place of a smaller id.
 
-def same_strings(buf: np.ndarray, one: np.ndarray, two: np.ndarray, length: int) -> np.ndarray:
-    """Whether the strings at each pair of places are equal."""
+    In suffix order the nearest places of smaller ids, one on each side, share most.
+    """
+    order = suffix_order(buf, places, length)
+    ranked, own = places[order], ids[order]
     eight = words8(buf)
-    out = np.ones(len(one), bool)
-    for j in [*range(0, length - 8, 8), length - 8]:
-        out &= eight[one + j] == eight[two + j]
+    whole = np.zeros(len(own), np.int8)
+    above = previous_smaller(own, whole)
+    below = len(own) - 1 - previous_smaller(own[::-1], whole)[::-1]
+    factor = np.zeros(len(own), np.int64)
+    for near, held in ((above, above >= 0), (below, below < len(own))):
+        at = np.flatnonzero(held)
+        factor[at] = np.maximum(factor[at], common_prefix(eight, ranked[at], ranked[near[at]], length))
+    out = np.zeros(len(places), np.int64)
+    out[order] = factor
     return out
 
 
-def has_previous_factor(buf: np.ndarray, places: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
-    """Whether the string at each place also starts in a document with a smaller id."""
-    order = repeated_in_order(buf, places, length)
-    ranked, own = places[order], ids[order]
-    stretch = np.append(0, np.cumsum(~same_strings(buf, ranked[1:], ranked[:-1], length)))
-    above = previous_smaller(own, stretch)
-    below = previous_smaller(own[::-1], -stretch[::-1])[::-1]
-    out = np.zeros(len(places), bool)
-    out[order] = (above >= 0) | (below >= 0)
-    return out
+def repeated_starts(body: np.ndarray, size: np.ndarray, anchor: np.ndarray, ids: np.ndarray, length: int) -> np.ndarray:
+    """For the strings of each stretch in ``body``, one after the other: does an earlier document have it?
+
+    A stretch whose bytes an earlier document has goes whole. Of equal ones the earliest is
+    left, and its strings can occur only in stretches around the same gram: the places
+    of those that are not alone with theirs are put in suffix order.
+    """
+    begin = np.append(0, np.cumsum(size))[:-1]
+    count = size - length + 1
+    alike = first_alike(body, begin, begin + size)
+    least = np.full(len(ids), np.iinfo(np.int64).max)
+    np.minimum.at(least, alike, ids)
+    later = ids > least[alike]
+    head = alike == np.arange(len(alike))
+    gram = gram_hash(*grams_at(body, begin + anchor))
+    _, name, shared = np.unique(gram[head], return_inverse=True, return_counts=True)
+    ranked = np.flatnonzero(head)[shared[name] > 1]
+    first = np.append(0, np.cumsum(count))
+    gone = np.repeat(later, count)
+    width = count[ranked]
+    step = np.arange(width.sum()) - np.repeat(np.append(0, np.cumsum(width))[:-1], width)
+    factors = previous_factors(body, step + np.repeat(begin[ranked], width), np.repeat(least[ranked], width), length)
+    known = np.zeros(first[-1], bool)
+    known[step + np.repeat(first[ranked], width)] = factors >= length
+    earliest = np.flatnonzero(~later)
+    width = count[earliest]
+    step = np.arange(width.sum()) - np.repeat(np.append(0, np.cumsum(width))[:-1], width)
+    gone[step + np.repeat(first[earliest], width)] = known[step + np.repeat(first[alike[earliest]], width)]
+    return gone
 
 
 def suffix_dedup(
@@ -206,6 +236,7 @@ def suffix_dedup(
         which = which[np.argsort(key, kind="stable")]
         key = np.sort(key)
         size = found.last[which] + length - found.first[which]
+        shape = size * length + found.anchor[which] - found.first[which]
         body, offset = gather(texts.buf, found.first, found.last + length - found.first, which)
         ids = table.column("doc_id").to_numpy()[found.text[which]]
         used, edges = parts.key_edges(key)
@@ -215,7 +246,7 @@ def suffix_dedup(
                 "key": pa.array(used, pa.int32()),
                 "part": pa.array(np.full(len(used), part), pa.int32()),
                 "data": pa.array([body[offset[s.start] : offset[s.stop]].tobytes() for s in cut], pa.binary()),
-                "extra": pa.array([planes(ids[s]) + planes(found.first[which[s]]) + planes(size[s]) for s in cut], pa.binary()),
+                "extra": pa.array([planes(ids[s]) + planes(found.first[which[s]]) + planes(shape[s]) for s in cut], pa.binary()),
             }
         )
 
@@ -223,13 +254,13 @@ def suffix_dedup(
         """For one key: the strings of each part that an earlier document has, as runs of starts."""
         heads = [np.frombuffer(x, np.uint8) for x in table.column("extra").to_pylist()]
         heads = [[from_planes(p, np.int64) for p in np.split(x, 3)] for x in heads]
-        ids, first, size = (np.concatenate([h[i] for h in heads]) for i in range(3))
+        ids, first, shape = (np.concatenate([h[i] for h in heads]) for i in range(3))
+        size, anchor = np.divmod(shape, length)
         body = np.frombuffer(b"".join(table.column("data").to_pylist()), np.uint8)
         count = size - length + 1
         begin = np.append(0, np.cumsum(count))
         step = np.arange(begin[-1]) - np.repeat(begin[:-1], count)
-        places = step + np.repeat(np.append(0, np.cumsum(size))[:-1], count)
-        gone = has_previous_factor(body, places, np.repeat(ids, count), length)
+        gone = repeated_starts(body, size, anchor, ids, length)
         home = step + np.repeat(first, count)
         row = np.repeat(np.arange(len(heads)), [len(h[0]) for h in heads])
         row = np.repeat(row, count)
