@@ -75,3 +75,18 @@ def test_too_many_weights_are_refused(spark):
     rows = spark.createDataFrame([(float(i), 0.0, f"v{i}", i % 2) for i in range(newton.MOST_WEIGHTS + 5)], SCHEMA)
     with pytest.raises(ValueError):
         fit(rows)
+
+
+def test_the_rows_are_made_once(spark):
+    """Every pass of the fit reads what the first one wrote, and the folder goes with the fit."""
+    rows, made = drawn(spark, 400), spark.sparkContext.accumulator(0)
+
+    def count(x):
+        made.add(1)
+        return x
+
+    counted = F.udf(count, "double").asNondeterministic()  # so that it is not moved and called twice for a row
+    found = fit(rows.withColumn("a", counted("a")))
+    assert found.converged and made.value == 400
+    want = fit(rows)
+    assert found.scorer.numeric == pytest.approx(want.scorer.numeric) and found.scorer.intercept == pytest.approx(want.scorer.intercept)

@@ -1,4 +1,4 @@
-"""Logistic regression by Newton steps on aggregates: one pass over the rows a step, none kept."""
+"""Logistic regression by Newton steps on aggregates: one pass over the model's columns a step, none in memory."""
 
 from __future__ import annotations
 
@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from tidegate import schemas
 from tidegate.functions.rows import usable
 from tidegate.functions.scoring import LinearScorer, clipped
+from tidegate.sources.shared import drop_dir, written
 
 #: Weights of a model; a step aggregates half the square of it in sums.
 MOST_WEIGHTS = 40
@@ -48,9 +49,19 @@ def fit_newton(
     can be told apart fully have no finite weights: the fit then ends unconverged after
     ``steps``. None if no rows are left; more than ``MOST_WEIGHTS`` weights are refused,
     ``train`` fits those.
+
+    The columns asked for are written to the shared folder for the time of the fit: steps
+    read them there, and whatever joins make the rows run once.
     """
     known = reduce(lambda a, b: a & b, [usable(F.col(c).cast("double")) for c in numeric], F.col(label).isNotNull())
-    kept = rows.where(known)
+    kept, folder = written(rows.where(known).select(*dict.fromkeys((*numeric, *categorical, label))), "newton")
+    try:
+        return _fit(kept, numeric, categorical, label, steps)
+    finally:
+        drop_dir(rows.sparkSession, folder)
+
+
+def _fit(kept: DataFrame, numeric: tuple[str, ...], categorical: tuple[str, ...], label: str, steps: int) -> Fit | None:
     numbers = [F.col(c).cast("double") for c in numeric]
     first = kept.agg(
         F.count(F.lit(1)).alias("n"),
