@@ -11,6 +11,7 @@ from tidegate.operators.evaluate import evaluate
 from tidegate.operators.features import feature_view
 from tidegate.operators.summaries import evaluate_counts, feature_sketches, score_counts, sketched_edges, sketched_psi, trailing
 from tidegate.plans.summaries import score_table, sketch_table, summarise_dates
+from tidegate.queries import summaries as summary_queries
 from tidegate.queries.rows import job_tables
 
 DAYS = [BASE[0] + dt.timedelta(days=d) for d in range(15)]
@@ -123,3 +124,21 @@ def test_summaries_are_replaced_by_date(spark):
     summarise_dates(spark, cfg, again, SCORER, [DAYS[1]])
     assert held() == {DAYS[0]: 40, DAYS[1]: 3}
     assert spark.table(score_table(cfg)).agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == 43
+
+
+def test_queries_make_the_view_once(spark, monkeypatch):
+    """The list of dates and both runs, of sketches and of counts, read one copy of the view's columns."""
+    rows = feature_view(features(spark, [*day_rows(DAYS[0], range(5, 45)), *day_rows(DAYS[1], range(5, 25)), *day_rows(DAYS[2], range(5, 15))]))
+    made = spark.sparkContext.accumulator(0)
+
+    def count(x):
+        made.add(1)
+        return x
+
+    counted = F.udf(count, "double").asNondeterministic()  # so that it is not moved and called twice for a row
+    monkeypatch.setattr(summary_queries, "view", lambda *_: rows.withColumn("fare_amount", counted("fare_amount")))
+    cfg = summary_queries._stored(spark, "unused")
+    assert made.value == 70
+    assert spark.table(score_table(cfg)).agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == 70
+    held = spark.table(sketch_table(cfg)).where("feature = 'fare_amount'").groupBy("scoring_date").agg(F.sum("held").alias("n"))
+    assert {r["scoring_date"]: r["n"] for r in held.collect()} == {DAYS[0]: 40, DAYS[1]: 20, DAYS[2]: 10}

@@ -10,19 +10,27 @@ from tidegate.queries.base import BASELINE, FROZEN, IN_BASELINE, METRIC_COLUMNS,
 from tidegate.queries.drift import BAND, PROBS, _long, _matrix_sql
 from tidegate.queries.rows import job_tables
 from tidegate.registry import query
-from tidegate.schemas import NUMERIC_FEATURES
+from tidegate.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES
+from tidegate.sources.shared import drop_dir, written
 
 WINDOW_DAYS = 92
+#: What sketches and score counts are made from.
+SUMMARISED = ("scoring_date", *CATEGORICAL_FEATURES, *NUMERIC_FEATURES, LABEL)
 
 
 def _stored(spark, sf_dir):
-    """Summaries of all dates, written by two runs that overlap in a date."""
-    cfg, rows = job_tables(spark), view(spark, sf_dir)
+    """Summaries of all dates, written by two runs that overlap in a date.
+
+    Both runs and the list of dates read the view's columns from one folder, so its join runs once.
+    """
+    cfg = job_tables(spark)
+    rows, folder = written(view(spark, sf_dir).select(*SUMMARISED), "view")
     days = sorted(r["scoring_date"] for r in rows.select("scoring_date").distinct().collect())
     middle = len(days) // 2
     for part in (days[: middle + 1], days[middle:]):
         if part:
             summarise_dates(spark, cfg, rows, FROZEN, part)
+    drop_dir(spark, folder)
     return cfg
 
 
