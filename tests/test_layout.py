@@ -6,7 +6,9 @@ from helpers import BASE, TARGET, day_rows, feature, features
 from tidegate import schemas
 from tidegate.operators.features import feature_view
 from tidegate.operators.predictions import join_features, join_features_in_buckets, unmatched, unmatched_in_buckets
+from tidegate.queries import layout as layout_queries
 from tidegate.queries.rows import job_tables
+from tidegate.sources import layout
 from tidegate.sources.layout import create_bucketed_table, partition_place, replace_bucketed, swap_partitions
 from tidegate.sources.shared import fresh_dir
 from tidegate.sources.tables import partition_counts, replace_partitions
@@ -122,3 +124,23 @@ def test_columns_of_the_schema_are_kept(spark):
     name = table_of(spark, features(spark, day_rows(DAYS[0], range(5, 8))))
     swap_partitions(spark, features(spark, day_rows(DAYS[0], range(5, 9))), name, [DAYS[0]])
     assert spark.table(name).columns == schemas.FEATURES.fieldNames()
+
+
+def test_buckets_of_both_tables_grow_with_the_rows(spark, monkeypatch):
+    """A task holds a bucket, which keeps its size: more rows are more buckets, the same for both tables."""
+    rows = features(spark, [*day_rows(DAYS[0], range(5, 60)), *day_rows(DAYS[1], range(5, 30)), feature("cash", DAYS[1], payment_type="2")])
+    counts, create = [], layout_queries.create_bucketed_table
+
+    def noted(spark, name, schema, key, buckets, root):
+        counts.append(buckets)
+        create(spark, name, schema, key, buckets, root)
+
+    monkeypatch.setattr(layout_queries, "create_bucketed_table", noted)
+    monkeypatch.setattr(layout_queries, "view", lambda *_: feature_view(rows))
+    monkeypatch.setattr(layout_queries.star, "trips", lambda *_: rows)
+    small = sorted(map(tuple, layout_queries.unmatched_rows_in_buckets(spark, "unused").collect()))
+    worth = sorted(map(tuple, layout_queries.expected_value_in_buckets(spark, "unused").collect()))
+    monkeypatch.setattr(layout, "BUCKET_ROWS", 5)
+    assert sorted(map(tuple, layout_queries.unmatched_rows_in_buckets(spark, "unused").collect())) == small == [(str(DAYS[1]), 1)]
+    assert sorted(map(tuple, layout_queries.expected_value_in_buckets(spark, "unused").collect())) == worth
+    assert counts == [8, 8, 8, 8, 17, 17, 16, 16]

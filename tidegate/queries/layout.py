@@ -14,32 +14,36 @@ from tidegate.queries.rows import job_tables
 from tidegate.registry import SQL, query
 from tidegate.schemas import PREDICTIONS
 from tidegate.sources import star
-from tidegate.sources.layout import create_bucketed_table, replace_bucketed, swap_partitions
+from tidegate.sources.layout import bucket_count, create_bucketed_table, replace_bucketed, swap_partitions
 from tidegate.sources.shared import fresh_dir
 from tidegate.sources.tables import replace_partitions
 
+#: Buckets of a small table; more rows get more.
 BUCKETS = 8
 
 
-def _bucketed(spark, df, schema, purpose):
+def _dates(df):
+    """The dates of a frame and its number of rows."""
+    counts = df.groupBy("scoring_date").count().collect()
+    return [r["scoring_date"] for r in counts], sum(r["count"] for r in counts)
+
+
+def _bucketed(spark, df, schema, purpose, days, buckets):
     root = fresh_dir(spark, "buckets")
     name = f"{purpose}_{root[-12:]}"
-    create_bucketed_table(spark, name, schema, "trip_id", BUCKETS, root)
-    days = [r["scoring_date"] for r in df.select("scoring_date").distinct().collect()]
-    replace_bucketed(spark, df, name, "trip_id", BUCKETS, days)
+    create_bucketed_table(spark, name, schema, "trip_id", buckets, root)
+    replace_bucketed(spark, df, name, "trip_id", buckets, days)
     return spark.table(name)
 
 
-def _features(spark, sf_dir):
-    rows = view(spark, sf_dir)
-    return _bucketed(spark, rows, rows.schema, "features")
-
-
 @query("expected_value_in_buckets", SQL["expected_value"])
 def expected_value_in_buckets(spark, sf_dir):
     """Predictions and features meet bucket by bucket."""
-    features = _features(spark, sf_dir)
-    made = _bucketed(spark, predict(features, FROZEN, MODEL_NAME), PREDICTIONS, "predictions")
+    rows = view(spark, sf_dir)
+    days, n = _dates(rows)
+    buckets = bucket_count(n, BUCKETS)
+    features = _bucketed(spark, rows, rows.schema, "features", days, buckets)
+    made = _bucketed(spark, predict(features, FROZEN, MODEL_NAME), PREDICTIONS, "predictions", days, buckets)
     p1 = prob_of(F.col("predicted_is_high_tip_probs"), 1)
     rows = worth_offering(join_features_in_buckets(made, features).withColumn("p1", p1), OFFER_ABOVE)
     return plain(rounded(rows.select("trip_id", "scoring_date", "expected_value"), expected_value=4))
@@ -49,8 +53,12 @@ def expected_value_in_buckets(spark, sf_dir):
 def unmatched_rows_in_buckets(spark, sf_dir):
     """Q2, S5."""
     inputs = star.trips(spark, sf_dir).where(quality_predicate()).select(*schemas.VIEW_COLUMNS)
-    made = _bucketed(spark, predict(inputs, FROZEN, MODEL_NAME), PREDICTIONS, "predictions")
-    return plain(unmatched_in_buckets(made, _features(spark, sf_dir)))
+    days, n = _dates(inputs)
+    # the view's rows are some of these, so their dates and their number do for both tables
+    buckets = bucket_count(n, BUCKETS)
+    made = _bucketed(spark, predict(inputs, FROZEN, MODEL_NAME), PREDICTIONS, "predictions", days, buckets)
+    rows = view(spark, sf_dir)
+    return plain(unmatched_in_buckets(made, _bucketed(spark, rows, rows.schema, "features", days, buckets)))
 
 
 @query(

@@ -12,11 +12,19 @@ from pyspark.sql import types as T
 
 from tidegate.sources.tables import PARTITION_COLUMN, _counted, _in_table_order, replace_partitions
 
+#: Rows of a bucket: a task that sorts and joins two of them, with the columns of the feature view, holds some 600 MB.
+BUCKET_ROWS = 2_000_000
+
+
+def bucket_count(rows: int, least: int = 1) -> int:
+    """A number of buckets that grows with the table, since a task sorts and joins a whole bucket."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
 
 def create_bucketed_table(spark: SparkSession, name: str, schema: T.StructType, key: str, buckets: int, root: str) -> None:
     """S5 with every date cut into the same buckets of ``key``: one file for each bucket and date.
 
-    Tables to be joined need the same number; total bytes / 200 MB of the larger suits.
+    Tables to be joined need the same number; ``bucket_count`` of the larger suits.
     """
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet PARTITIONED BY ({PARTITION_COLUMN}) "
