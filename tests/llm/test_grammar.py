@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from collections import Counter
@@ -110,6 +111,51 @@ def test_a_long_repeat_is_stored_once():
     assert len(grammar.symbols) + 2 * len(grammar.left) < 3 * 900 + 64 * 12
 
 
+def joined(pieces):
+    size = np.array([len(x.encode()) for x in pieces], np.int64)
+    return np.frombuffer("".join(pieces).encode(), np.uint8), np.cumsum(size) - size, size
+
+
+class Recorder:
+    """A tokenizer that keeps what it is given."""
+
+    def __init__(self, tokenizer):
+        self.tokenizer, self.given = tokenizer, []
+
+    def encode_batch_fast(self, texts, **how):
+        self.given += texts
+        return self.tokenizer.encode_batch_fast(texts, **how)
+
+
+def test_pieces_go_to_the_library_side_by_side():
+    rng = random.Random(6)
+    with open(VOCABULARY, encoding="utf-8") as file:
+        vocabulary = file.read()
+    library = Tokenizer.from_str(vocabulary)
+    odd = ["a", "Zoé", "漢", " 漢", " é", " 12", "'s", "'", " '", "!!", " !", "\u3000", " \u3000", " \xa0", "\x1d", " \x1d", "\x85", "\n", " ", "   ", "\n ", " \U0001f600", " \u0378", "a  "]
+    words = [" " + "".join(rng.choice("abcdefghé") for _ in range(rng.randint(1, 9))) for _ in range(2000)]
+    for pieces in (words, [*words[:300], *odd * 30], odd, words[:1], []):
+        pieces = rng.sample(pieces, len(pieces))
+        memory = op.LibraryPieces(vocabulary)
+        memory.tokenizer = Recorder(memory.tokenizer)
+        ids, counts = memory.encode_pieces(*joined(pieces))
+        want = [library.encode(x, add_special_tokens=False).ids for x in pieces]
+        assert (ids.tolist(), counts.tolist()) == ([i for x in want for i in x], [len(x) for x in want])
+        if len(pieces) == 2000:
+            assert len(memory.tokenizer.given) < 100
+
+
+def test_pieces_that_would_spell_a_special_token_stay_apart():
+    with open(VOCABULARY, encoding="utf-8") as file:
+        parsed = json.load(file)
+    parsed["added_tokens"].append(parsed["added_tokens"][0] | {"id": 50257, "content": "end of text"})
+    memory = op.LibraryPieces(json.dumps(parsed))
+    library = Tokenizer.from_file(VOCABULARY)
+    want = [library.encode(x, add_special_tokens=False).ids for x in ("end", " of", " text")]
+    ids, counts = memory.encode_pieces(*joined(["end", " of", " text"]))
+    assert (ids.tolist(), counts.tolist()) == ([i for x in want for i in x], [len(x) for x in want])
+
+
 def expected(texts):
     library = Tokenizer.from_file(VOCABULARY)
     start, out = 0, []

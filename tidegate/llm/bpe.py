@@ -199,7 +199,7 @@ class PieceMemory:
         order, new = grouped(hashes)
         group = np.empty(len(order), np.int64)
         group[order] = np.cumsum(new) - 1
-        one = order[new]
+        one = order[np.flatnonzero(new)]
         if len(self.known) > KNOWN_PIECES:
             self._tidy()
         size = end - begin

@@ -55,36 +55,53 @@ def classes(points: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Classes of bytes: those of ASCII characters; others get their character's.
+_BYTES = np.concatenate((_ASCII, np.full(128, OTHER, np.uint8)))
+
+
+def _byte_classes(buf: np.ndarray) -> np.ndarray:
+    """The class of the character that each byte of a UTF-8 buffer is of."""
+    kind = _BYTES[buf]
+    wide = np.flatnonzero(buf >= 0x80)
+    if len(wide):
+        lead, points = code_points(np.append(buf[wide], np.zeros(3, np.uint8)))  # a text may end within a character
+        lead = lead[:-2]
+        kind[wide[lead[0] :]] = np.repeat(classes(points[:-3]), np.diff(lead))
+    return kind
+
+
 def piece_starts(texts: Texts) -> np.ndarray:
     """Byte places at which a piece starts; a text's end ends its last piece."""
-    if not len(texts.buf):
+    buf, n = texts.buf, len(texts.buf)
+    if not n:
         return np.zeros(0, np.int64)
-    lead, points = code_points(texts.buf)
-    kind = classes(points)
-    n = len(lead)
+    kind = _byte_classes(buf)
     opens = np.zeros(n + 1, bool)  # a text starts here
-    opens[np.searchsorted(lead, texts.start)] = True
+    opens[texts.start] = True
     opens[n] = True
     change = np.ones(n + 1, bool)
-    change[1:n] = (kind[1:] != kind[:-1]) | opens[1:n]
+    np.not_equal(kind[1:], kind[:-1], out=change[1:n])
+    change[1:n] |= opens[1:n]
     start = change[:n].copy()
     solid = kind != SPACE
-    blank = points == 0x20
     # a piece takes one blank before it
     head = np.flatnonzero(start & solid & ~opens[:n])
-    joined = head[blank[head - 1]]
+    joined = head[buf[head - 1] == 0x20]
     start[joined] = False
     start[joined - 1] = True
     # the last white space before a solid character is no part of the run before it
     run_end = np.flatnonzero(~solid & change[1:] & ~opens[1:])
+    for _ in range(3):  # to its first byte
+        run_end = run_end - ((buf[run_end] & 0xC0) == 0x80)
     start[run_end] = True
     # contractions: a lone apostrophe that no blank precedes, and the letters after it
-    quote = np.flatnonzero((points == 0x27) & start[:n] & change[:n])
+    quote = np.flatnonzero(buf == 0x27)
+    quote = quote[start[quote] & change[quote]]
     for suffix in CONTRACTIONS:
         here = quote[quote + len(suffix) < n]
         for k, letter in enumerate(suffix, 1):
-            here = here[(points[here + k] == ord(letter)) & ~opens[here + k]]
+            here = here[(buf[here + k] == ord(letter)) & ~opens[here + k]]
         start[here + 1] = False
         after = here + 1 + len(suffix)
         start[after[after < n]] = True
-    return lead[start]
+    return np.flatnonzero(start)

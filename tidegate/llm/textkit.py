@@ -117,6 +117,9 @@ def span_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0
     eight = eight_from(buf)
     short = size <= LONG
     at, done = np.flatnonzero(short & (size > 0)), 0
+    if len(at) == len(size):
+        out = mix(out * _ODD + (eight[begin] & _LOW_BYTES[np.minimum(size, 8)]))
+        at, done = np.flatnonzero(size > 8), 8
     while len(at):
         word = eight[begin[at] + done] & _LOW_BYTES[np.minimum(size[at] - done, 8)]
         out[at] = mix(out[at] * _ODD + word)
@@ -130,9 +133,11 @@ def span_hash(buf: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0
 
 def same_spans(buf: np.ndarray, begin: np.ndarray, size: np.ndarray, other: np.ndarray, other_begin: np.ndarray, other_size: np.ndarray) -> np.ndarray:
     """Whether each span of ``buf`` has the bytes of the span of ``other`` beside it."""
-    out = size == other_size
-    eight, other_eight = eight_from(buf), eight_from(other)
-    at, done = np.flatnonzero(out & (size > 0) & (size <= LONG)), 0
+    eight = eight_from(buf)
+    other_eight = eight if other is buf else eight_from(other)
+    out = ((eight[begin] ^ other_eight[other_begin]) & _LOW_BYTES[np.minimum(size, 8)]) == 0
+    out &= size == other_size
+    at, done = np.flatnonzero(out & (size > 8) & (size <= LONG)), 8
     while len(at):
         left = _LOW_BYTES[np.minimum(size[at] - done, 8)]
         like = (eight[begin[at] + done] ^ other_eight[other_begin[at] + done]) & left == 0
